@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidelog.functions.keys import strip
+
 
 def normalize_endpoint(text: Column) -> Column:
     """``authority + path`` of an endpoint; null when empty or not a URL.
@@ -13,8 +15,7 @@ def normalize_endpoint(text: Column) -> Column:
     https; scheme, path parameters, query and fragment are dropped; a port and
     user info stay.
     """
-    bare = F.regexp_replace(F.regexp_replace(text, r"(?U)^\s+", ""), r"(?U)\s+$", "")
-    bare = F.nullif(F.rtrim(bare, F.lit("/")), F.lit(""))
+    bare = F.nullif(F.rtrim(strip(text), F.lit("/")), F.lit(""))
     url = F.when(bare.contains("://"), bare).otherwise(F.concat(F.lit("https://"), bare))
     path = F.regexp_replace(F.try_parse_url(url, F.lit("PATH")), r";[^/]*$", "")
     return F.concat(F.try_parse_url(url, F.lit("AUTHORITY")), path)

@@ -5,6 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The characters Unicode counts as white space.
+WHITE_SPACE = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
+               "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
+
+
+def strip(text: Column) -> Column:
+    """Without white space on either side (``trim`` alone only takes blanks)."""
+    return F.trim(text, F.lit(WHITE_SPACE))
+
 
 def collection(path: Column) -> Column:
     """The collection is the first segment of an op path."""

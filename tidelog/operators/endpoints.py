@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions import endpoints as E
+from tidelog.functions.once import with_once
 from tidelog.operators.ranking import with_position
 
 # Fixed value: endpoints are served in groups of this many.
@@ -14,8 +15,8 @@ BATCH_SIZE = 10
 
 def clean_endpoints(rows: DataFrame, column: str = "service_endpoint") -> DataFrame:
     """``(endpoint)``: normalized, valid ones; still one row per input row."""
-    normal = E.normalize_endpoint(F.col(column)).alias("endpoint")
-    return rows.select(normal).where(E.valid_endpoint(F.col("endpoint")))
+    normal = with_once(rows.select(column), "endpoint", E.normalize_endpoint(F.col(column)))
+    return normal.select("endpoint").where(E.valid_endpoint(F.col("endpoint")))
 
 
 def sorted_endpoints(clean: DataFrame) -> DataFrame:

@@ -28,7 +28,9 @@ SQL_CONF = {
 
 def builder(app: str = "tidelog") -> SparkSession.Builder:
     """A session builder with the settings above; add master and resources."""
-    b = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    b = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+         # Call sites for error messages cost a round trip per column function.
+         .config("spark.python.sql.dataFrameDebugging.enabled", "false"))
     for key, value in SQL_CONF.items():
         b = b.config(key, value)
     return b

@@ -5,53 +5,51 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelog.functions.keys import strip
+from tidelog.functions.once import with_once
+
 # Python's JSON reader takes neither single quotes nor text after the object.
 STRICT = {"allowSingleQuotes": "false"}
 
 
-def _parts(text: Column) -> tuple[Column, Column]:
-    """``(values, is_single)`` of a text that should hold one JSON value.
-
-    Spark's JSON functions stop at the end of the first value and ignore what
-    follows.  Reading ``[text, mark]`` instead makes any rest a syntax error or
-    an extra element; the mark depends on the text, so no text can carry it.
-    """
-    mark = F.xxhash64(text).cast("string")
-    parts = F.from_json(F.concat(F.lit("["), text, F.lit(","), mark, F.lit("]")),
-                        "array<string>", STRICT)
-    return parts, (F.size(parts) == 2) & (F.get(parts, 1) == mark)
+# Spark's JSON functions stop at the end of the first value and ignore what
+# follows.  Reading the list [text, mark] instead makes any rest a syntax error
+# or an extra element; the mark depends on the text, so no text can carry it.
 
 
 def is_json(text: Column) -> Column:
     """Does the text hold exactly one JSON value?"""
-    return F.coalesce(_parts(text)[1], F.lit(False))
-
-
-def one_object(line: Column) -> Column:
-    """The line as JSON text if it holds exactly one object, else null."""
-    parts, single = _parts(line)
-    return F.when(single & F.get(parts, 0).startswith("{"), F.get(parts, 0))
+    mark = F.xxhash64(text).cast("string")
+    parts = F.from_json(F.concat(F.lit("["), text, F.lit(","), mark, F.lit("]")),
+                        "array<string>", STRICT)
+    return F.coalesce((F.size(parts) == 2) & (F.get(parts, 1) == mark), F.lit(False))
 
 
 def parse_lines(lines: DataFrame, schema: str, required: tuple[str, ...] = (),
                 not_null: tuple[str, ...] = ()) -> DataFrame:
-    """``(value, row, reject_reason)`` for every line of a text DataFrame.
+    """Adds ``row`` and ``reject_reason`` to a DataFrame of text lines (``value``).
 
-    ``row`` follows ``schema``.  A ``required`` key must be present but may be
-    null; a ``not_null`` key must be present and not null.  ``reject_reason`` is
-    null for usable lines.
+    A line must hold exactly one JSON object.  ``row`` follows ``schema``.  A
+    ``required`` key must be present but may be null; a ``not_null`` key must be
+    present and not null.  ``reject_reason`` is null for usable lines.
     """
-    parsed = lines.withColumn("_object", one_object(F.col("value")))
-    parsed = parsed.withColumn("row", F.from_json("_object", schema, STRICT))
-    reason = F.when(F.col("_object").isNull() | F.col("row").isNull(), "malformed")
+    line, mark = F.col("value"), F.xxhash64("value").cast("string")
+    marked = F.concat(F.lit("["), line, F.lit(',{"_mark":"'), mark, F.lit('"}]'))
+    parsed = with_once(lines, "_parts", F.from_json(
+        marked, f"array<struct<{schema}, _mark string>>", STRICT))
+    parts = F.col("_parts")
+    row = F.get(parts, 0)
+    single = F.coalesce((F.size(parts) == 2) & (F.get(parts, 1)["_mark"] == mark), F.lit(False))
+    reason = F.when(~single | row.isNull(), "malformed")
     for key in required:
         # The key list is only looked at when the value is null.
-        present = F.col("row")[key].isNotNull() | F.coalesce(
-            F.array_contains(F.json_object_keys("_object"), key), F.lit(False))
+        present = row[key].isNotNull() | F.coalesce(
+            F.array_contains(F.json_object_keys(line), key), F.lit(False))
         reason = reason.when(~present, f"missing {key}")
     for key in not_null:
-        reason = reason.when(F.col("row")[key].isNull(), f"null {key}")
-    return parsed.withColumn("reject_reason", reason).drop("_object")
+        reason = reason.when(row[key].isNull(), f"null {key}")
+    return parsed.withColumn("reject_reason", reason).withColumn(
+        "row", row.dropFields("_mark")).drop("_parts")
 
 
 def accepted(parsed: DataFrame) -> DataFrame:
@@ -76,5 +74,4 @@ def lines_with(lines: DataFrame, marker: str) -> DataFrame:
 
 def text_list(spark: SparkSession, path: str) -> DataFrame:
     """One id per line, white space trimmed, blank lines dropped."""
-    ids = F.regexp_replace("value", r"(?U)^\s+|\s+$", "")
-    return spark.read.text(path).select(ids.alias("id")).where("id <> ''")
+    return spark.read.text(path).select(strip(F.col("value")).alias("id")).where("id <> ''")
