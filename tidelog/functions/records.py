@@ -51,3 +51,16 @@ def pds_endpoint(operation: Column) -> Column:
     return F.coalesce(
         F.nullif(operation["services"]["atproto_pds"]["endpoint"], F.lit("")),
         F.nullif(operation["service"], F.lit("")))
+
+
+def ascii_json(json: Column) -> Column:
+    """JSON text with non-ASCII characters as escapes.
+
+    The writer option only escapes Spark strings, not text inside a variant.  So
+    the whole text is written as a JSON string once more, which escapes it, and
+    the quotes and backslashes that this doubles are taken back.
+    """
+    quoted = F.to_json(F.struct(json.alias("v")), {"writeNonAsciiCharacterAsCodePoint": "true"})
+    inner = F.regexp_replace(quoted, r'^\{"v":"|"\}$', "")
+    escaped = F.regexp_replace(inner, r'\\(["\\])', "$1")
+    return F.when(json.rlike(r"[^\x00-\x7F]"), escaped).otherwise(json)

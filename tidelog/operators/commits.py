@@ -92,9 +92,8 @@ def event_lines(events: DataFrame) -> DataFrame:
     own = F.coalesce(F.col("record").try_cast("map<string,variant>"),
                      F.create_map().cast("map<string,variant>"))
     kept = F.map_filter(fields, lambda k, _: ~F.array_contains(F.map_keys(own), k))
-    line = F.to_json(F.map_concat(kept, own), {
-        "writeNonAsciiCharacterAsCodePoint": "true", "ignoreNullFields": "false"})
-    return events.select("collect_date", line.alias("value"))
+    line = F.to_json(F.map_concat(kept, own), {"ignoreNullFields": "false"})
+    return events.select("collect_date", records.ascii_json(line).alias("value"))
 
 
 def block_rows(repos: DataFrame) -> DataFrame:

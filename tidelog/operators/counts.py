@@ -39,6 +39,8 @@ def type_action_counts(events: DataFrame, actions: list[str] | None = None) -> D
         if len(rows) > MAX_ACTIONS:
             raise ValueError(f"more than {MAX_ACTIONS} actions; use counts_long")
         actions = [r.action for r in rows]
+    if not actions:
+        return small.select("type").distinct()
     wide = small.groupBy("type").pivot("action", actions).agg(F.sum("n"))
     return wide.select("type", *[F.coalesce(F.col(f"`{a}`"), F.lit(0)).alias(a) for a in actions])
 

@@ -44,7 +44,7 @@ def run_day(spark: SparkSession, raw: str, archived: str, roots: list[str], as_o
     if dry_run:
         return table
     archive.gzip_day(spark, raw, day, archived)
-    archive.replicate_by_month(spark, archived, day, roots, counts=table.coalesce(1))
+    archive.replicate_by_month(spark, archived, day, roots, counts=table)
     source = day_lines(spark, raw, archived, day).withColumn("day", F.lit(day))
     verified = archive.backup_verify(
         archive.fingerprint(source, "day"),
