@@ -36,16 +36,18 @@ def lag_windows(events: DataFrame, width: str = "1 minute", delay: str = "10 min
     """``(window_start, lag_s)``: largest lag per tumbling window of collection time."""
     lag = times.epoch_seconds(F.col("collected_at")) - times.epoch_seconds(F.col("commit_time"))
     return (events.withWatermark("collected_at", delay)
-            .groupBy(F.window("collected_at", width)["start"].alias("window_start"))
-            .agg(F.max(lag).alias("lag_s")))
+            .groupBy(F.window("collected_at", width).alias("w"))
+            .agg(F.max(lag).alias("lag_s"))
+            .select(F.col("w.start").alias("window_start"), "lag_s"))
 
 
 def active_endpoint_windows(labels: DataFrame, width: str = "1 second",
                             delay: str = "1 minute") -> DataFrame:
     """``(window_start, n)``: about how many endpoints updated per window."""
     return (labels.withWatermark("ts", delay)
-            .groupBy(F.window("ts", width)["start"].alias("window_start"))
-            .agg(F.approx_count_distinct("endpoint").alias("n")))
+            .groupBy(F.window("ts", width).alias("w"))
+            .agg(F.approx_count_distinct("endpoint").alias("n"))
+            .select(F.col("w.start").alias("window_start"), "n"))
 
 
 def day_counts(events: DataFrame, actions: list[str], delay: str = "1 hour") -> DataFrame:
@@ -54,5 +56,6 @@ def day_counts(events: DataFrame, actions: list[str], delay: str = "1 hour") ->
     A stream cannot pivot, so the actions are configured.
     """
     return (events.withWatermark("collected_at", delay)
-            .groupBy(F.window("collected_at", "1 day")["start"].alias("day"), "type")
-            .agg(*[F.count_if(F.col("action") == a).alias(a) for a in actions]))
+            .groupBy(F.window("collected_at", "1 day").alias("w"), "type")
+            .agg(*[F.count_if(F.col("action") == a).alias(a) for a in actions])
+            .select(F.to_date("w.start").alias("day"), "type", *actions))
