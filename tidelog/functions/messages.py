@@ -35,11 +35,8 @@ def event_name(header: Column) -> Column:
     return F.coalesce(_token(header, EVENT_TOKEN), _token(header, FIRST_TOKEN))
 
 
-def is_process_state(header: Column, max_len: int = MAX_PAYLOAD) -> Column:
-    """A process state change whose payload length is within bounds."""
-    length = _token(header, LENGTH_TOKEN).try_cast("bigint")
-    return F.coalesce(
-        event_name(header).startswith(STATE_PREFIX) & length.between(1, max_len), F.lit(False))
+def payload_length(header: Column) -> Column:
+    return _token(header, LENGTH_TOKEN).try_cast("bigint")
 
 
 def process_name(payload: Column) -> Column:

@@ -63,4 +63,4 @@ def ascii_json(json: Column) -> Column:
     quoted = F.to_json(F.struct(json.alias("v")), {"writeNonAsciiCharacterAsCodePoint": "true"})
     inner = F.regexp_replace(quoted, r'^\{"v":"|"\}$', "")
     escaped = F.regexp_replace(inner, r'\\(["\\])', "$1")
-    return F.when(json.rlike(r"[^\x00-\x7F]"), escaped).otherwise(json)
+    return F.when(F.octet_length(json) != F.length(json), escaped).otherwise(json)

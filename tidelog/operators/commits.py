@@ -70,16 +70,16 @@ def record_overlay(events: DataFrame, names: list[str]) -> DataFrame:
 def event_lines(events: DataFrame) -> DataFrame:
     """``(collect_date, value)``: each event as one flat JSON line.
 
-    Record fields are merged over the envelope; non-ASCII text is escaped.
+    Record fields are merged over the envelope; non-ASCII text is escaped.  Most
+    records share no name with the envelope, and theirs is appended to it as
+    text; only the others are merged field by field.
     """
-    seconds = (F.unix_micros("collected_at").cast("decimal(20,0)") / 1_000_000).cast("decimal(20,6)")
-    commit_seconds = (
-        F.unix_micros("commit_time").cast("decimal(20,0)") / 1_000_000).cast("decimal(20,6)")
+    # Epoch seconds to the microsecond, printed as plain numbers.
     envelope = {
         "seq": F.col("seq"),
-        "collected_at": seconds,
+        "collected_at": F.col("collected_at").cast("decimal(20,6)"),
         "collected_at_str": times.format_event_time(F.col("collected_at")),
-        "commit_time": commit_seconds,
+        "commit_time": F.col("commit_time").cast("decimal(20,6)"),
         "commit_time_str": F.col("commit_time_str"),
         "action": F.col("action"),
         "type": F.col("type"),
@@ -87,13 +87,25 @@ def event_lines(events: DataFrame) -> DataFrame:
         "author": F.col("author"),
         "cid": F.col("cid"),
     }
-    fields = F.create_map(*[x for name, value in envelope.items()
-                            for x in (F.lit(name), value.cast("variant"))])
-    own = F.coalesce(F.col("record").try_cast("map<string,variant>"),
-                     F.create_map().cast("map<string,variant>"))
-    kept = F.map_filter(fields, lambda k, _: ~F.array_contains(F.map_keys(own), k))
-    line = F.to_json(F.map_concat(kept, own), {"ignoreNullFields": "false"})
-    return events.select("collect_date", records.ascii_json(line).alias("value"))
+    nulls = {"ignoreNullFields": "false"}
+    clash = F.coalesce(*[F.try_variant_get("record", f"$.{n}", "variant") for n in envelope]).isNotNull()
+    # Used several times below, so they are columns of their own.
+    rows = events.withColumns({
+        "_head": F.to_json(F.struct(*[v.alias(n) for n, v in envelope.items()]), nulls),
+        "_own": F.to_json("record"), "_clash": clash})
+
+    fields = F.create_map(*[x for n, v in envelope.items() for x in (F.lit(n), v.cast("variant"))])
+    record = F.col("record").try_cast("map<string,variant>")
+    kept = F.map_filter(fields, lambda k, _: ~F.map_contains_key(record, k))
+    merged = F.to_json(F.map_concat(kept, record), nulls)
+
+    line = (F.when(F.col("_clash"), merged)
+            .when(F.col("_own").startswith('{"'), F.concat(
+                F.expr("left(_head, length(_head) - 1)"), F.lit(","),
+                F.expr("right(_own, length(_own) - 1)")))
+            .otherwise(F.col("_head")))
+    return rows.select("collect_date", line.alias("_line")).select(
+        "collect_date", records.ascii_json(F.col("_line")).alias("value"))
 
 
 def block_rows(repos: DataFrame) -> DataFrame:

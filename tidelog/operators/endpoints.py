@@ -13,10 +13,10 @@ from tidelog.operators.ranking import with_position
 BATCH_SIZE = 10
 
 
-def clean_endpoints(rows: DataFrame, column: str = "service_endpoint") -> DataFrame:
-    """``(endpoint)``: normalized, valid ones; still one row per input row."""
-    normal = with_once(rows.select(column), "endpoint", E.normalize_endpoint(F.col(column)))
-    return normal.select("endpoint").where(E.valid_endpoint(F.col("endpoint")))
+def clean_endpoints(rows: DataFrame, *keep: str, column: str = "service_endpoint") -> DataFrame:
+    """``(keep..., endpoint)``: normalized, valid ones; still one row per input row."""
+    normal = with_once(rows.select(*keep, column), "endpoint", E.normalize_endpoint(F.col(column)))
+    return normal.select(*keep, "endpoint").where(E.valid_endpoint(F.col("endpoint")))
 
 
 def sorted_endpoints(clean: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions import messages, times
+from tidelog.functions.once import with_once
 from tidelog.sources.days import latest_day
 
 
@@ -79,6 +80,16 @@ def stall_sessions(events: DataFrame, minutes: int = 20, ts: str = "commit_time"
         F.sum("n").alias("n")).drop("session")
 
 
+def process_state_filter(lines: DataFrame, max_len: int = messages.MAX_PAYLOAD) -> DataFrame:
+    """State-change lines whose payload length is within bounds."""
+    header = F.col("header")
+    # The substring test drops most other events before any pattern is tried.
+    named = lines.where(header.contains(messages.STATE_PREFIX)
+                        & messages.event_name(header).startswith(messages.STATE_PREFIX))
+    sized = with_once(named, "_len", messages.payload_length(header))
+    return sized.where(F.col("_len").between(1, max_len)).drop("_len")
+
+
 def process_states(lines: DataFrame, max_len: int = messages.MAX_PAYLOAD) -> DataFrame:
     """``(process, from_state, to_state)`` of usable process-state lines."""
     header, payload = F.col("header"), F.col("payload")
@@ -86,7 +97,3 @@ def process_states(lines: DataFrame, max_len: int = messages.MAX_PAYLOAD) -> Dat
         messages.process_name(payload).alias("process"),
         messages.from_state(payload).alias("from_state"),
         messages.to_state(header).alias("to_state"))
-
-
-def process_state_filter(lines: DataFrame, max_len: int = messages.MAX_PAYLOAD) -> DataFrame:
-    return lines.where(messages.is_process_state(F.col("header"), max_len))

@@ -9,6 +9,7 @@ from tidelog.functions import endpoints as E
 from tidelog.functions import keys, messages, records, times
 from tidelog.operators import commits, endpoints, health, identity, worklist
 from tidelog.plans.registry import SQL_TIME, query, text_day, text_time
+from tidelog.session import stage
 from tidelog.sources import lines, operations
 from tidelog.sources import testdata as T
 from tidelog.sources.testdata import with_sql
@@ -195,8 +196,7 @@ def required_keys(spark: SparkSession, d: str) -> DataFrame:
 @query("valid_endpoint", with_sql(
     "SELECT page_id, endpoint FROM v_endpoints", "v_urls", "v_norm", "v_endpoints"))
 def valid_endpoint(spark: SparkSession, d: str) -> DataFrame:
-    return T.urls(spark, d).select("page_id", E.normalize_endpoint(
-        F.col("service_endpoint")).alias("endpoint")).where(E.valid_endpoint(F.col("endpoint")))
+    return endpoints.clean_endpoints(T.urls(spark, d), "page_id")
 
 
 @query("valid_date", with_sql(
@@ -299,9 +299,10 @@ def pds_fallback(spark: SparkSession, d: str) -> DataFrame:
     parsed = lines.parse_lines(rows, "did string, operation struct<services: struct<atproto_pds: "
                                "struct<endpoint: string>>, service: string>")
     ops = parsed.select("seq", "row.did", records.pds_endpoint(F.col("row.operation")).alias("pds"))
-    seen = ops.groupBy("did").agg(
+    # Three inputs come from this table, so it is computed once.
+    seen = stage(ops.groupBy("did").agg(
         F.max("seq").alias("last"), F.max_by("pds", "seq").alias("current_pds"),
-        F.min_by("pds", "seq").alias("pds"))
+        F.min_by("pds", "seq").alias("pds")), "accounts")
     errors = seen.select("did", F.expr(
         "if(last % 2 = 0, 'InvalidRequest: no such repo', 'RateLimitExceeded')").alias("message"))
     return identity.pds_fallback(seen.select("did", "pds"), errors,
