@@ -35,10 +35,10 @@ def type_action_counts(events: DataFrame, actions: list[str] | None = None) -> D
     small = counts_long(events)
     if actions is None:
         small = stage(small, "type-action-counts")
-        rows = distinct_actions(small).limit(MAX_ACTIONS + 1).collect()
+        rows = small.select("action").distinct().limit(MAX_ACTIONS + 1).collect()
         if len(rows) > MAX_ACTIONS:
             raise ValueError(f"more than {MAX_ACTIONS} actions; use counts_long")
-        actions = [r.action for r in rows]
+        actions = sorted(r.action for r in rows)
     if not actions:
         return small.select("type").distinct()
     wide = small.groupBy("type").pivot("action", actions).agg(F.sum("n"))

@@ -11,7 +11,7 @@ from tidelog import schemas
 from tidelog.functions import keys, times
 from tidelog.operators import archive, commits, counts, endpoints, health, identity, sinks, worklist
 from tidelog.plans.registry import SQL_TIME, query, text_day, text_time
-from tidelog.session import workspace
+from tidelog.session import stage, workspace
 from tidelog.sources import days, files, lines, operations, streams
 from tidelog.sources import testdata as T
 from tidelog.sources.testdata import with_sql
@@ -364,11 +364,11 @@ def caught_up_stop(spark: SparkSession, d: str) -> DataFrame:
     """Asked at two times: a minute after the newest operation, and much later."""
     ops = identity.parse_operations(T.plc_lines(spark, d)).select(
         times.parse_event_time(F.col("createdAt")).alias("created_at"))
-    newest = ops.agg(F.max("created_at").alias("created_at"))
+    newest = stage(ops.agg(F.max("created_at").alias("created_at")), "newest")
     minute_later = newest.select((F.col("created_at") + F.expr("interval 1 minute")).alias("as_of"))
     answers = []
     for as_of in (minute_later.scalar(), F.lit("2024-03-01 00:00:00").cast("timestamp")):
-        answers.append(operations.caught_up(ops, as_of).withColumn("as_of", text_time(as_of)))
+        answers.append(operations.caught_up(newest, as_of).withColumn("as_of", text_time(as_of)))
     return answers[0].unionByName(answers[1]).select("as_of", "caught_up")
 
 

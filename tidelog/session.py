@@ -19,6 +19,7 @@ SQL_CONF = {
     # Keyed streaming state lives on disk, not on the executor heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     # Sessions are merged inside each input partition before the shuffle, so a
     # busy source sends a few partial sessions instead of all of its rows.
     "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
