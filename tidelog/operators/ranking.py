@@ -37,7 +37,13 @@ def bounded_lists(df: DataFrame, key: str, item: str, item_value: Column,
     A key can own a third of all rows, so its list is never built whole.  The
     number of pieces follows from the key's size, and an item's piece from a hash
     of the item.  ``df`` holds each ``(key, item)`` once.
+
+    The table of sizes is staged: Spark then knows how large it is and only joins
+    by shuffling on the key, with skewed partitions split, when it has outgrown a
+    broadcast.
     """
-    pieces = df.groupBy(key).agg(F.ceil(F.count("*") / F.lit(chunk_size)).alias("_pieces"))
-    placed = df.join(pieces, key).withColumn("chunk", hash_bucket(F.col(item), F.col("_pieces")))
+    df = stage(df, "list-items")
+    sizes = df.groupBy(key).agg(F.ceil(F.count("*") / F.lit(chunk_size)).alias("_pieces"))
+    placed = df.join(stage(sizes, "list-sizes"), key).withColumn(
+        "chunk", hash_bucket(F.col(item), F.col("_pieces")))
     return placed.groupBy(key, "chunk").agg(F.sort_array(F.collect_list(item_value)).alias("items"))
