@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import chat, exact, urls
+from tidelog.llm import bpe, chat, cut, decontam, exact, langid, urls
 from tidelog.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +24,12 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def vocabulary() -> str:
+    """The rank file the queries use."""
+    import public_tokenizers
+    return public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+
+
 def sha256(text: Column) -> Column:
     return F.sha2(text, 256)
 
@@ -88,6 +94,49 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"))
 
 
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No twin: a trained model.  Tests hold it against held-out labels."""
+    return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op5_decontamination", """
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w FROM benchmark),
+win AS (SELECT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS k FROM
+        (SELECT item_id, w, least(10, len(w)) AS n, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+         FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+grams AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS k
+          FROM (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d), sizes WHERE i + n - 1 <= len(w)),
+occ AS (SELECT doc_id, i, n, item_id FROM grams JOIN win USING (k, n)),
+hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+        FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM occ) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM occ) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN found USING (doc_id)""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["end"] - h["start"])
+    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        sha256(F.array_join("items", ",")).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
+
+
+@query("op9_byte_bpe")
+def op9(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
+    """No twin.  Tests hold ids against the reference implementation of the rank file."""
+    path = path or vocabulary()
+    ids = bpe.encode(table(spark, sf_dir, "documents"), path, cut.KNOWN)
+    return bpe.decode(ids, path).select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
+        sha256(F.col("decoded")).alias("decoded_sha256"))
+
+
 # The rules to judge by.
 SITE_RULES = (("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
               ("allow", "com/fr/"), ("block", "com/de/"))
