@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, chat, cut, decontam, exact, langid, urls
+from tidelog.llm import bpe, chat, cut, decontam, exact, langid, lines, urls
 from tidelog.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +126,21 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
                         sha256(F.array_join("items", ",")).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
 
 
+@query("op8_line_dedup", """
+WITH l AS (SELECT doc_id, site, x, i, x[i] AS line, trim(x[i], ' ') AS bare FROM
+           (SELECT doc_id, site, x, unnest(range(1, len(x) + 1)) AS i FROM
+            (SELECT doc_id, coalesce(source, '') AS site, string_split(coalesce(text, ''), chr(10)) AS x FROM documents))),
+b AS (SELECT bare FROM l WHERE bare <> '' GROUP BY bare HAVING count(DISTINCT site) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+       CAST(length(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS BIGINT) AS kept_chars,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM (SELECT *, bare IN (SELECT bare FROM b) AS gone FROM l) GROUP BY doc_id""")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.drop_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.char_length("kept").cast("long").alias("kept_chars"),
+        sha256(F.col("kept")).alias("kept_sha256"))
+
+
 @query("op9_byte_bpe")
 def op9(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """No twin.  Tests hold ids against the reference implementation of the rank file."""
