@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, chat, cut, decontam, exact, langid, lines, urls
+from tidelog.llm import bpe, chat, cut, decontam, exact, jaccard, langid, lines, urls
 from tidelog.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +126,23 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
                         sha256(F.array_join("items", ",")).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
 
 
+@query("op6_ngram_jaccard", """
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + least(4, len(w)) - 1], ' ') AS k
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(4, len(w)) + 2)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (k)
+         WHERE x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+link AS (SELECT a, b FROM common JOIN n p ON p.doc_id = a JOIN n q ON q.doc_id = b
+         WHERE 100 * c >= 85 * (p.n + q.n - c)),
+reach(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.b) AS component_id
+FROM d JOIN reach r ON r.a = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id GROUP BY d.doc_id""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_groups(table(spark, sf_dir, "documents"), jaccard.Rule(n=4, percent=85))
+
+
 @query("op8_line_dedup", """
 WITH l AS (SELECT doc_id, site, x, i, x[i] AS line, trim(x[i], ' ') AS bare FROM
            (SELECT doc_id, site, x, unnest(range(1, len(x) + 1)) AS i FROM

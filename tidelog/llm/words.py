@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes of text handled at a time; a longer text is a block of its own.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 _R = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -104,3 +104,9 @@ def shingles(hashes: np.ndarray, n: int) -> np.ndarray:
     for j in range(n):
         total += hashes[j: len(hashes) - n + 1 + j] * weight[j]
     return mix(total)
+
+
+def shingles_of_rows(rows: np.ndarray) -> np.ndarray:
+    """One hash per row of hashes."""
+    weight = powers(rows.shape[1] + 1)[1:]
+    return mix((rows * weight).sum(axis=1, dtype=np.uint64) + np.uint64(rows.shape[1]))
