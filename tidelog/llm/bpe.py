@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 from tidelog.llm.cut import cutter
 
 #: Characters of text that are cut and encoded at a time.
-BLOCK_CHARS = 1 << 21
+BLOCK_CHARS = 1 << 20
+#: Ids that are decoded at a time.
+BLOCK_IDS = 1 << 19
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -78,7 +80,7 @@ class Pieces:
     Only memory depends on ``MEMORY``: beyond so many pieces it starts anew.
     """
 
-    MEMORY = 800_000
+    MEMORY = 400_000
 
     def __init__(self, path: str):
         self.made, self.known = encoder(path), {}
@@ -189,10 +191,22 @@ def lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.astype(np.int32, copy=False)))
 
 
-def decode_ids(ids, tokens: list[bytes]) -> bytes:
-    """The bytes of a run of ids.  A run may begin or end inside a character, so
-    only bytes joined over a whole text are sure to be UTF-8."""
-    return b"".join([tokens[i] for i in ids])
+class Bytes:
+    """The bytes of ids, for many ids at once."""
+
+    def __init__(self, path: str):
+        known = decoder(path)
+        self.size = np.array([len(t) for t in known], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(known), np.uint8)
+
+    def __call__(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All bytes, and how many each id has.  A run of ids may begin or end inside
+        a character, so only bytes joined over a whole text are sure to be UTF-8."""
+        n = self.size[ids]
+        at = np.repeat(self.start[ids] - (np.cumsum(n) - n), n)
+        at += np.arange(len(at))
+        return self.flat[at], n
 
 
 def decode(tokens: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
@@ -206,13 +220,22 @@ def decode(tokens: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     kind = rows.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = decoder(path)
+        read = Bytes(path)
         for batch in batches:
-            ids = batch.column(1)
-            ends, flat = ids.offsets.to_numpy(), ids.values.to_numpy().tolist()
-            raw = [decode_ids(flat[a:b], known) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            yield pa.RecordBatch.from_pydict({key: batch.column(0), "ids": ids, "decoded": pa.array(raw, pa.binary()),
-                                              "text": pa.array([r.decode("utf-8", "replace") for r in raw])})
+            ends = batch.column(1).offsets.to_numpy()
+            at = 0
+            while at < batch.num_rows:
+                to = max(at + 1, int(np.searchsorted(ends, ends[at] + BLOCK_IDS, side="right")) - 1)
+                part = batch.slice(at, to - at)
+                own = ends[at: to + 1] - ends[at]
+                flat, n = read(part.column(1).flatten().to_numpy())
+                cut = np.concatenate([[0], np.cumsum(n)])[own]
+                joined = flat.tobytes()
+                raw = [joined[a:b] for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_pydict({
+                    key: part.column(0), "ids": part.column(1), "decoded": pa.array(raw, pa.binary()),
+                    "text": pa.array([r.decode("utf-8", "replace") for r in raw], pa.string())})
+                at = to
 
     return rows.mapInArrow(run, f"`{key}` {kind}, ids array<int>, decoded binary, text string")
 
