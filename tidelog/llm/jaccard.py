@@ -37,14 +37,13 @@ from pyspark.sql import functions as F
 
 from tidelog.llm import words as W
 from tidelog.llm.base import discard, stage
+from tidelog.llm.counters import frequency_levels, packed_texts, slots
 from tidelog.llm.links import components
 
 #: Largest set for which subsets are ever considered.
 MOST_LIGHT = 24
 #: Lists up to this length are compared pair by pair at once.
 SHORT_LIST = 32
-#: Counters of the frequency sketch; its size is fixed, whatever the corpus.
-COUNTERS = 1 << 18
 #: First tokens of sets that one task of the list scan gets, on average.
 TOKENS_PER_BUCKET = 400_000
 #: Ids of documents without one lie from here on, by a hash of their set.
@@ -84,40 +83,12 @@ def token_sets(column: pa.Array, n: int) -> Iterator[tuple[int, list[np.ndarray]
                     for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist(), strict=True)]
 
 
-def frequency_levels(texts: DataFrame, n: int) -> np.ndarray:
-    """For each counter how frequent its tokens are: 0, or a level of doubling.
-
-    Every token of every document is counted, in ``COUNTERS`` counters by hash.
-    Only counters well above the mean get a level.  Any levels give right
-    results, since they only order tokens; these make lists short.
-    """
-    part, parts = COUNTERS // 64, 64
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(COUNTERS, np.int64)
-        for batch in batches:
-            for _, raw, offsets in W.text_blocks(batch.column(0)):
-                words = W.split_words(raw, offsets, W.BLANK_SEPARATED)
-                # Shingles across two texts are counted too; that changes no order that matters.
-                if len(words.hash) >= n:
-                    total += np.bincount((W.shingles(words.hash, n) % np.uint64(COUNTERS)).astype(np.int64),
-                                         minlength=COUNTERS)
-        pack = zstandard.ZstdCompressor(level=1)
-        yield pa.RecordBatch.from_pydict({"part": pa.array(range(parts), pa.int32()), "counts": pa.array(
-            [pack.compress(total[i * part:(i + 1) * part].tobytes()) for i in range(parts)], pa.binary())})
-
-    def add(key, table):
-        unpack = zstandard.ZstdDecompressor()
-        total = sum(np.frombuffer(unpack.decompress(x.as_py()), np.int64) for x in table.column("counts"))
-        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
-
-    rows = (texts.select("text").mapInArrow(run, "part int, counts binary").groupBy("part")
-            .applyInArrow(add, "part int, counts binary").collect())
-    total = np.zeros(COUNTERS, np.int64)
-    for i, counts in rows:
-        total[i * part:(i + 1) * part] = np.frombuffer(counts, np.int64)
-    mean = max(total.mean(), 1)
-    return np.where(total >= 4 * mean, np.log2(np.maximum(total, 1) / mean), 0).astype(np.uint8)
+def shingle_hashes(n: int):
+    """All shingles of a block, for the counters; those across two texts change no order that matters."""
+    def of(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        hashes = W.split_words(raw, offsets, W.BLANK_SEPARATED).hash
+        return W.shingles(hashes, n) if len(hashes) >= n else hashes[:0]
+    return of
 
 
 def parity(tokens: np.ndarray) -> bytes:
@@ -152,7 +123,7 @@ def sets_of(docs: DataFrame, rule: Rule, levels: np.ndarray, kind: str) -> DataF
                 firsts, digests, sketches = [], [], []
                 for s in sets:
                     k = len(s) if len(s) <= MOST_LIGHT else rule.first(len(s))
-                    level = levels[(s % np.uint64(COUNTERS)).astype(np.int64)]
+                    level = levels[slots(s)]
                     ordered = s[np.argsort(level, kind="stable")] if level.any() else s
                     firsts.append(ordered[:k].tobytes())
                     digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
@@ -359,17 +330,6 @@ def near_enough(pairs: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
             .select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long"))
 
 
-def packed_texts(docs: DataFrame, kind: str) -> DataFrame:
-    """Texts compressed, for the one time they are shuffled."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3)
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(
-                [pack.compress(x.as_buffer()) for x in batch.column(1)], pa.binary())], ["doc_id", "packed"])
-
-    return docs.mapInArrow(run, f"doc_id {kind}, packed binary")
-
-
 def whole_sets(packed: DataFrame, rule: Rule) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
@@ -414,7 +374,7 @@ def similar_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     kind = "long"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    levels = frequency_levels(rows, rule.n)
+    levels = frequency_levels(rows, shingle_hashes(rule.n))
     every = stage(sets_of(rows, rule, levels, kind), "shingle-sets")
     own = F.coalesce("doc_id", F.lit(NO_ID) + F.pmod(F.xxhash64("digest"), F.lit(1 << 40)))
     # Equal sets are one node: the smallest id that has the set.
@@ -443,7 +403,7 @@ def similar_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(members.select("node")).distinct()
     ends = stage(names.filter("n > 0").withColumn("node", own).join(ends, "node", "left_semi")
                  .select("node", "doc_id").distinct(), "ends")
-    packed = packed_texts(rows.filter(F.col("doc_id").isNotNull()), kind)
+    packed = packed_texts(rows.filter(F.col("doc_id").isNotNull()), "doc_id", kind)
     wanted = whole_sets(packed.join(ends.select("doc_id", "node"), "doc_id"), rule)
     nameless = rows.filter(F.col("doc_id").isNull())
     whole = stage(wanted.unionByName(_nameless_sets(nameless, rule)).dropDuplicates(["node", "tokens"]), "whole-sets")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, chat, cut, decontam, exact, jaccard, langid, lines, urls
+from tidelog.llm import bpe, chat, cut, decontam, exact, jaccard, langid, lines, suffix, urls
 from tidelog.llm.base import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,6 +100,15 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+@query("op4_suffix_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No twin: every byte of every text would be a row of a hundred bytes.  Tests compare with brute force."""
+    left = suffix.remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return left.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+                       sha256(F.col("kept")).alias("kept_sha256"))
+
+
 @query("op5_decontamination", """
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
              'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+') AS w FROM documents),
