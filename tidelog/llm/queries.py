@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, chat, cut, decontam, exact, jaccard, langid, lines, suffix, urls
+from tidelog.llm import bpe, chat, cut, decontam, exact, jaccard, langid, lines, shards, suffix, urls
 from tidelog.llm.base import table
+from tidelog.session import workspace
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -206,3 +207,25 @@ FROM m""")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [*(urls.site_rule(v, s) for v, s in SITE_RULES), *urls.PAGE_RULES]
     return urls.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
+# Parameters of the training order.
+SEQUENCE, SHARD_BYTES, ORDER_KEY = 512, 4 << 20, 20240607
+
+
+@query("op10_token_shards")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all documents as token shards, then read every record back.
+
+    No twin: the ids come from a tokenizer.  Tests rebuild order and records by hand.
+    """
+    path = vocabulary()
+    docs = table(spark, sf_dir, "documents")
+    size = F.octet_length(F.coalesce("text", F.lit("")))
+    # No text has more tokens than bytes.
+    total, most, first, last = docs.agg(F.sum(size), F.max(size), F.min("doc_id"), F.max("doc_id")).first()
+    out = workspace(spark, "token-shards")
+    shards.write_shards(bpe.encode(docs, path, cut.KNOWN), out, SEQUENCE, max(1, -(-(total or 0) // SHARD_BYTES)),
+                        ORDER_KEY, (most or 0) + 1, (first or 0, last or 0))
+    return shards.read_shards(spark, out, SEQUENCE).select(
+        "slot", "shard", "offset", "doc_id", "part", "n_tokens", sha256(F.col("tokens")).alias("tokens_sha256"))
