@@ -52,7 +52,7 @@ def merge_round(runs: DataFrame) -> DataFrame:
 def exact_groups(docs: DataFrame) -> DataFrame:
     """The group of equal texts of every document.
 
-    ``docs`` needs ``doc_id`` and ``text``; other columns are ignored, whatever
+    ``docs`` needs ``doc_id`` (of any type that can be sorted) and ``text``; other columns are ignored, whatever
     their names.  A null text counts as empty, so empty, blank and null texts
     form one group.  Result, one row per input row: ``doc_id``, ``keep_id``,
     ``group_size`` (rows), ``kept`` and ``text_sha256``.  Rows that share a
@@ -71,9 +71,3 @@ def exact_groups(docs: DataFrame) -> DataFrame:
             .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                     F.lower(F.hex("digest")).alias("text_sha256")))
 
-
-def keep_first(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    gone = (exact_groups(docs).filter("not kept")
-            .select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["__gone"]), "left_anti")
