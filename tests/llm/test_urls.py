@@ -1,0 +1,50 @@
+import re
+from urllib.parse import urlsplit  # noqa: F401  (the definition under test differs on purpose)
+
+import pytest
+
+from tidelog.llm import urls
+from tidelog.llm.queries import SITE_RULES
+
+URLS = ["http://a.ORG/x", "https://www.example.org/es/1?q", "https://example.org/en/12", "https://example.org/EN/1", "http://org/",
+        "http://b.com/fr/", "http://b.com/de/x#y", "http://com/de", "http://notexample.org/es/", "x://y.example.org/en/1",
+        "HTTP://Mixed.COM/fr/a?://b.org/", "no scheme", "", None, "http://", "http://h?x=/fr/", "http://h.com/login", "http://h.com/LOGIN/",
+        "http://h.net/a/loginx", "http://h.net/?sessionid=1", "http://z.net/p.jpg?x", "http://z.net/feed/", "http://z.org/login",
+        "http://é.org/es/", "http://a.com/fr/" + "x" * 100_000, "http://a.com\n/fr/", "http://h.net/a?print=true&x"]
+
+
+def brute(url, rules):
+    m = re.match(r"(?s).*?://([^/?#]*)([^?#]*)", url or "")
+    host, path = (m[1].translate(str.maketrans(urls.UPPER, urls.LOWER)), m[2]) if m else ("", "")
+    best = None
+    for verdict, site in SITE_RULES:
+        h, _, p = site.partition("/")
+        if (host == h or host.endswith("." + h)) and path.startswith("/" + p) and (not best or len(site) > len(best[1])):
+            best = (verdict, site)
+    low = (url or "").translate(str.maketrans(urls.UPPER, urls.LOWER))
+    blocked = any(re.search(r.pattern, low) for r in urls.PAGE_RULES)
+    return host, path, best and best[1], best[0] if best else "block" if blocked else "allow"
+
+
+@pytest.mark.parametrize("inline", [True, False])
+def test_against_brute_force(spark, monkeypatch, inline):
+    if not inline:
+        monkeypatch.setattr(urls, "INLINE_RULES", 3)
+    rules = [*(urls.site_rule(v, s) for v, s in SITE_RULES), *urls.PAGE_RULES]
+    rows = [(i, u, "clash", "c") for i, u in enumerate(URLS * 2)] + [(None, URLS[0], "", ""), (0, URLS[0], "", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, tokens string, verdict string")
+    got = sorted((tuple(r) for r in urls.judge_urls(df, rules).collect()), key=str)
+    assert got == sorted(((i, *brute(u, rules)) for i, u, _, _ in rows), key=str)
+    assert urls.judge_urls(df.limit(0), rules).count() == 0
+
+
+def test_rules_are_found_by_their_rarest_token(spark):
+    rules = [urls.site_rule("block", "example.org/es/"), urls.site_rule("allow", "org/"), urls.page_rule("any", "x")]
+    df = spark.createDataFrame([(["example", "org"],), (["org"],), (["example", "org", "es"],)], "tokens array<string>")
+    index = urls.rule_index(df, rules)
+    assert {t: [r.name for r in rs] for t, rs in index.items()} == {"es": ["example.org/es/"], "org": ["org/"], "": ["any"]}
+
+
+def test_no_rules(spark):
+    df = spark.createDataFrame([(1, "http://a.b/c")], "page_id long, url string")
+    assert [tuple(r) for r in urls.judge_urls(df, []).collect()] == [(1, "a.b", "/c", None, "allow")]
