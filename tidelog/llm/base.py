@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidelog.session import configure, workspace
+from tidelog.session import configure, unstage, workspace
+
+#: Rows and bytes of an Arrow batch: a Python worker holds a few at a time, and a
+#: row here may be a whole text or set.
+ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+         "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound what Python workers hold; every operator that uses Python asks for it."""
+    for key, value in ARROW.items():
+        spark.conf.set(key, value)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,9 +36,4 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 def discard(*staged: DataFrame) -> None:
     """Delete staged tables that nothing will read again."""
-    for df in staged:
-        spark = df.sparkSession
-        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(hadoop).delete(path, True)
+    unstage(*staged)

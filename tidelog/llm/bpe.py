@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidelog.llm.base import small_batches
 from tidelog.llm.cut import cutter
 
 #: Characters of text that are cut and encoded at a time.
@@ -162,6 +163,7 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", offset
     row per input row: ``key``, ``ids`` and, with ``offsets``, ``starts`` (the
     character in which each token begins).  Null and empty texts have no ids.
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     kind = rows.schema[key].dataType.simpleString()
 
@@ -216,6 +218,7 @@ def decode(tokens: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     character that the ids hold only in part is U+FFFD.  Null ids are none.  An id outside the
     vocabulary is an error.
     """
+    small_batches(tokens.sparkSession)
     rows = tokens.select(F.col(key), F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
     kind = rows.schema[key].dataType.simpleString()
 

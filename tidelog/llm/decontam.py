@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import words as W
+from tidelog.llm.base import small_batches
 
 #: Bytes of item text that travel to every task at a time.
 ITEM_BYTES = 4 << 20
@@ -186,6 +187,7 @@ def find_items(docs: DataFrame, items: DataFrame, window: int = 10, key: str = "
     ``n_words``, ``hits`` (runs of hit words, ends exclusive) and ``items`` (ids
     as strings, sorted by code point).
     """
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(key), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     kind = rows.schema[key].dataType.simpleString()
     listed = items.select(F.coalesce(F.col(item_key).cast("string"), F.lit("")).alias("id"),

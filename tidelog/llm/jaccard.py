@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import words as W
-from tidelog.llm.base import discard, stage
+from tidelog.llm.base import discard, small_batches, stage
 from tidelog.llm.counters import frequency_levels, packed_texts, slots
 from tidelog.llm.links import components
 
@@ -371,6 +371,7 @@ def similar_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     all of them; documents without id link like others, and a group of
     nothing else has no ``component_id``.
     """
+    small_batches(docs.sparkSession)
     kind = "long"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidelog.llm.base import small_batches
 from tidelog.llm.words import text_blocks
 
 WINDOW = 128
@@ -238,6 +239,7 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", positions: bool
     ``positions``, ``runs``: first byte and language of each stretch of bytes
     with the same label.
     """
+    small_batches(docs.sparkSession)
     text = F.col("text").cast("string")
     rows = docs.select(F.col(key), F.coalesce(text, F.lit("")).alias("text"),
                        F.coalesce(text.rlike(r"\p{L}"), F.lit(False)).alias("letters"))

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tidelog.llm.base import small_batches
 from tidelog.llm.words import mix
 
 #: Ids beside the vocabulary's: the end of a text, and filling.
@@ -119,6 +120,7 @@ def write_shards(tokens: DataFrame, path: str, length: int, shards: int, key: in
     """
     rows = tokens.select(F.col("doc_id").cast("long").alias("doc_id"),
                          F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+    small_batches(tokens.sparkSession)
     first, last = ids
     most = -(-upper // length)
     size = (last - first + 2) * most

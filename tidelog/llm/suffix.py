@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.base import discard, stage
+from tidelog.llm.base import discard, small_batches, stage
 from tidelog.llm.counters import frequency_levels, packed_texts, slots
 from tidelog.llm.words import mix, text_blocks
 
@@ -307,6 +307,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """
     if length < 2 * GRAM:
         raise ValueError(f"strings need at least {2 * GRAM} bytes")
+    small_batches(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62)) - F.pmod(F.xxhash64(text), F.lit(1 << 61)))
     rows = docs.select(key.alias("doc"), text.alias("text"))
