@@ -36,10 +36,41 @@ def test_daily_job_and_its_repetition(spark, folder):
     stored = f"{folder}/a/month=2025-10/collect_date=2025-10-22"
     assert any(n.endswith(".gz") for n in os.listdir(stored + "/lines"))
     counts = spark.read.option("header", True).csv(stored + "/counts")
-    assert counts.columns == ["type", "create", "delete"] and counts.count() == 5
+    assert counts.columns == ["type", "create", "delete", "update", "other"] and counts.count() == 5
     assert archive.gzip_day(spark, f"{folder}/raw", DAY, f"{folder}/z") is False
 
 
+def test_late_lines_are_archived_by_the_next_run(spark, folder):
+    copies, as_of = roots(folder, "a"), DAY + dt.timedelta(days=1)
+    for n in (15, 21):
+        land(spark, f"{folder}/raw", n)
+        report = daily.run_day(spark, f"{folder}/raw", f"{folder}/z", copies, as_of)
+        assert [(r.ok, r.safe) for r in report.collect()] == [(True, True)]
+    raw = spark.read.text(archive.day_path(f"{folder}/raw", DAY)).count()
+    assert raw == 12 == spark.read.text(archive.day_path(f"{folder}/z", DAY)).count()
+    assert archive.read_copies(spark, DAY, copies).count() == 12
+
+
+def test_an_archive_that_lacks_lines_is_not_safe(spark, folder):
+    land(spark, f"{folder}/raw", 15)
+    copies = roots(folder, "a")
+    daily.run_day(spark, f"{folder}/raw", f"{folder}/z", copies, DAY + dt.timedelta(days=1))
+    land(spark, f"{folder}/raw", 15)
+    source = daily.day_lines(spark, f"{folder}/raw", f"{folder}/z", DAY).withColumn("day", F.lit(DAY))
+    verified = archive.backup_verify(archive.fingerprint(source, "day"), archive.fingerprint(
+        archive.read_copies(spark, DAY, copies), "root", "day"), copies)
+    assert rows(archive.retention_gate(verified)) == [(DAY, False)]
+
+
+def test_open_days_and_days_without_a_usable_line_are_refused(spark, folder):
+    land(spark, f"{folder}/raw")
+    with pytest.raises(daily.DayOpen):
+        daily.run_day(spark, f"{folder}/raw", f"{folder}/z", [], DAY, date=DAY)
+    spark.createDataFrame([("{bad",)], "value string").write.text(f"{folder}/bad/collect_date=2025-10-22")
+    with pytest.raises(daily.NothingUsable):
+        daily.run_day(spark, f"{folder}/bad", f"{folder}/z", [], DAY + dt.timedelta(days=1))
+
+
 def test_compressed_day_is_enough(spark, folder):
     land(spark, f"{folder}/raw")
     archive.gzip_day(spark, f"{folder}/raw", DAY, f"{folder}/z")

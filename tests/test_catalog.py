@@ -24,7 +24,8 @@ def duck():
 @pytest.mark.parametrize("name", NAMES)
 def test_query_equals_its_twin(spark, duck, name):
     found = difference(spark, duck, name, entry.queries()[name], entry.oracle_sql()[name], SF_DIR)
-    assert not found or found.endswith("no rows"), found
+    # The smallest tables leave some queries without a row; at any other scale that is an error.
+    assert not found or (found.endswith("no rows") and SF_DIR.endswith("sf0.001")), found
 
 
 def test_every_surveyed_operator_has_a_query():

@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 import random
 
 import pytest
@@ -46,17 +47,48 @@ def test_resume_uses_the_newest_day(spark):
 
 
 def test_latest_day_reads_one_partition(spark, folder):
-    events(spark).write.partitionBy("collect_date").parquet(f"{folder}/e")
+    os.makedirs(f"{folder}/e/collect_date=2026-01-01")  # a day without a file yet
+    events(spark).write.mode("append").partitionBy("collect_date").parquet(f"{folder}/e")
     stored = spark.read.parquet(f"{folder}/e")
-    newest = health.resume_seq(stored)
+    schema = "seq bigint, collected_at timestamp, commit_time timestamp, collect_date date"
+    newest = health.resume_seq(days.newest_day(spark, f"{folder}/e", schema))
     assert newest.first()[0] == 7
-    assert "PartitionFilters: [isnotnull(collect_date" in newest._jdf.queryExecution().toString()
+    plan = newest._jdf.queryExecution().toString()
+    assert "PartitionFilters: [isnotnull(collect_date" in plan
+    files_read = days.newest_day(spark, f"{folder}/e", schema).inputFiles()
+    assert files_read and all("collect_date=2025-01-02" in f for f in files_read)
+    assert days.newest_day(spark, f"{folder}/none", schema).count() == 0
     day = days.day_partition(stored, as_of=dt.date(2025, 1, 2))
     plan = day._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "2025-01-01" in plan
     assert {r.seq for r in day.collect()} == {1, 9}
 
 
+def test_open_stalls(spark):
+    points = [("a", BASE), ("a", BASE + dt.timedelta(minutes=30)), ("b", BASE + dt.timedelta(minutes=35))]
+    df = spark.createDataFrame(points, "type string, commit_time timestamp")
+    got = health.stall_gaps(df, as_of=F.lit("2025-01-01 00:50:00").cast("timestamp"))
+    assert sorted((r.source, r["to"] is None) for r in got.collect()) == [("a", False), ("a", True)]
+
+
+def test_sequence_gaps(spark):
+    rng = random.Random(1)
+    have = sorted(rng.sample(range(1000), 700))
+    want = [(a + 1, b - 1) for a, b in zip(have, have[1:]) if b - a > 1]
+    df = spark.createDataFrame([(s,) for s in have + have[:50]] + [(None,)], "seq bigint")
+    for width in (1, 7, 100_000):
+        assert rows(health.sequence_gaps(df, width)) == want or sorted(
+            tuple(r) for r in health.sequence_gaps(df, width).collect()) == want
+
+
+def test_process_rejects_have_a_reason(spark):
+    df = spark.createDataFrame([(h, p) for h, p, _ in EVENTS], "header string, payload string")
+    got = sorted(r.reject_reason for r in health.process_state_rejects(df).collect())
+    assert got == ["empty payload", "no length", "no length", "payload too long"]
+    named = df.where("header like '%PROCESS_STATE_%'").count()
+    assert health.process_state_filter(df).count() + len(got) == named
+
+
 def test_missing_days(spark):
     got = days.missing_days(events(spark), F.lit(dt.date(2024, 12, 31)), F.lit(dt.date(2025, 1, 4)))
     assert [str(r[0]) for r in rows(got)] == ["2024-12-31", "2025-01-03", "2025-01-04"]

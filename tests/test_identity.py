@@ -96,6 +96,18 @@ def test_every_handle_keeps_its_row(spark):
         ("h1", "d1", "https://one.example"), ("h4", "d4", None), ("h9", "d9", None)]
 
 
+def test_several_documents_of_an_account_give_one_row(spark):
+    handles = spark.createDataFrame([("h1", "d1")], "handle string, did string")
+    twice = docs(spark).withColumn("v", F.lit(1)).unionByName(
+        docs(spark).withColumn("service", F.expr("transform(service, s -> struct(s.type, 'https://new.example' AS serviceEndpoint))"))
+        .withColumn("v", F.lit(2)))
+    assert rows(identity.labeler_endpoints(handles, twice, order=F.col("v"))) == [("h1", "d1", "https://new.example")]
+    repos = spark.createDataFrame([("p", "a")], "pds string, did string")
+    errors = spark.createDataFrame([("a", "InvalidRequest")], "did string, message string")
+    current = spark.createDataFrame([("a", "q"), ("a", "r"), ("a", None)], "did string, current_pds string")
+    assert rows(identity.pds_fallback(repos, errors, current)) == [("a", "r")]
+
+
 def test_endpoints_to_read(spark):
     labels = spark.createDataFrame([("two.example", 7), ("two.example", 9)], "endpoint string, seq bigint")
     got = discovery.endpoints_to_read(views(spark), docs(spark), labels)

@@ -43,7 +43,7 @@ def test_every_line_is_accepted_or_rejected_for_its_reason(spark):
 
 def test_counts_keep_the_null_type_and_fill_zeros(spark):
     good = L.accepted(parsed(spark, [v for v, _ in COUNTED]))
-    table = counts.type_action_counts(good)
+    table = counts.type_action_counts(counts.counts_long(good), ["create", "delete"])
     assert table.columns == ["type", "create", "delete"]
     assert rows(table) == rows(counts.counts_for_actions(good, ["create", "delete"]))
     assert {tuple(r) for r in table.collect()} == {
@@ -51,7 +51,18 @@ def test_counts_keep_the_null_type_and_fill_zeros(spark):
 
 
 def test_no_events_give_an_empty_table(spark):
-    assert counts.type_action_counts(L.accepted(parsed(spark, ["{bad"]))).count() == 0
+    assert counts.type_action_counts(counts.counts_long(L.accepted(parsed(spark, ["{bad"])))).count() == 0
+
+
+def test_any_text_can_be_an_action(spark):
+    odd = ["create", "Create", "type", "a`b", "a.b", "", "other"]
+    events = spark.createDataFrame([("t", a) for a in odd] + [("t", f"x{i}") for i in range(1500)] + [(None, "create")],
+                                   "type string, action string")
+    for table in (counts.type_action_counts(counts.counts_long(events), odd, other="other"),
+                  counts.counts_for_actions(events, odd, other="other")):
+        assert len({c.lower() for c in table.columns}) == len(table.columns) == 9
+        got = {r[0]: tuple(r)[1:] for r in table.collect()}
+        assert got == {"t": (1,) * 7 + (1500,), None: (1,) + (0,) * 7}
 
 
 def test_accepted_and_rejected_partition_a_file(spark, folder):

@@ -110,6 +110,46 @@ def test_a_repeated_batch_writes_once(spark, folder):
     assert spark.read.schema(schemas.EVENT).parquet(f"{folder}/out").count() == 2
 
 
+def test_a_batch_repeated_after_midnight_writes_once(spark, folder):
+    batch = spark.createDataFrame([(1, "commit", "d", T0 % (0, 0), [("create", "a/1", "c")], {"c": "{}"})],
+                                  schemas.COMMIT)
+    for day in ("2025-10-22", "2025-10-23"):
+        ingest.batch_writer(f"{folder}/out", f"{folder}/dead", F.lit(day + " 00:00:00").cast("timestamp"))(batch, 0)
+    stored = spark.read.schema(schemas.EVENT).parquet(f"{folder}/out")
+    assert [str(r.collect_date) for r in stored.collect()] == ["2025-10-23"]
+
+
+def test_lines_that_are_no_frames_are_dead_letters(spark, folder):
+    src = f"{folder}/in/plain-folder"
+    land(src, "a", [frame(1), frame(2, time="bad")])
+    with open(f"{src}/b.json", "w") as f:
+        f.write('{"seq": 3, "kin\n' + json.dumps(frame(4)) + " junk\n")
+    run(ingest.ingest_commits(streams.text_stream(spark, f"{folder}/in", 1), f"{folder}/out", f"{folder}/dead",
+                              f"{folder}/cp", collected_at=collected()))
+    assert {r.seq for r in spark.read.schema(schemas.EVENT).parquet(f"{folder}/out").collect()} == {1}
+    dead = spark.read.schema(schemas.COMMIT + ", error string, value string").parquet(f"{folder}/dead")
+    assert rows(dead.select("seq", "error")) == [(None, "malformed"), (None, "malformed"), (2, "bad time")]
+    assert streams.commit_stream(spark, f"{folder}/in").isStreaming
+
+
+def test_replayed_frames_and_late_rows(spark, folder):
+    src = f"{folder}/in"
+    land(src, "a", [frame(s) for s in range(20)])
+    land(src, "b", [frame(s) for s in range(10, 30)])
+
+    def go():
+        frames = C.keep_commit_frames(streams.commit_stream(spark, src, 1)).withColumn("collected_at", collected())
+        return run(ingest.append_stream(state.replay_dedup_frames(frames, "10 minutes").select("seq"),
+                                        f"{folder}/out", f"{folder}/cp"))
+    assert ingest.late_rows(go()) == 0
+    land(src, "c", [frame(5, time="2025-10-23T00:00:00.5Z"), frame(3)])
+    go()
+    land(src, "d", [frame(1)])
+    assert ingest.late_rows(go()) == 1
+    seqs = sorted(r.seq for r in spark.read.schema("seq bigint").parquet(f"{folder}/out").collect())
+    assert seqs == sorted([*range(30), 5])
+
+
 def test_raw_lines_stream(spark, folder):
     os.makedirs(f"{folder}/in")
     with open(f"{folder}/in/x.txt", "w") as f:

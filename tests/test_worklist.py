@@ -1,3 +1,4 @@
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -75,6 +76,27 @@ def test_repo_lists_stay_small_for_a_huge_server(spark):
     assert flat.count() == 20000 and flat.agg(F.sum("copies")).first()[0] == 20001
 
 
+def test_a_huge_server_is_dealt_out_again_after_the_join(spark):
+    repos = spark.range(3000).selectExpr("if(id < 2000, 'big', if(id < 2100, null, 'p')) AS pds", "'did:' || id AS did")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lists = worklist.repos_by_pds(repos, chunk_size=100)
+        plan = lists._jdf.queryExecution().executedPlan().toString()
+        join = plan.index("Join")
+        assert "hashpartitioning(pds" in plan[:join] and "chunk" in plan[:join]
+        assert lists.where("pds is null").selectExpr("sum(size(items))").first()[0] == 100
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_listing_ends(spark):
+    pages = spark.createDataFrame([("a", 0, False), ("a", 1, True), ("b", 0, False), ("c", 1, True), ("d", 0, True), ("d", 0, True),
+                                   ("e", 0, None)], "k string, page_no int, ended boolean")
+    got = files.listing_complete(pages, "k", F.col("ended"))
+    assert rows(got.select("k", "n_pages", "complete")) == [
+        ("a", 2, True), ("b", 1, False), ("c", 1, False), ("d", 1, True), ("e", 1, False)]
+
+
 def test_json_map_round_trip(spark, folder):
     repos = spark.createDataFrame([("p", "a"), ("p", "b"), ("q", "c")], "pds string, did string")
     sinks.json_map_lines(worklist.repos_by_pds(repos)).write.text(f"{folder}/m")
@@ -114,6 +136,12 @@ def test_documents_are_replaced_whole(spark, folder):
     got = dict(tuple(r) for r in spark.read.parquet(path).select("key", "doc").collect())
     assert len(got) == 101 and got["k1"] == got["n"] == "new" and got["k2"] == "old"
     assert spark.read.parquet(path).count() == 101
+    with pytest.raises(ValueError):
+        sinks.keyed_json_sink(docs(("k1", "y", 3)), path, F.col("v"), buckets=16)
+    for order in (1, -1):
+        tie = docs(*[("t", "a", 1), ("t", "b", 1)][::order])
+        sinks.keyed_json_sink(tie, f"{folder}/tie{order}", F.col("v"), buckets=2)
+        assert spark.read.parquet(f"{folder}/tie{order}").first().doc == "b"
 
 
 def test_ledger(spark, folder):
@@ -121,10 +149,11 @@ def test_ledger(spark, folder):
         return spark.createDataFrame([(x,) for x in dids], "did string")
     for _ in range(2):
         sinks.failure_ledger(failed("a", "b"), f"{folder}/log")
-        sinks.failure_ledger(failed("a", "b"), f"{folder}/set", as_set=True)
-    sinks.failure_ledger(failed("c"), f"{folder}/set", as_set=True)
+        sinks.failure_ledger(failed("a", "b"), f"{folder}/set")
+    sinks.failure_ledger(failed("c"), f"{folder}/set")
     assert spark.read.parquet(f"{folder}/log").count() == 4
-    assert rows(spark.read.parquet(f"{folder}/set")) == [("a",), ("b",), ("c",)]
+    assert rows(sinks.read_failures(spark, f"{folder}/set", "did string", as_set=True)) == [("a",), ("b",), ("c",)]
+    assert sinks.read_failures(spark, f"{folder}/set", "did string").count() == 5
 
 
 def test_csv_keeps_nulls_and_blanks(spark, folder):

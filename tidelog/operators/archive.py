@@ -19,15 +19,16 @@ def copy_path(root: str, day: dt.date) -> str:
 
 
 def gzip_day(spark: SparkSession, path: str, day: dt.date, out: str) -> bool:
-    """Rewrite a finished day compressed; False when it was there already.
+    """Write a day compressed; False when the same lines are there already.
 
     A gzip file cannot be split on reading, so the lines are spread over files of
-    bounded size.  Only a write that finished counts as being there.
+    bounded size.  Only a write that finished counts as being there, and an
+    archive that lacks lines the raw day has, or has others, is written anew.
     """
     target = day_path(out, day)
-    if write_complete(spark, target):
-        return False
     lines = spark.read.text(day_path(path, day)).select("value")
+    if write_complete(spark, target) and same_lines(lines, spark.read.text(target).select("value")):
+        return False
     (lines.hint("rebalance").write.mode("overwrite").option("compression", "gzip").text(target))
     return True
 
@@ -57,6 +58,11 @@ def fingerprint(lines: DataFrame, *keys: str) -> DataFrame:
     return lines.groupBy(*keys).agg(F.count("*").alias("n_rows"), total.alias("content_hash"))
 
 
+def same_lines(a: DataFrame, b: DataFrame) -> bool:
+    """Do both hold the same lines, as often, in any order?"""
+    return fingerprint(a).first() == fingerprint(b).first()
+
+
 def backup_verify(source: DataFrame, copies: DataFrame, roots: list[str]) -> DataFrame:
     """``(day, root, ok)``: is the copy in each root equal and not empty?
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from collections.abc import Sequence
 
-from tidelog.session import stage
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-# A count table has one column per action; more than this is not a report.
-MAX_ACTIONS = 1000
+# The actions of a commit's ops.
+ACTIONS = ("create", "delete", "update")
 
 
 def usable_events(parsed: DataFrame) -> DataFrame:
@@ -26,26 +26,36 @@ def distinct_actions(events: DataFrame) -> DataFrame:
     return usable_events(events).select("action").distinct().orderBy("action")
 
 
-def type_action_counts(events: DataFrame, actions: list[str] | None = None) -> DataFrame:
-    """One row per type, one column per action in sorted order, 0 when absent.
+def column_names(actions: Sequence[str], taken: Sequence[str] = ("type",)) -> list[str]:
+    """A column name for every action: its own, numbered where another column has
+    the same name in any case."""
+    seen, out = {t.lower() for t in taken}, []
+    for action in actions:
+        name, n = action, 1
+        while name.lower() in seen:
+            n += 1
+            name = f"{action}_{n}"
+        seen.add(name.lower())
+        out.append(name)
+    return out
+
+
+def _wide(n_of, actions: Sequence[str], other: str | None) -> list[Column]:
+    names = column_names(actions, ("type", other) if other else ("type",))
+    columns = [n_of(F.col("action") == a).alias(name) for a, name in zip(actions, names, strict=True)]
+    return columns + ([n_of(~F.col("action").isin(list(actions))).alias(other)] if other else [])
 
-    The events are read once: they are reduced to ``(type, action, n)``, that
-    small table is staged, and both the list of actions and the pivot use it.
+
+def type_action_counts(long: DataFrame, actions: Sequence[str] = ACTIONS, other: str | None = None) -> DataFrame:
+    """``counts_long`` turned wide: one row per type, one column per action, 0 when absent.
+
+    The actions are the caller's, so the number of columns never depends on the
+    data; ``other`` names a column that counts all the rest.
     """
-    small = counts_long(events)
-    if actions is None:
-        small = stage(small, "type-action-counts")
-        rows = small.select("action").distinct().limit(MAX_ACTIONS + 1).collect()
-        if len(rows) > MAX_ACTIONS:
-            raise ValueError(f"more than {MAX_ACTIONS} actions; use counts_long")
-        actions = sorted(r.action for r in rows)
-    if not actions:
-        return small.select("type").distinct()
-    wide = small.groupBy("type").pivot("action", actions).agg(F.sum("n"))
-    return wide.select("type", *[F.coalesce(F.col(f"`{a}`"), F.lit(0)).alias(a) for a in actions])
-
-
-def counts_for_actions(events: DataFrame, actions: list[str]) -> DataFrame:
+    return long.groupBy("type").agg(*_wide(
+        lambda c: F.coalesce(F.sum(F.when(c, F.col("n"))), F.lit(0)), actions, other))
+
+
+def counts_for_actions(events: DataFrame, actions: Sequence[str], other: str | None = None) -> DataFrame:
     """The same table in a form a stream accepts: one conditional count per action."""
-    return usable_events(events).groupBy("type").agg(
-        *[F.count_if(F.col("action") == a).alias(a) for a in actions])
+    return usable_events(events).groupBy("type").agg(*_wide(F.count_if, actions, other))

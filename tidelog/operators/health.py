@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.functions import messages, times
@@ -11,7 +11,11 @@ from tidelog.sources.days import latest_day
 
 
 def resume_seq(events: DataFrame) -> DataFrame:
-    """``(seq)``: last sequence number of the newest day; only that day is read."""
+    """``(seq)``: last sequence number of the newest day.
+
+    Only that day is read if ``events`` come from :func:`tidelog.sources.days.newest_day`;
+    of any other table the days are looked through for the newest.
+    """
     return latest_day(events).agg(F.max("seq").alias("seq"))
 
 
@@ -58,12 +62,37 @@ def _buckets(events: DataFrame, ts: str, source: str, minutes: int) -> DataFrame
 
 
 def stall_gaps(events: DataFrame, minutes: int = 20, ts: str = "commit_time",
-               source: str = "type") -> DataFrame:
-    """``(source, from, to)``: silences of at least ``minutes``."""
+               source: str = "type", as_of: Column | None = None) -> DataFrame:
+    """``(source, from, to)``: silences of at least ``minutes``.
+
+    With ``as_of``, a source that has been silent for so long by then has a
+    silence without an end.
+    """
     per = Window.partitionBy("source").orderBy("bucket")
-    gaps = _buckets(events, ts, source, minutes).select(
-        "source", F.lag("last").over(per).alias("from"), F.col("first").alias("to"))
-    return gaps.where(F.unix_micros("to") - F.unix_micros("from") >= minutes * 60_000_000)
+    limit = minutes * 60_000_000
+    buckets = _buckets(events, ts, source, minutes)
+    before, after = F.lag("last").over(per), F.lead("first").over(per)
+    if as_of is None:
+        gaps = buckets.select("source", before.alias("from"), F.col("first").alias("to"))
+        return gaps.where(F.unix_micros("to") - F.unix_micros("from") >= limit)
+    # Each bucket looks ahead, the last one of a source to the present.
+    gaps = buckets.select("source", F.col("last").alias("from"), after.alias("to"))
+    return gaps.where(F.unix_micros(F.coalesce("to", as_of)) - F.unix_micros("from") >= limit)
+
+
+def sequence_gaps(events: DataFrame, width: int = 100_000, seq: str = "seq") -> DataFrame:
+    """``(first_missing, last_missing)``: ranges of sequence numbers that never arrived.
+
+    Numbers are compared inside blocks of ``width``; between blocks only their
+    ends, one row per block, are.
+    """
+    block = F.floor(F.col(seq) / F.lit(width)).cast("bigint").alias("block")
+    once = events.where(F.col(seq).isNotNull()).select(F.col(seq).alias("seq"), block).distinct()
+    inside = once.select("seq", F.lag("seq").over(Window.partitionBy("block").orderBy("seq")).alias("before"))
+    ends = once.groupBy("block").agg(F.min("seq").alias("seq"), F.max("seq").alias("last"))
+    outside = ends.select("seq", F.lag("last").over(Window.orderBy("block")).alias("before"))
+    return inside.unionByName(outside).where("seq - before > 1").select(
+        (F.col("before") + 1).alias("first_missing"), (F.col("seq") - 1).alias("last_missing"))
 
 
 def stall_sessions(events: DataFrame, minutes: int = 20, ts: str = "commit_time",
@@ -80,14 +109,26 @@ def stall_sessions(events: DataFrame, minutes: int = 20, ts: str = "commit_time"
         F.sum("n").alias("n")).drop("session")
 
 
-def process_state_filter(lines: DataFrame, max_len: int = messages.MAX_PAYLOAD) -> DataFrame:
-    """State-change lines whose payload length is within bounds."""
+def _state_lines(lines: DataFrame, max_len: int) -> DataFrame:
+    """State-change lines with ``reject_reason``, null where the payload length is within bounds."""
     header = F.col("header")
     # The substring test drops most other events before any pattern is tried.
     named = lines.where(header.contains(messages.STATE_PREFIX)
                         & messages.event_name(header).startswith(messages.STATE_PREFIX))
     sized = with_once(named, "_len", messages.payload_length(header))
-    return sized.where(F.col("_len").between(1, max_len)).drop("_len")
+    reason = (F.when(F.col("_len").isNull(), "no length").when(F.col("_len") < 1, "empty payload")
+              .when(F.col("_len") > max_len, "payload too long"))
+    return sized.withColumn("reject_reason", reason).drop("_len")
+
+
+def process_state_filter(lines: DataFrame, max_len: int = messages.MAX_PAYLOAD) -> DataFrame:
+    """State-change lines whose payload length is within bounds."""
+    return _state_lines(lines, max_len).where("reject_reason is null").drop("reject_reason")
+
+
+def process_state_rejects(lines: DataFrame, max_len: int = messages.MAX_PAYLOAD) -> DataFrame:
+    """The state-change lines that the filter refuses, with ``reject_reason``."""
+    return _state_lines(lines, max_len).where("reject_reason is not null")
 
 
 def process_states(lines: DataFrame, max_len: int = messages.MAX_PAYLOAD) -> DataFrame:

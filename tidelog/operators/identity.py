@@ -48,11 +48,24 @@ def handle_did_map(views: DataFrame, order: Column | None = None) -> DataFrame:
     return views.groupBy("handle").agg(last["did"].alias("did"))
 
 
+def one_per_account(rows: DataFrame, value: str, order: Column | None = None) -> DataFrame:
+    """The newest row of each account by ``order``; ties, and rows without an order,
+    go to the larger value.  Accounts reduce before any join, so none is multiplied."""
+    rank = F.lit(0) if order is None else order
+    # A value that is there wins over none.
+    last = F.max(F.struct(rank.alias("o"), F.col(value).alias("v")))
+    return rows.groupBy("did").agg(last["v"].alias(value))
+
+
 def labeler_endpoints(handles: DataFrame, did_docs: DataFrame,
-                      wanted: str = "AtprotoLabeler") -> DataFrame:
-    """``(handle, did, service_endpoint)``: every handle, endpoint or null."""
-    found = did_docs.select("did", records.first_service_of_type(
-        F.col("service"), wanted).alias("service_endpoint"))
+                      wanted: str = "AtprotoLabeler", order: Column | None = None) -> DataFrame:
+    """``(handle, did, service_endpoint)``: every handle once, endpoint or null.
+
+    ``order`` tells which of several documents of an account is the newest.
+    """
+    listed = did_docs.select("did", records.first_service_of_type(F.col("service"), wanted).alias(
+        "service_endpoint"), *([order.alias("_order")] if order is not None else []))
+    found = one_per_account(listed, "service_endpoint", None if order is None else F.col("_order"))
     return handles.select("handle", "did").join(found, "did", "left").select(
         "handle", "did", "service_endpoint")
 
@@ -61,8 +74,10 @@ def pds_fallback(repos: DataFrame, errors: DataFrame, current: DataFrame) -> Dat
     """``(did, pds)``: the server to ask, the current one for accounts that moved.
 
     ``errors`` has ``(did, message)``, ``current`` has ``(did, current_pds)``.
-    Errors collapse to one flag per account before they are joined.
+    Errors collapse to one flag, and documents to one server, per account before
+    they are joined.
     """
+    current = one_per_account(current, "current_pds")
     moved = (errors.where(messages.route_error(F.col("message")) == "moved")
              .select("did").distinct().withColumn("moved", F.lit(True)))
     asked = repos.join(moved, "did", "left").join(current, "did", "left")

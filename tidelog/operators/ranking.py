@@ -39,11 +39,14 @@ def bounded_lists(df: DataFrame, key: str, item: str, item_value: Column,
     of the item.  ``df`` holds each ``(key, item)`` once.
 
     The table of sizes is staged: Spark then knows how large it is and only joins
-    by shuffling on the key, with skewed partitions split, when it has outgrown a
-    broadcast.
+    by shuffling on the key when it has outgrown a broadcast.  The pieces are then
+    dealt out by key and piece, so a large key's items are spread over the tasks
+    that build lists, and AQE can split its partition of the join.  A null key has lists like any other.
     """
     df = stage(df, "list-items")
     sizes = df.groupBy(key).agg(F.ceil(F.count("*") / F.lit(chunk_size)).alias("_pieces"))
-    placed = df.join(stage(sizes, "list-sizes"), key).withColumn(
-        "chunk", hash_bucket(F.col(item), F.col("_pieces")))
+    sizes = stage(sizes, "list-sizes").withColumnRenamed(key, "_key")
+    placed = df.join(sizes, df[key].eqNullSafe(sizes["_key"])).withColumn(
+        "chunk", hash_bucket(F.col(item), F.col("_pieces"))).drop("_key", "_pieces")
+    placed = placed.repartition(key, "chunk")
     return placed.groupBy(key, "chunk").agg(F.sort_array(F.collect_list(item_value)).alias("items"))

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.functions.keys import endpoint_key, hash_bucket
-from tidelog.session import path_exists, stage
+from tidelog.session import child_names, path_exists, stage
 
 # A partition folder gets files of bounded size even when one partition holds a
 # large share of the rows: the rebalance hint lets Spark split it over tasks.
@@ -38,36 +38,41 @@ def keyed_json_sink(docs: DataFrame, path: str, order: Column, key: str = "key",
     """Store one document per key, replacing the stored one of the same key.
 
     Documents sit in hash buckets of the key.  Only buckets that receive a
-    document are rewritten, through Spark's dynamic partition overwrite.
+    document are rewritten, through Spark's dynamic partition overwrite.  The
+    number of buckets is part of the folders' names; a table keeps the one it was
+    made with, and another is refused.  Of equal ``order``, the larger document wins.
     """
     spark = docs.sparkSession
-    last = F.max_by(F.col(doc), order).alias(doc)
+    name = f"bucket_of_{buckets}"
+    others = [c for c in child_names(spark, path) if c.startswith("bucket_of_") and not c.startswith(name + "=")]
+    if others:
+        raise ValueError(f"{path} has {others[0].split('=')[0]}, not {name}")
+    last = F.max(F.struct(order.alias("o"), F.col(doc).alias("d")))["d"].alias(doc)
     incoming = docs.groupBy(key).agg(last).withColumn(
-        "bucket", hash_bucket(F.col(key).cast("string"), buckets).cast("int"))
+        name, hash_bucket(F.col(key).cast("string"), buckets).cast("int"))
     incoming = stage(incoming, "documents")
     merged = incoming
     if path_exists(spark, path):
         # At most `buckets` values.
-        touched = [r.bucket for r in incoming.select("bucket").distinct().collect()]
+        touched = [r[0] for r in incoming.select(name).distinct().collect()]
         stored = spark.read.schema(incoming.schema).parquet(path)
-        kept = stored.where(F.col("bucket").isin(touched)).join(
-            incoming.select("bucket", key), ["bucket", key], "left_anti")
+        kept = stored.where(F.col(name).isin(touched)).join(
+            incoming.select(name, key), [name, key], "left_anti")
         # The target is about to be overwritten, so what is kept is staged first.
         merged = incoming.unionByName(stage(kept.select(*incoming.columns), "kept-documents"))
-    (merged.hint("rebalance", F.col("bucket")).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path))
+    (merged.hint("rebalance", F.col(name)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(name).parquet(path))
 
 
-def failure_ledger(failures: DataFrame, path: str, as_set: bool = False) -> None:
-    """Keep failed ids: every failure appended, or a set rewritten whole."""
-    if not as_set:
-        failures.write.mode("append").parquet(path)
-        return
-    spark = failures.sparkSession
-    known = failures
-    if path_exists(spark, path):
-        known = known.unionByName(spark.read.schema(failures.schema).parquet(path))
-    stage(known.distinct(), "failures").write.mode("overwrite").parquet(path)
+def failure_ledger(failures: DataFrame, path: str) -> None:
+    """Append failed ids; what is there is never rewritten."""
+    failures.write.mode("append").parquet(path)
+
+
+def read_failures(spark: SparkSession, path: str, schema: str, as_set: bool = False) -> DataFrame:
+    """Every failure of a ledger, or each failed id once."""
+    known = spark.read.schema(schema).parquet(path)
+    return known.distinct() if as_set else known
 
 
 def json_map_lines(lists: DataFrame, key: str = "pds", items: str = "items") -> DataFrame:

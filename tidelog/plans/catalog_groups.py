@@ -7,11 +7,12 @@ from pyspark.sql import functions as F
 
 from tidelog.operators import archive, counts, endpoints, health, identity, worklist
 from tidelog.plans.registry import SQL_TIME, query, text_day, text_time
-from tidelog.sources import files, operations
+from tidelog.session import workspace
+from tidelog.sources import days, files, operations
 from tidelog.sources import testdata as T
 from tidelog.sources.testdata import with_sql
 
-ACTIONS = ["create", "delete", "update"]
+ACTIONS = list(counts.ACTIONS)
 
 
 @query("type_action_counts", with_sql(
@@ -19,7 +20,7 @@ ACTIONS = ["create", "delete", "update"]
        count(*) FILTER (WHERE action = 'delete') AS "delete",
        count(*) FILTER (WHERE action = 'update') AS "update" FROM v_ops GROUP BY type""", "v_ops"))
 def type_action_counts(spark: SparkSession, d: str) -> DataFrame:
-    return counts.type_action_counts(T.ops(spark, d))
+    return counts.type_action_counts(counts.counts_long(T.ops(spark, d)))
 
 
 @query("type_action_counts_configured", with_sql(
@@ -31,6 +32,20 @@ def type_action_counts_configured(spark: SparkSession, d: str) -> DataFrame:
     return counts.counts_for_actions(T.ops(spark, d), ACTIONS)
 
 
+@query("counts_long", with_sql(
+    "SELECT type, action, count(*) AS n FROM v_ops GROUP BY ALL", "v_ops"))
+def counts_long(spark: SparkSession, d: str) -> DataFrame:
+    return counts.counts_long(T.ops(spark, d))
+
+
+@query("type_action_counts_other", with_sql(
+    """SELECT type, count(*) FILTER (WHERE action = 'create') AS "create",
+       count(*) FILTER (WHERE action <> 'create') AS other FROM v_ops GROUP BY type""", "v_ops"))
+def type_action_counts_other(spark: SparkSession, d: str) -> DataFrame:
+    """Actions that nobody listed are counted together."""
+    return counts.type_action_counts(counts.counts_long(T.ops(spark, d)), ["create"], other="other")
+
+
 @query("distinct_actions", with_sql("SELECT DISTINCT action FROM v_ops", "v_ops"))
 def distinct_actions(spark: SparkSession, d: str) -> DataFrame:
     return counts.distinct_actions(T.ops(spark, d))
@@ -87,11 +102,24 @@ def duplicate_endpoints(spark: SparkSession, d: str) -> DataFrame:
     return endpoints.duplicate_endpoints(endpoints.clean_endpoints(T.urls(spark, d)))
 
 
+OPS = ("seq bigint, commit_time timestamp, collected_at timestamp, action string, type string, author string, "
+       "collect_date date")
+
+
+def _newest(spark: SparkSession, d: str) -> DataFrame:
+    """The newest day of the ops, stored by day."""
+    path = workspace(spark, "ops-by-day")
+    columns = [c.split()[0] for c in OPS.split(", ")]
+    (T.ops(spark, d).select(*columns).hint("rebalance", F.col("collect_date"))
+     .write.partitionBy("collect_date").parquet(path))
+    return days.newest_day(spark, path, OPS)
+
+
 @query("resume_seq", with_sql(
     "SELECT max(seq) AS seq FROM v_ops WHERE collect_date = (SELECT max(collect_date) FROM v_ops)",
     "v_ops"))
 def resume_seq(spark: SparkSession, d: str) -> DataFrame:
-    return health.resume_seq(T.ops(spark, d))
+    return health.resume_seq(_newest(spark, d))
 
 
 @query("resume_seq_by_endpoint", with_sql(
@@ -192,12 +220,33 @@ def stall_gaps(spark: SparkSession, d: str) -> DataFrame:
         "source", text_time("from").alias("from"), text_time("to").alias("to"))
 
 
+@query("stall_gaps_open", with_sql(
+    f"""SELECT source, strftime(commit_time, '{SQL_TIME}') AS "from", strftime(after, '{SQL_TIME}') AS "to"
+        FROM (SELECT type AS source, commit_time,
+                lead(commit_time) OVER (PARTITION BY type ORDER BY seq) AS after FROM v_ops)
+        WHERE coalesce(after, TIMESTAMP '2024-03-01') - commit_time >= INTERVAL 20 MINUTE""", "v_ops"))
+def stall_gaps_open(spark: SparkSession, d: str) -> DataFrame:
+    """Also the silences that still go on in March."""
+    as_of = F.lit("2024-03-01 00:00:00").cast("timestamp")
+    return health.stall_gaps(T.ops(spark, d), as_of=as_of).select(
+        "source", text_time("from").alias("from"), text_time("to").alias("to"))
+
+
+@query("sequence_gaps", with_sql(
+    """SELECT before + 1 AS first_missing, seq - 1 AS last_missing
+       FROM (SELECT seq, lag(seq) OVER (ORDER BY seq) AS before FROM v_ops WHERE action <> 'delete')
+       WHERE seq - before > 1""", "v_ops"))
+def sequence_gaps(spark: SparkSession, d: str) -> DataFrame:
+    """Missing numbers once deletions are taken out."""
+    return health.sequence_gaps(T.ops(spark, d).where("action <> 'delete'"), width=1000)
+
+
 @query("last_valid_event", with_sql(
     """SELECT seq, action, type, author FROM v_ops
        WHERE collect_date = (SELECT max(collect_date) FROM v_ops)
        ORDER BY seq DESC LIMIT 1""", "v_ops"))
 def last_valid_event(spark: SparkSession, d: str) -> DataFrame:
-    return health.last_valid_event(T.ops(spark, d), "seq", "collect_date", "action", "type",
+    return health.last_valid_event(_newest(spark, d), "seq", "collect_date", "action", "type",
                                    "author").select("seq", "action", "type", "author")
 
 
@@ -206,7 +255,7 @@ def last_valid_event(spark: SparkSession, d: str) -> DataFrame:
        FROM v_ops WHERE collect_date = (SELECT max(collect_date) FROM v_ops)
        ORDER BY seq DESC LIMIT 1""", "v_ops"))
 def lag_monitor(spark: SparkSession, d: str) -> DataFrame:
-    return health.lag_monitor(T.ops(spark, d))
+    return health.lag_monitor(_newest(spark, d))
 
 
 @query("latest_file", with_sql(

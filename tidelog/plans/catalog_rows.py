@@ -209,6 +209,14 @@ def valid_date(spark: SparkSession, d: str) -> DataFrame:
                                   times.valid_date(text, real=True).alias("is_day"))
 
 
+@query("process_state_rejects", with_sql(
+    """SELECT event_id, CASE WHEN event_id % 23 = 0 THEN 'no length' WHEN event_id % 29 = 0 THEN 'payload too long'
+         WHEN header LIKE '% len:0' THEN 'empty payload' ELSE 'payload too long' END AS reject_reason
+       FROM v_proc WHERE header LIKE '%PROCESS_STATE_%' AND NOT usable""", "v_proc"))
+def process_state_rejects(spark: SparkSession, d: str) -> DataFrame:
+    return health.process_state_rejects(T.process_lines(spark, d)).select("event_id", "reject_reason")
+
+
 @query("process_state_filter", with_sql(
     "SELECT event_id, header FROM v_proc WHERE usable", "v_proc"))
 def process_state_filter(spark: SparkSession, d: str) -> DataFrame:

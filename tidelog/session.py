@@ -40,11 +40,7 @@ def builder(app: str = "tidelog") -> SparkSession.Builder:
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the settings to a session somebody else made."""
     for key, value in SQL_CONF.items():
-        try:
-            spark.conf.set(key, value)
-        except Exception:  # a setting this Spark version does not know
-            if key == "spark.sql.session.timeZone":
-                raise
+        spark.conf.set(key, value)
     return spark
 
 
@@ -69,7 +65,38 @@ def shared_dir(spark: SparkSession) -> str:
 
 def workspace(spark: SparkSession, name: str) -> str:
     """A new, unused path in the shared folder."""
-    return f"{shared_dir(spark)}/tidelog/{name}-{uuid.uuid4().hex}"
+    return f"{home(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def home(spark: SparkSession) -> str:
+    """This application's own folder in the shared one."""
+    return f"{shared_dir(spark)}/tidelog/{spark.sparkContext.applicationId}"
+
+
+def clear_workspace(spark: SparkSession) -> None:
+    """Delete everything this application staged; call it once no result of it is read any more."""
+    _delete(spark, home(spark))
+
+
+def unstage(*staged: DataFrame) -> None:
+    """Delete staged tables that nothing will read again."""
+    for df in staged:
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            _delete(df.sparkSession, folder)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    if not path_exists(spark, path):
+        return []
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+    return [s.getPath().getName() for s in found]
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

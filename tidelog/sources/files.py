@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog import schemas
@@ -46,6 +46,18 @@ def json_map_scan(spark: SparkSession, path: str, value_type: str,
     return json_map_rows(spark.read.text(path, wholetext=whole_files), value_type)
 
 
+def listing_complete(pages: DataFrame, key: str, ended: Column) -> DataFrame:
+    """``(key, n_pages, complete)``: did the listing of a key reach its end?
+
+    ``ended`` marks a page that names no further one.  Pages are numbered from 0;
+    a listing that lacks a page, or whose last page is not an end, was cut off.
+    """
+    seen = pages.groupBy(key, "page_no").agg(F.bool_or(F.coalesce(ended, F.lit(False))).alias("ended"))
+    last = F.max(F.struct("page_no", "ended"))
+    return seen.groupBy(key).agg(F.count("*").alias("n_pages"), last.alias("last")).select(
+        key, "n_pages", (F.col("last.ended") & (F.col("last.page_no") + 1 == F.col("n_pages"))).alias("complete"))
+
+
 def paged_listing(pages: DataFrame, key: str) -> DataFrame:
     """``(key, page_no, pos, item)``: items of all listing pages of a key.
 

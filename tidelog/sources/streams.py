@@ -3,29 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidelog import schemas
-from tidelog.functions.once import with_once
+from tidelog.sources.lines import accepted, parse_lines
 
 
 def text_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Raw lines as a stream, for tolerant parsing downstream."""
-    reader = spark.readStream
+    """Raw lines as a stream, from files in any folder below ``path``."""
+    reader = spark.readStream.option("recursiveFileLookup", "true")
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     return reader.text(path).select("value")
 
 
 def _frames(spark: SparkSession, path: str, schema: str, max_files: int | None) -> DataFrame:
-    # Text and from_json read nested frames faster than the JSON source does.  A
-    # line that is not JSON becomes a frame of nulls, which the frame filters drop.
-    lines = text_stream(spark, path, max_files)
-    return with_once(lines, "frame", F.from_json("value", schema)).select("frame.*")
+    # Text and from_json read nested frames faster than the JSON source does.
+    return accepted(parse_lines(text_stream(spark, path, max_files), schema))
 
 
 def commit_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
-    """Decoded commit frames as a stream; the position is in the checkpoint."""
+    """Decoded commit frames as a stream; the position is in the checkpoint.
+
+    Lines that are no frame are not in it; ``ingest_commits`` takes the raw lines
+    of ``text_stream`` and sets those aside.
+    """
     return _frames(spark, path, schemas.COMMIT, max_files)
 
 

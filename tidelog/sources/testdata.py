@@ -29,25 +29,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schemas[key]).parquet(path)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a table that is read in one task.
-
-    Such a table is no larger than one split, so moving it costs little; any
-    larger table is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() == 1 else df
-
-
-def ops(spark: SparkSession, sf_dir: str, costly: bool = False) -> DataFrame:
-    """Events as ops; some records carry a type of their own, some are cut short.
-
-    ``costly`` announces that a lot of work per row follows.
-    """
-    rows = table(spark, sf_dir, "events")
-    rows = spread(rows) if costly else rows
-    rows = table(spark, sf_dir, "events")
-    rows = (spread(rows) if costly else rows).selectExpr(
+def ops(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as ops; some records carry a type of their own, some are cut short."""
+    rows = table(spark, sf_dir, "events").selectExpr(
         "*", "cast(ts AS timestamp) AS commit_time",
         "cast(get_json_object(props, '$.k') AS bigint) AS k",
         "cast(floor(value * 20) AS bigint) AS lag_s")
@@ -80,7 +64,7 @@ def commits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ops in the event schema, without going through commits."""
-    return ops(spark, sf_dir, costly=True).selectExpr(
+    return ops(spark, sf_dir).selectExpr(
         "seq", "collected_at", "commit_time",
         f"""date_format(commit_time, "{times.TIME_FORMAT}") AS commit_time_str""", "action", "type",
         "'at://' || author || '/' || type || '/' || seq AS uri", "author",
@@ -91,7 +75,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event lines, some of them damaged in one of seven ways."""
-    line = ops(spark, sf_dir, costly=True).selectExpr(
+    line = ops(spark, sf_dir).selectExpr(
         "seq", "collect_date", "type", "action",
         """'{"seq":' || seq || ',"type":"' || type || '","action":"' || action || '"}' AS line""")
     return line.selectExpr("seq", "collect_date", """CASE
@@ -107,7 +91,7 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def plc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Identity operations: new style, legacy with an empty or a null service map."""
-    return ops(spark, sf_dir, costly=True).selectExpr("seq", f"""'{{"did":"' || author || '","createdAt":"'
+    return ops(spark, sf_dir).selectExpr("seq", f"""'{{"did":"' || author || '","createdAt":"'
         || date_format(commit_time, "{times.TIME_FORMAT}") || '","operation":' || CASE
         WHEN seq % 10 = 0 THEN '{{"services":{{"atproto_pds":{{"endpoint":""}}}},"service":"https://old'
              || (seq % 3) || '.example"}}'
@@ -192,7 +176,7 @@ def process_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
              ELSE ' len:' || user_id END""")
     payload = F.expr("""if(event_id % 11 = 0, 'groupname:g',
         'processname:p' || (user_id % 9) || ' groupname:g from_state:S' || (event_id % 4))""")
-    return spread(table(spark, sf_dir, "events")).select(
+    return table(spark, sf_dir, "events").select(
         "event_id", header.alias("header"), payload.alias("payload"))
 
 

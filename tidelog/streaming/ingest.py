@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 from collections.abc import Callable
 
-from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidelog import schemas
 from tidelog.operators import commits as C
+from tidelog.operators.archive import day_path
 from tidelog.operators.endpoints import keep_label_frames
 from tidelog.operators.sinks import endpoint_label_sink
+from tidelog.session import stage, unstage
+from tidelog.sources.lines import accepted, parse_lines, rejected
 
 
 def events_of(frames: DataFrame, collected_at: Column | None = None) -> DataFrame:
@@ -38,50 +43,109 @@ def append_stream(rows: DataFrame, path: str, checkpoint: str, partition_by: str
 
 def batch_writer(events_path: str, dead_path: str,
                  collected_at: Column | None = None) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that writes events and dead letters.
+    """A ``foreachBatch`` function that writes events and dead letters."""
+    def save(events: DataFrame, path: str) -> None:
+        (events.hint("rebalance", F.col("collect_date")).write.mode("overwrite")
+         .partitionBy("collect_date").parquet(path))
 
-    Every batch owns its ``batch_id`` partitions and overwrites them, so a batch
-    that is repeated after a failure does not write twice.  A commit that cannot
-    be used goes to the dead letters and the stream moves on.
+    return _batch_writer(events_path, dead_path, collected_at, save)
+
+
+def line_writer(lines_path: str, dead_path: str,
+                collected_at: Column | None = None) -> Callable[[DataFrame, int], None]:
+    """The same for day lines: the text that the daily job reads once a day is closed."""
+    def save(events: DataFrame, path: str) -> None:
+        (C.event_lines(events).hint("rebalance", F.col("collect_date")).write.mode("overwrite")
+         .partitionBy("collect_date").text(path))
+
+    return _batch_writer(lines_path, dead_path, collected_at, save)
+
+
+def _batch_writer(path: str, dead_path: str, collected_at: Column | None,
+                  save: Callable[[DataFrame, str], None]) -> Callable[[DataFrame, int], None]:
+    """Every batch owns the folder of its ``batch_id`` and overwrites it whole, so a
+    batch that is repeated after a failure does not write twice, whatever the clock
+    says by then.  A line that is no frame, or a commit that cannot be used,
+    goes to the dead letters with a reason and the stream moves on.
     """
     when = F.current_timestamp() if collected_at is None else collected_at
 
-    def write(frames: DataFrame, batch_id: int) -> None:
-        frames = C.keep_commit_frames(frames).persist(StorageLevel.DISK_ONLY)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if "value" in batch.columns:
+            batch = parse_lines(batch, schemas.COMMIT)
+        frames = stage(batch, "frames")
+        raw = "value" in frames.columns
         try:
-            good, bad = C.split_dead_letters(frames)
-            (C.to_events(good, when).withColumn("batch_id", F.lit(batch_id))
-             .hint("rebalance", F.col("collect_date"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy("collect_date", "batch_id").parquet(events_path))
-            bad.write.mode("overwrite").parquet(f"{dead_path}/batch_id={batch_id}")
+            good, bad = C.split_dead_letters(C.keep_commit_frames(accepted(frames) if raw else frames))
+            save(C.to_events(good, when), f"{path}/batch_id={batch_id}")
+            if raw:
+                bad = bad.unionByName(rejected(frames).withColumnRenamed("reject_reason", "error"),
+                                      allowMissingColumns=True)
+            if bad.limit(1).count():
+                bad.write.mode("overwrite").parquet(f"{dead_path}/batch_id={batch_id}")
         finally:
-            frames.unpersist()
+            unstage(frames)
 
     return write
 
 
-def ingest_commits(frames: DataFrame, events_path: str, dead_path: str, checkpoint: str,
-                   every: str | None = None, collected_at: Column | None = None) -> StreamingQuery:
-    """Stream of commit frames to an event table by day, bad commits set aside."""
-    writer = frames.writeStream.foreachBatch(
-        batch_writer(events_path, dead_path, collected_at)).option("checkpointLocation", checkpoint)
+def _start(rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
+           every: str | None) -> StreamingQuery:
+    writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
 
+def ingest_commits(frames: DataFrame, events_path: str, dead_path: str, checkpoint: str,
+                   every: str | None = None, collected_at: Column | None = None) -> StreamingQuery:
+    """Stream of commit frames, or of their raw lines, to an event table by batch and
+    day; what cannot be used is set aside."""
+    return _start(frames, batch_writer(events_path, dead_path, collected_at), checkpoint, every)
+
+
+def ingest_day_lines(lines: DataFrame, lines_path: str, dead_path: str, checkpoint: str,
+                     every: str | None = None, collected_at: Column | None = None) -> StreamingQuery:
+    """Stream of raw lines of commit frames to event lines by batch and day."""
+    return _start(lines, line_writer(lines_path, dead_path, collected_at), checkpoint, every)
+
+
+def close_day(spark: SparkSession, lines_path: str, raw: str, day: dt.date) -> None:
+    """Gather a finished day's lines from all batches into the daily job's folder.
+
+    Only that day's folders are read.  Many small files of micro-batches become
+    few of bounded size; a repetition replaces them, with what came late.
+    """
+    found = spark.read.text(lines_path).where(F.col("collect_date") == F.lit(day)).select("value")
+    found.hint("rebalance").write.mode("overwrite").text(day_path(raw, day))
+
+
+def after_seq(frames: DataFrame, seq: int | None) -> DataFrame:
+    """Frames beyond a sequence number, to go on from the data when a checkpoint is gone.
+
+    ``seq`` is the answer of ``resume_seq``, null for an empty table.  A stream
+    with a new checkpoint counts its batches from 0 again, so give it a new folder
+    to write to.
+    """
+    return frames if seq is None else frames.where(F.col("seq") > seq)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows a query dropped because they came after its watermark, over the
+    progress reports that Spark keeps."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in query.recentProgress
+               for op in (p if isinstance(p, dict) else json.loads(p.json)).get("stateOperators", []))
+
+
 def line_batch_writer(good_path: str, dead_path: str,
                       parse: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` function for raw lines, parsed as in ``parse_lines``."""
-    from tidelog.sources.lines import accepted, rejected
-
     def write(lines: DataFrame, batch_id: int) -> None:
-        parsed = parse(lines).persist(StorageLevel.DISK_ONLY)
+        parsed = stage(parse(lines), "lines")
         try:
             accepted(parsed).write.mode("overwrite").parquet(f"{good_path}/batch_id={batch_id}")
             rejected(parsed).write.mode("overwrite").parquet(f"{dead_path}/batch_id={batch_id}")
         finally:
-            parsed.unpersist()
+            unstage(parsed)
 
     return write
 
@@ -96,7 +160,4 @@ def ingest_labels(frames: DataFrame, path: str, checkpoint: str, buckets: int =
     def write(batch: DataFrame, batch_id: int) -> None:
         endpoint_label_sink(batch, f"{path}/batch_id={batch_id}", buckets, mode="overwrite")
 
-    writer = keep_label_frames(frames).writeStream.foreachBatch(write).option(
-        "checkpointLocation", checkpoint)
-    writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
-    return writer.start()
+    return _start(keep_label_frames(frames), write, checkpoint, every)

@@ -18,6 +18,17 @@ def replay_dedup_stream(events: DataFrame, delay: str, ts: str = "collected_at",
     return events.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def replay_dedup_frames(frames: DataFrame, delay: str, ts: str = "collected_at") -> DataFrame:
+    """One copy of commit frames that arrive again within ``delay``.
+
+    Whole frames, before their ops are exploded: the state holds a number and a
+    digest of the content per commit, not a long text per op.
+    """
+    content = F.md5(F.to_json(F.struct(*[c for c in frames.columns if c != ts])))
+    once = frames.withColumn("_content", content).withWatermark(ts, delay)
+    return once.dropDuplicatesWithinWatermark(["seq", "_content"]).drop("_content")
+
+
 def stall_sessions_stream(events: DataFrame, minutes: int = 20, delay: str = "1 hour",
                           ts: str = "commit_time", source: str = "type") -> DataFrame:
     """``(source, start, end, n)``: live periods, each given out once it is over.
