@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.llm import bpe, cut, decontam, exact, jaccard, langid
-from tidelog.llm.base import stage, table
+from tidelog.llm.base import checked, stage, table
 from tidelog.llm.queries import sha256, vocabulary
 
 #: A document goes when no language reaches this mean probability over its bytes.
@@ -31,11 +31,15 @@ def row_key() -> Column:
 
 
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose keys are the only column of ``gone``."""
+    """``docs`` without the rows whose keys are the only column of ``gone``.
+
+    Texts are not shuffled as long as the keys are few enough to broadcast.
+    """
     key = "__key"
     while key in docs.columns:
         key = "_" + key
-    return docs.withColumn(key, row_key()).join(gone.toDF(key), key, "left_anti").drop(key)
+    keys = checked(stage(gone.toDF(key).distinct(), "gone"))
+    return docs.withColumn(key, row_key()).join(keys, key, "left_anti").drop(key)
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +63,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Texts without words, and documents without id, all stay.
     """
     groups = jaccard.similar_groups(docs, NEAR).filter(F.col("component_id") != F.col("doc_id"))
-    gone = groups.select(F.col("doc_id").alias("__gone")).distinct()
+    gone = checked(stage(groups.select(F.col("doc_id").alias("__gone")).distinct(), "gone"))
     return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidelog.session import configure, unstage, workspace
 
@@ -12,6 +13,18 @@ ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
          "spark.sql.execution.arrow.maxBytesPerBatch": str(16 << 20)}
 
 
+#: Rows of fixed width that may be broadcast: some tens of megabytes.
+BROADCAST_ROWS = 500_000
+
+
+def checked(staged: DataFrame) -> DataFrame:
+    """A staged table of fixed-width rows, broadcast if it is counted to be small.
+
+    A larger one is left to the planner, which joins by shuffling.
+    """
+    return F.broadcast(staged) if staged.count() <= BROADCAST_ROWS else staged
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound what Python workers hold; every operator that uses Python asks for it."""
     for key, value in ARROW.items():

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import words as W
-from tidelog.llm.base import discard, small_batches, stage
+from tidelog.llm.base import checked, discard, small_batches, stage
 from tidelog.llm.counters import frequency_levels, packed_texts, slots
 from tidelog.llm.links import components
 
@@ -330,16 +330,21 @@ def near_enough(pairs: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
             .select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long"))
 
 
-def whole_sets(packed: DataFrame, rule: Rule) -> DataFrame:
+def whole_sets(texts: DataFrame, rule: Rule) -> DataFrame:
+    """``(node, tokens)`` of ``(node, held)``, a text or a compressed one."""
+    compressed = texts.schema["held"].dataType.simpleString() == "binary"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            texts = pa.array([unpack.decompress(x.as_py()).decode() for x in batch.column(1)], pa.string())
-            for row, sets in token_sets(texts, rule.n):
+            held = batch.column(1)
+            if compressed:
+                held = pa.array([unpack.decompress(x.as_py()).decode() for x in held], pa.string())
+            for row, sets in token_sets(held, rule.n):
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(sets)),
                                                   pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "tokens"])
 
-    return packed.select("node", "packed").mapInArrow(run, "node long, tokens binary")
+    return texts.select("node", "held").mapInArrow(run, "node long, tokens binary")
 
 
 def compared(pairs: DataFrame, tokens: DataFrame, rule: Rule) -> DataFrame:
@@ -404,8 +409,13 @@ def similar_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(members.select("node")).distinct()
     ends = stage(names.filter("n > 0").withColumn("node", own).join(ends, "node", "left_semi")
                  .select("node", "doc_id").distinct(), "ends")
-    packed = packed_texts(rows.filter(F.col("doc_id").isNotNull()), "doc_id", kind)
-    wanted = whole_sets(packed.join(ends.select("doc_id", "node"), "doc_id"), rule)
+    # Few of them are broadcast; otherwise texts are shuffled once, compressed.
+    few, named = checked(ends), rows.filter(F.col("doc_id").isNotNull())
+    if few is not ends:
+        wanted = whole_sets(named.join(few, "doc_id").select("node", F.col("text").alias("held")), rule)
+    else:
+        wanted = whole_sets(packed_texts(named, "doc_id", kind).join(ends, "doc_id").select(
+            "node", F.col("packed").alias("held")), rule)
     nameless = rows.filter(F.col("doc_id").isNull())
     whole = stage(wanted.unionByName(_nameless_sets(nameless, rule)).dropDuplicates(["node", "tokens"]), "whole-sets")
     links = stage(compared(pairs, whole, rule).unionByName(proven), "links")
