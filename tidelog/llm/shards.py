@@ -135,26 +135,36 @@ def write_shards(tokens: DataFrame, path: str, length: int, shards: int, key: in
 
 def read_shards(spark: SparkSession, path: str, length: int) -> DataFrame:
     """Every record of the shards under ``path`` in slots: ``slot``, ``shard``, ``offset``
-    (bytes into the shard), ``doc_id``, ``part``, ``n_tokens`` and ``tokens`` (16-bit, little-endian, unfilled)."""
+    (bytes into the shard), ``doc_id``, ``part``, ``n_tokens`` and ``tokens`` (16-bit, little-endian, unfilled).
+
+    A task holds as many whole shards at a time as fit a file split; a training
+    job that streams one shard uses ``read_from``.
+    """
     width = stride(length)
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "false").load(path)
-             .select(F.col("shard").cast("int").alias("shard"), F.floor(F.col("length") / width).cast("int").alias("n"), "content"))
-    # One row per shard reaches the window: its first slot.
-    sizes = files.select("shard", "n")
-    firsts = sizes.select("shard", (F.sum("n").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)))
-                          .alias("first"))
-    cut = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.substring("content", i * width + 1, F.lit(width)))
-    records = (files.filter("n > 0").select("shard", F.posexplode(cut).alias("at", "record"))
-               .join(firsts, "shard").withColumn("slot", F.coalesce("first", F.lit(0)) + F.col("at")))
-
-    def number(start: int, size: int):
-        return F.conv(F.hex(F.substring("record", F.lit(start), F.lit(size))), 16, -10).cast("long")
-
-    held = records.select("slot", "shard", (F.col("at") * width).cast("long").alias("offset"),
-                          number(1, 8).alias("id"), number(9, 4).cast("int").alias("part"),
-                          number(13, 4).cast("int").alias("n_tokens"), "record")
-    return held.select("slot", "shard", "offset", F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "part", "n_tokens",
-                       F.substring("record", F.lit(HEADER + 1), F.col("n_tokens") * 2).alias("tokens"))
+    files = spark.read.format("binaryFile").load(path)
+    # One row per shard, from the files' lengths alone: its first slot.
+    sizes = files.select(F.col("shard").cast("int").alias("shard"), F.floor(F.col("length") / width).alias("n"))
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    firsts = sizes.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                raw = content.as_py()
+                rows = np.frombuffer(raw, np.dtype([("id", ">i8"), ("part", ">i4"), ("n", ">i4"), ("rest", f"V{width - HEADER}")]))
+                at = np.arange(len(rows), dtype=np.int64) * width
+                ends = at + HEADER + 2 * rows["n"]
+                yield pa.RecordBatch.from_pydict({
+                    "shard": pa.array(np.full(len(rows), shard, np.int32)), "offset": pa.array(at),
+                    "id": pa.array(rows["id"].astype(np.int64)), "part": pa.array(rows["part"].astype(np.int32)),
+                    "n_tokens": pa.array(rows["n"].astype(np.int32)),
+                    "tokens": pa.array([raw[x + HEADER: y] for x, y in zip(at.tolist(), ends.tolist(), strict=True)], pa.binary())})
+
+    records = files.select(F.col("shard").cast("int").alias("shard"), "content").mapInArrow(
+        run, "shard int, offset long, id long, part int, n_tokens int, tokens binary")
+    return records.join(F.broadcast(firsts), "shard").select(
+        (F.col("first") + F.expr(f"offset div {width}")).alias("slot"), "shard", "offset",
+        F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "part", "n_tokens", "tokens")
 
 
 def read_from(file, slot: int, first: int, length: int) -> Iterator[tuple[int, np.ndarray]]:
