@@ -26,13 +26,21 @@ def line_key(line: Column) -> Column:
     return F.struct(F.xxhash64(bare).alias("line"), F.hash(bare).alias("check"), F.octet_length(bare).alias("n_bytes"))
 
 
+def owner() -> Column:
+    """What a document's lines are gathered by: its id, or else a hash of its text.
+
+    Two documents may share it, as all that is gathered is which lines are boilerplate.
+    """
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+
+
 def site_lines(docs: DataFrame, site: str) -> DataFrame:
     """One row per line that is not blank: its document, site and hashes."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return (docs.select(F.col("doc_id"), F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"),
+    return (docs.select(owner().alias("owner"), F.coalesce(F.col(site).cast("string"), F.lit("")).alias("site"),
                         F.explode(F.split(text, "\n")).alias("words"))
-            .filter(F.trim("words") != "").select("doc_id", "site", line_key(F.col("words")).alias("k"))
-            .select("doc_id", "site", "k.*"))
+            .filter(F.trim("words") != "").select("owner", "site", line_key(F.col("words")).alias("k"))
+            .select("owner", "site", "k.*"))
 
 
 def doubt_band(min_sites: int) -> tuple[float, float]:
@@ -68,16 +76,17 @@ def drop_lines(docs: DataFrame, min_sites: int = MIN_SITES, site: str = "source"
     common = stage(boilerplate(lines, min_sites), "boilerplate")
     # What a document has to lose: the set holds boilerplate only, so rows that
     # share an id, or have none, can share it.
-    loses = (lines.join(common, LINE).groupBy(F.coalesce("doc_id", F.lit(-1)).alias("__of"))
+    loses = (lines.join(common, LINE).groupBy(F.col("owner").alias("__of"))
              .agg(F.collect_set(F.struct(*LINE)).alias("__loses")))
     loses = stage(loses, "boilerplate-by-document")
     discard(lines)
     rows = docs.select(F.col("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
-                       F.coalesce(F.col("doc_id"), F.lit(-1)).alias("__of"))
+                       owner().alias("__of"))
     pieces = F.split("text", "\n")
     stays = F.when(F.col("__loses").isNull(), pieces).otherwise(
         F.filter(pieces, lambda p: ~F.array_contains(F.col("__loses"), line_key(p))))
-    return (rows.join(loses, "__of", "left")
+    # One plan at every size: sets differ in width, so counting them bounds no broadcast.
+    return (rows.join(loses.hint("merge"), "__of", "left")
             .select("doc_id", F.size(pieces).cast("long").alias("n_lines"), stays.alias("stays"))
             .select("doc_id", "n_lines", (F.col("n_lines") - F.size("stays")).alias("n_removed"),
                     F.array_join("stays", "\n").alias("kept")))
