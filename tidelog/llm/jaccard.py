@@ -96,7 +96,9 @@ def parity(tokens: np.ndarray) -> bytes:
 
     The bits in which two sketches differ are at most the tokens in which the sets do.
     """
-    bits = max(64, 1 << (2 * len(tokens) - 1).bit_length())
+    # Four to eight bits a token: few tokens flip a bit back, so that sets just
+    # under the threshold are seen to be too far apart.
+    bits = max(64, 1 << (4 * len(tokens) - 1).bit_length())
     flips = np.bincount((tokens % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
 
