@@ -10,6 +10,8 @@ are one document and stay or go together.  Empty tables pass through.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -57,14 +59,37 @@ def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return without(docs, groups.filter("not kept").select("doc_id"))
 
 
+def row_number(key: Column, salt: int) -> Column:
+    """A whole number for a row key, below those that ``jaccard`` gives to rows without id."""
+    return F.xxhash64(key, F.lit(salt)).bitwiseAND(F.lit(jaccard.NO_ID - 1))
+
+
+def numbered(docs: DataFrame) -> tuple[DataFrame, int]:
+    """The row keys of ``docs`` with their numbers, and a salt with which no two keys share a number.
+
+    Numbers are hashes, so that texts need no join to get them.
+    """
+    rows = stage(docs.select(row_key().alias("key")).distinct(), "row-keys")
+    for salt in itertools.count():
+        keys = rows.select("key", row_number(F.col("key"), salt).alias("number"))
+        if not keys.groupBy("number").count().filter("count > 1").limit(1).count():
+            return keys, salt
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the smallest id of every group of similar texts.
+    """Keep the first row, by its key, of every group of similar texts.
 
-    Texts without words, and documents without id, all stay.
+    Texts without words all stay.
     """
-    groups = jaccard.similar_groups(docs, NEAR).filter(F.col("component_id") != F.col("doc_id"))
-    gone = checked(stage(groups.select(F.col("doc_id").alias("__gone")).distinct(), "gone"))
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    keys, salt = numbered(docs)
+    groups = jaccard.similar_groups(docs.select(row_number(row_key(), salt).alias("doc_id"), "text"), NEAR)
+    linked = stage(groups.filter(F.col("component_id") != F.col("doc_id"))
+                   .select(F.col("doc_id").alias("number"), "component_id").distinct(), "linked")
+    roots = linked.select(F.col("component_id").alias("number"), "component_id").distinct()
+    members = stage(linked.unionByName(roots).join(keys, "number").select("component_id", "key"), "members")
+    best = checked(stage(members.groupBy("component_id").agg(F.min("key").alias("best")), "best"))
+    gone = members.join(best, "component_id").filter(~F.col("key").eqNullSafe(F.col("best")))
+    return without(docs, gone.select("key"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

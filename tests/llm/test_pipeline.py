@@ -68,3 +68,28 @@ def test_rows_without_id_are_decided_one_by_one(spark, planted, tmp_path, monkey
     assert sorted(r.text for r in kept.collect()) == sorted([clean[1][1] + " x", clean[1][1]])
     kept = pipeline.exact_duplicates(spark, docs, str(tmp_path)).filter("doc_id is null")
     assert sorted(r.text for r in kept.collect()) == sorted(["", clean[1][1] + " x"])
+
+
+def changed(text, word):
+    words = text.split()
+    words[3] = word
+    return " ".join(words)
+
+
+def test_near_copies_without_id_go(spark, planted, tmp_path):
+    clean, _ = planted
+    a, b = clean[1][1], clean[2][1]
+    docs = frame(spark, [(None, a, "en"), (None, changed(a, "other"), "en"), (3, changed(b, "x"), "en"), (None, b, "en"),
+                         (None, clean[3][1], "en"), (None, None, "en"), (None, " ", "en")])
+    kept = [(r.doc_id, r.text) for r in pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()]
+    assert len(kept) == 5 and (3, changed(b, "x")) in kept and (None, b) not in kept
+    assert len({(None, a), (None, changed(a, "other"))} & set(kept)) == 1
+    assert {(None, clean[3][1]), (None, None), (None, " ")} <= set(kept)
+
+
+def test_texts_of_one_id_are_decided_on_one_by_one(spark, planted, tmp_path):
+    clean, _ = planted
+    a, b = clean[1][1], clean[2][1]
+    docs = frame(spark, [(3, a, "en"), (7, changed(a, "other"), "en"), (7, b, "en"), (9, changed(b, "other"), "en")])
+    kept = [(r.doc_id, r.text) for r in pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()]
+    assert sorted(kept) == [(3, a), (7, b)]
