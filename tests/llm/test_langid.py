@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidelog.llm import langid as L
 
@@ -83,6 +84,15 @@ def test_sample_is_bounded_and_excludes_held_out(spark):
     assert len(got) <= 3 * 7 * L.SNIPPETS and all(any(c.decode() in t for t in texts) for c, _ in got)
 
 
+def test_copies_take_no_places_in_the_sample(spark):
+    rnd = random.Random(6)
+    others = [(i, prose("aa", 8, rnd), "aa") for i in range(100)]
+    copied = spark.range(10_000).selectExpr("id + 1000 AS doc_id", f"'{prose('aa', 8, rnd)}' AS text", "'aa' AS lang")
+    df = frame(spark, others).select("doc_id", "text", "lang").unionByName(copied)
+    got = L.sample(df, F.lit(True), per_language=20)
+    assert len({cut.decode() for cut, _ in got}) == 20
+
+
 def test_nothing_to_learn(spark):
     df = frame(spark, [(1, "abc", None)])
     assert L.identify(df).first().lang_pred == "und" and L.identify(df.limit(0)).count() == 0

@@ -174,20 +174,21 @@ def train(snippets: list[tuple[bytes, str]], steps: int = STEPS, seed: int = 1)
 
 
 def sample(docs: DataFrame, learn: Column, per_language: int = PER_LANGUAGE) -> list[tuple[bytes, str]]:
-    """Snippets of at most ``per_language`` documents per language, picked by hash.
+    """Snippets of at most ``per_language`` different texts per language, picked by hash.
 
     The counts per language and the snippets reach the driver: at most
     ``per_language * SNIPPETS * WINDOW`` characters for each language.
     """
     rows = docs.filter(learn & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
         F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    counts = dict(rows.groupBy("lang").count().collect())
+    drawn = F.xxhash64("text")
+    # A text counts once, as it is drawn once: copies take no places in the sample.
+    counts = dict(rows.select("lang", drawn.alias("draw")).distinct().groupBy("lang").count().collect())
     if not counts:
         return []
     # Three times the wanted share, then exactly the wanted number by hash.
     share = F.coalesce(*[F.when(F.col("lang") == F.lit(k), F.lit(min(1.0, 3 * per_language / n)))
                          for k, n in sorted(counts.items())])
-    drawn = F.xxhash64("text")
     rows = rows.withColumn("draw", drawn).filter(F.pmod("draw", F.lit(1_000_003)) < share * 1_000_003)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
     # Short enough to travel: only the snippets of a text enter the sort.
