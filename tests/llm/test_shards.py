@@ -1,9 +1,10 @@
+import collections
 import glob
 
 import numpy as np
 import pytest
 
-from tidelog.llm import shards
+from tidelog.llm import base, queries, shards
 
 KEY, LENGTH = 99, 4
 
@@ -69,3 +70,30 @@ def test_ids_too_far_apart(spark, tmp_path):
     df = spark.createDataFrame([(1, [1])], "doc_id long, ids array<int>")
     with pytest.raises(ValueError):
         shards.write_shards(df, str(tmp_path / "s"), LENGTH, 3, KEY, 9, (0, 1 << 62))
+
+
+DOCS = ([(None, f"text {i}") for i in range(400)] + [(None, "copied")] * 300 + [(7, f"seven {i}") for i in range(300)]
+        + [(1, "x"), ((1 << 63) - 1, "far"), (-(1 << 63) + 1, None), (5, None), (5, "")])
+
+
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_rows_have_numbers_of_their_own(spark, monkeypatch, broadcast):
+    monkeypatch.setattr(base, "BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(shards, "PIECE", 7)
+    df = spark.createDataFrame([(*r, "clash") for r in DOCS], "doc_id long, text string, number string")
+    got = []
+    for parts in (1, 6):
+        rows, n = shards.numbered(df.repartition(parts))
+        got.append(sorted((r.number, r.doc_id, r.text) for r in rows.collect()))
+        assert n == len(DOCS) and [x[0] for x in got[-1]] == list(range(n))
+    assert got[0] == got[1]
+    assert sorted((x[1:] for x in got[0]), key=str) == sorted(DOCS, key=str)
+
+
+def test_shards_are_even_whatever_the_ids(spark, tmp_path, monkeypatch):
+    spark.createDataFrame(DOCS, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(queries, "SHARD_BYTES", sum(len(t or "") for _, t in DOCS) // 7 + 1)
+    got = queries.QUERIES["op10_token_shards"](spark, str(tmp_path)).collect()
+    assert sorted(r.slot for r in got) == list(range(len(DOCS)))
+    sizes = collections.Counter(r.shard for r in got)
+    assert len(sizes) == 7 and max(sizes.values()) < 2 * len(DOCS) / 7

@@ -223,9 +223,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     size = F.octet_length(F.coalesce("text", F.lit("")))
     # No text has more tokens than bytes.
-    total, most, first, last = docs.agg(F.sum(size), F.max(size), F.min("doc_id"), F.max("doc_id")).first()
+    total, most = docs.agg(F.sum(size), F.max(size)).first()
+    rows, n = shards.numbered(docs)
+    tokens = bpe.encode(rows.select(F.struct("number", "doc_id").alias("row"), "text"), path, cut.KNOWN, key="row")
     out = workspace(spark, "token-shards")
-    shards.write_shards(bpe.encode(docs, path, cut.KNOWN), out, SEQUENCE, max(1, -(-(total or 0) // SHARD_BYTES)),
-                        ORDER_KEY, (most or 0) + 1, (first or 0, last or 0))
+    shards.write_shards(tokens.select("row.number", "row.doc_id", "ids"), out, SEQUENCE,
+                        max(1, -(-(total or 0) // SHARD_BYTES)), ORDER_KEY, (most or 0) + 1, (0, max(n - 1, 0)), "number")
     return shards.read_shards(spark, out, SEQUENCE).select(
         "slot", "shard", "offset", "doc_id", "part", "n_tokens", sha256(F.col("tokens")).alias("tokens_sha256"))

@@ -1,12 +1,14 @@
 """Token shards in training order.
 
 Every text's token ids end with ``END`` and are cut into sequences of ``length``
-tokens.  A sequence's number, made of its document's id and its place in the
+tokens.  A sequence's number, made of its row's number and its place in the
 document, goes through a keyed permutation of all such numbers: a Feistel network
 over the next power of four, walked on while it leaves the range.  The permuted
 numbers are dealt to shards by range, and a sequence's slot is its rank among
-all of them, so the order depends on ids and key alone, never on how the
-input is partitioned or how many shards there are.
+all of them.  Rows are numbered by their ids, or densely by ids and texts
+(``numbered``) where ids are missing, repeated or far apart; the order depends on
+these and the key alone, never on how the input is partitioned or how many shards
+there are.
 
 A shard is one file of records of equal length, written by Spark's own writer
 and committed with it: slot ``s`` of a shard that begins at slot ``f`` is at byte
@@ -25,14 +27,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tidelog.llm.base import small_batches
+from tidelog.llm.base import checked, small_batches, stage
 from tidelog.llm.words import mix
+from tidelog.operators.ranking import with_position
 
 #: Ids beside the vocabulary's: the end of a text, and filling.
 END, PAD = 50256, 65535
 HEADER = 16  # document id (8 bytes), place in the document (4), number of tokens (4), all big-endian
 NO_ID = -(1 << 63)
 SEPARATOR = "\n"  # Spark's text writer ends every record with it
+#: Rows repeated whole are handed out in pieces of so many.
+PIECE = 1000
 
 
 @dataclass(frozen=True)
@@ -64,18 +69,50 @@ class Order:
         return out
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, int]:
+    """``number``, ``doc_id`` and ``text`` of every row, and how many rows there are.
+
+    Numbers are dense from 0, in the order of a 128-bit hash of id and text.  Rows
+    repeated whole have numbers of their own that follow each other; as such rows
+    are alike, it does not matter which has which.  Texts are not shuffled as long
+    as the numbers are few enough to broadcast.
+    """
+    rows = docs.select("doc_id", "text")
+    same = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("text").isNull(), F.col("text")]
+    rows = rows.select(F.xxhash64(*same).alias("k"), F.xxhash64(F.lit(1), *same).alias("check"), "*")
+    counts = stage(rows.groupBy("k", "check").agg(F.count(F.lit(1)).alias("n")), "row-counts")
+    # Pieces are dealt out before they become rows, so that a hot row is spread.
+    pieces = F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {PIECE}")))
+    cut = counts.select("k", "check", "n", pieces.alias("piece")).repartition("k", "check", "piece")
+    copies = F.explode(F.sequence(F.col("piece") * PIECE, F.least(F.col("piece") * PIECE + PIECE, F.col("n")) - 1))
+    each = cut.select("*", copies.alias("copy")).select("piece", F.col("n").alias("of"), F.struct("k", "check", "copy").alias("row"))
+    places = stage(with_position(each, "row", "number").select("row.k", "row.check", "piece", "of", "number"), "row-numbers")
+    total = places.count()
+    again = counts.filter("n > 1").select("k", "check", "n")
+    # Rows that are there once find their number; of the others one is kept and dealt out again.
+    out = rows.join(checked(stage(places.filter("of = 1").select("k", "check", "number"), "numbers-once")), ["k", "check"])
+    out = out.select("number", "doc_id", "text")
+    if again.limit(1).count():
+        repeated = (rows.join(checked(stage(again, "rows-again")), ["k", "check"])
+                    .groupBy("k", "check", "n").agg(F.min("doc_id").alias("doc_id"), F.min("text").alias("text"))
+                    .select("k", "check", "doc_id", "text", pieces.alias("piece")).repartition("k", "check", "piece"))
+        more = checked(stage(places.filter("of > 1").select("k", "check", "piece", "number"), "numbers-again"))
+        out = out.unionByName(repeated.join(more, ["k", "check", "piece"]).select("number", "doc_id", "text"))
+    return out, total
+
+
 def _sequences(tokens: DataFrame, length: int, order: Order, first: int, most: int, shards: int) -> DataFrame:
     """Shard, place and compressed record of every sequence."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             ends, flat = batch.column(1).offsets.to_numpy(), batch.column(1).values.to_numpy()
-            ids = batch.column(0).to_pylist()
+            ids, own_numbers = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for at in range(0, len(ids), 500):
                 numbers, records = [], []
                 for i in range(at, min(at + 500, len(ids))):
                     own = np.append(flat[ends[i]: ends[i + 1]], END).astype("<u2")
-                    base = (0 if ids[i] is None else ids[i] - first + 1) * most
+                    base = (0 if own_numbers[i] is None else own_numbers[i] - first + 1) * most
                     key = (NO_ID if ids[i] is None else ids[i]).to_bytes(8, "big", signed=True)
                     for j, s in enumerate(range(0, len(own), length)):
                         part = own[s: s + length]
@@ -108,18 +145,20 @@ def stride(length: int) -> int:
 
 
 def write_shards(tokens: DataFrame, path: str, length: int, shards: int, key: int, upper: int,
-                 ids: tuple[int, int]) -> None:
+                 ids: tuple[int, int], number: str = "doc_id") -> None:
     """Write every row of ``tokens`` (``doc_id``, a whole number, and ``ids``, below 2**16) to ``path``.
 
     ``upper`` bounds the tokens of one row, its end included, and ``ids`` holds the
-    smallest and the largest id; both only say which numbers are permuted.  Null ids
-    of documents and empty or null token lists are legal: such a row is one
-    sequence with the end alone.  Rows with one ``doc_id`` have the same places
-    and follow each other in the order of their records.  Shards get equal ranges
-    of places, so their sizes are even.  An empty table writes no shard.
+    smallest and the largest value of the column ``number``; both only say which numbers
+    are permuted.  Null ids of documents and empty or null token lists are legal: a row
+    without tokens is one sequence with the end alone.  Rows with one number, or none, have
+    the same places and follow each other in the order of their records.  Shards get equal
+    ranges of places, so their sizes are even if every row has a number of its own, as
+    ``numbered`` gives.  An empty table writes no shard.
     """
     rows = tokens.select(F.col("doc_id").cast("long").alias("doc_id"),
-                         F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+                         F.coalesce("ids", F.array().cast("array<int>")).alias("ids"),
+                         F.col(number).cast("long").alias("number"))
     small_batches(tokens.sparkSession)
     first, last = ids
     most = -(-upper // length)
