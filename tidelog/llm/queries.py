@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, chat, cut, decontam, exact, jaccard, langid, lines, shards, suffix, urls
+from tidelog.llm import bpe, chat, cut, decontam, exact, jaccard, langid, lines, repair, shards, suffix, urls
 from tidelog.llm.base import table
 from tidelog.session import workspace
 
@@ -231,3 +231,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
                         max(1, -(-(total or 0) // SHARD_BYTES)), ORDER_KEY, (most or 0) + 1, (0, max(n - 1, 0)), "number")
     return shards.read_shards(spark, out, SEQUENCE).select(
         "slot", "shard", "offset", "doc_id", "part", "n_tokens", sha256(F.col("tokens")).alias("tokens_sha256"))
+
+
+@query("op12_conversation_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Damage all conversations, then repair them.
+
+    No twin: cheapest edits with ties are a recursion over strings.  Tests compare
+    with brute force.
+    """
+    turns = table(spark, sf_dir, "conversations")
+    found = repair.reports(repair.repair(repair.damage(turns)))
+    every = turns.select(F.col("conv_id").alias("_id")).distinct()
+    none = {"audit": F.lit(""), "repaired_sha256": sha256(F.lit(""))}
+    return every.join(found, F.col("_id").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("_id").alias("conv_id"),
+        *[F.coalesce(c, none.get(c, F.lit(0).cast("long"))).alias(c) for c in found.columns[1:]])
