@@ -37,6 +37,9 @@ def brute_edits(rows):
                     cost, letters = best(i + 1, initial, 2)
                     ways.append((cost + cut_off, "K" + letters))
         return min(ways, default=(10 ** 9, ""))
+    for i in range(len(rows), 0, -50):  # keeps the recursion shallow
+        for last in after:
+            best(i, last, 2)
     return best(0, "", 2)
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, chat, cut, decontam, exact, jaccard, langid, lines, repair, shards, suffix, urls
+from tidelog.llm import bpe, chat, cut, decontam, exact, jaccard, langid, lines, repair, shards, suffix, urls, whiten
 from tidelog.llm.base import table
 from tidelog.session import workspace
 
@@ -247,3 +247,10 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return every.join(found, F.col("_id").eqNullSafe(F.col("conv_id")), "left").select(
         F.col("_id").alias("conv_id"),
         *[F.coalesce(c, none.get(c, F.lit(0).cast("long"))).alias(c) for c in found.columns[1:]])
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No twin: eigenvectors.  Tests compare with exact sums and a library's eigenvectors."""
+    found = whiten.whiten(table(spark, sf_dir, "embeddings"))
+    return found.withColumn("deviation", F.col("deviation").try_cast("long"))
