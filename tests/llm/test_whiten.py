@@ -85,7 +85,7 @@ def test_equals_brute_force(spark):
     base = rng.normal(size=(200, 6)) * [3, 2, 1, 0.7, 0.2, 0.1] + [0, 1000, -5, 0, 0, 0]
     rows = [(i, v.tolist()) for i, v in enumerate(base)]
     rows += [(0, rows[5][1]), (None, rows[6][1]), *((1000 + i, rows[7][1]) for i in range(300))]
-    bad = [(900, None), (901, [1.0, None, 0, 0, 0, 0]), (902, [math.nan] * 6), (903, [math.inf] + [0.0] * 5)]
+    bad = [(900, None), (901, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (902, [math.nan] * 6), (903, [math.inf] + [0.0] * 5)]
     odd = [(904, []), (905, [1.0, 2.0])]
     same(W.whiten(frame(spark, rows + bad + odd)), brute(rows + bad))
 

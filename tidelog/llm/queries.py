@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog.llm import bpe, chat, cut, decontam, exact, jaccard, langid, lines, repair, shards, suffix, urls, whiten
+from tidelog.llm import bpe, chat, cut, decontam, exact, jaccard, langid, lines, quality, repair, shards, suffix, urls, whiten
 from tidelog.llm.base import table
 from tidelog.session import workspace
 
@@ -233,6 +233,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "slot", "shard", "offset", "doc_id", "part", "n_tokens", sha256(F.col("tokens")).alias("tokens_sha256"))
 
 
+@query("op11_quality_classifier")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No twin: a trained model.  Tests hold it against held-out labels."""
+    found = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 @query("op12_conversation_repair")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Damage all conversations, then repair them.
