@@ -145,15 +145,19 @@ def tables() -> Tables:
     return Tables(vectors, 0, {1: step1, BLOCK: step}, {1: end1, BLOCK: end}, edits)
 
 
-def cut(symbols: np.ndarray) -> list[tuple[int, int]]:
+def cut(symbols: list[int]) -> list[tuple[int, int]]:
     """``(rows, code)`` of single rows at the left and whole blocks after them."""
     head = len(symbols) % BLOCK
-    weights = SYMBOLS ** np.arange(BLOCK - 1, -1, -1)
-    codes = symbols[head:].reshape(-1, BLOCK).astype(np.int64) @ weights
-    return [(1, int(s)) for s in symbols[:head]] + [(BLOCK, int(c)) for c in codes]
+    out = [(1, s) for s in symbols[:head]]
+    for at in range(head, len(symbols), BLOCK):
+        code = 0
+        for s in symbols[at: at + BLOCK]:
+            code = code * SYMBOLS + s
+        out.append((BLOCK, code))
+    return out
 
 
-def summary(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def summary(symbols: list[int]) -> tuple[np.ndarray, np.ndarray]:
     """What a stretch of rows does, whatever stands around it: for each vector right of
     it the vector left of it, and for each vector and state before it the state after."""
     t, parts = tables(), cut(symbols)
@@ -168,7 +172,7 @@ def summary(symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return vector, state
 
 
-def trace(symbols: np.ndarray, state: int, vector: int) -> tuple[list[str], int]:
+def trace(symbols: list[int], state: int, vector: int) -> tuple[list[str], int]:
     """The edits of each row, from the state before the first and the vector after the last."""
     t, parts = tables(), cut(symbols)
     right = []
@@ -183,7 +187,7 @@ def trace(symbols: np.ndarray, state: int, vector: int) -> tuple[list[str], int]
             inner.append(v)
             v = int(t.step[1][v, sym])
         for sym, v_right in zip(symbols[at: at + rows], reversed(inner), strict=True):
-            letters, state = t.edits[v_right, int(sym), state]
+            letters, state = t.edits[v_right, sym, state]
             out.append(letters)
         at += rows
     return out, state

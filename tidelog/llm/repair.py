@@ -25,8 +25,8 @@ from tidelog.llm import blocks
 from tidelog.llm.base import small_batches, stage
 
 PIECE = 4096
-#: Rows of a batch that a task hands on.
-OUT_ROWS = 500
+#: Pieces a task unpacks, and rows it hands on, at a time.
+IN_PIECES, OUT_ROWS = 32, 500
 # Characters that leave a text blank, and those that end a sentence.
 BLANK = r"^[\x20\x09-\x0D]*$"
 CUT_OFF = r"[^.!?\x20\x09-\x0D][\x20\x09-\x0D]*$"
@@ -143,10 +143,9 @@ def pieces(rows: DataFrame, size: int = PIECE) -> DataFrame:
     return stage(spread.mapInArrow(run, shape), "repair-pieces")
 
 
-def _symbols(piece: list[dict]) -> np.ndarray:
+def _symbols(piece: list[dict]) -> list[int]:
     """Symbols of the rows that may stay; the others leave every state as it is."""
-    return np.array([blocks.symbol(r["role"][:1], r["fault"] == TRUNCATED) for r in piece
-                     if r["fault"] in (OK, TRUNCATED)], np.uint8)
+    return [blocks.symbol(r["role"][:1], r["fault"] == TRUNCATED) for r in piece if r["fault"] in (OK, TRUNCATED)]
 
 
 def places(found: DataFrame) -> DataFrame:
@@ -190,32 +189,41 @@ def _traced(found: DataFrame) -> DataFrame:
              "before array<string>, new_role string, after array<string>")
     schema = _arrow(found.sparkSession.createDataFrame([], shape).schema)
 
+    def traced(piece: dict) -> list[dict]:
+        letters, end = blocks.trace(_symbols(piece["rows"]), piece["state"], piece["vector"])
+        state, left, out = piece["state"], iter(letters), []
+        for r in piece["rows"]:
+            r |= {"conv_id": piece["conv_id"], "edit": "D", "before": [], "new_role": None, "after": []}
+            if r["fault"] in (OK, TRUNCATED):
+                edits = next(left)
+                for _ in edits[:-1]:
+                    r["before"].append(blocks.WRITES[state])
+                    state = blocks.NEXT[state]
+                r["edit"] = edits[-1]
+                if edits[-1] == "R":
+                    r["new_role"], state = blocks.WRITES[state], blocks.NEXT[state]
+                elif edits[-1] == "K":
+                    r["new_role"], state = r["role"], blocks.kept_state(state, blocks.symbol(r["role"][:1], False))
+            out.append(r)
+        assert state == end
+        if piece["last"]:
+            for _ in blocks.last_edits(state):
+                out[-1]["after"].append(blocks.WRITES[state])
+                state = blocks.NEXT[state]
+        return out
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[dict] = []
         for batch in batches:
-            for i in range(batch.num_rows):
-                piece = batch.slice(i, 1).to_pylist()[0]
-                letters, end = blocks.trace(_symbols(piece["rows"]), piece["state"], piece["vector"])
-                state, left, out = piece["state"], iter(letters), []
-                for r in piece["rows"]:
-                    r |= {"conv_id": piece["conv_id"], "edit": "D", "before": [], "new_role": None, "after": []}
-                    if r["fault"] in (OK, TRUNCATED):
-                        edits = next(left)
-                        for _ in edits[:-1]:
-                            r["before"].append(blocks.WRITES[state])
-                            state = blocks.NEXT[state]
-                        r["edit"] = edits[-1]
-                        if edits[-1] == "R":
-                            r["new_role"], state = blocks.WRITES[state], blocks.NEXT[state]
-                        elif edits[-1] == "K":
-                            sym = blocks.symbol(r["role"][:1], False)
-                            r["new_role"], state = r["role"], blocks.kept_state(state, sym)
-                    out.append(r)
-                assert state == end
-                if piece["last"]:
-                    for _ in blocks.last_edits(state):
-                        out[-1]["after"].append(blocks.WRITES[state])
-                        state = blocks.NEXT[state]
-                yield _out(out, schema)
+            # Many short pieces or a few long ones at a time.
+            for at in range(0, batch.num_rows, IN_PIECES):
+                for piece in batch.slice(at, IN_PIECES).to_pylist():
+                    out.extend(traced(piece))
+                    if len(out) >= OUT_ROWS:
+                        yield _out(out, schema)
+                        out = []
+        if out:
+            yield _out(out, schema)
 
     return found.join(places(found), ["part", "seq"]).select(
         "conv_id", "rows", "state", "vector", "last").mapInArrow(run, shape)
