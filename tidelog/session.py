@@ -75,17 +75,18 @@ def home(spark: SparkSession) -> str:
 
 def clear_workspace(spark: SparkSession) -> None:
     """Delete everything this application staged; call it once no result of it is read any more."""
-    _delete(spark, home(spark))
+    delete(spark, home(spark))
 
 
 def unstage(*staged: DataFrame) -> None:
     """Delete staged tables that nothing will read again."""
     for df in staged:
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            _delete(df.sparkSession, folder)
+            delete(df.sparkSession, folder)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file or a folder with all it holds, if it is there."""
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
@@ -99,6 +100,13 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().getName() for s in found]
 
 
+def complete_children(spark: SparkSession, path: str) -> set[str]:
+    """Names of the folders in ``path`` whose write has finished."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path + "/*/_SUCCESS")
+    found = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(p)
+    return {s.getPath().getParent().getName() for s in found or []}
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
