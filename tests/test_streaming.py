@@ -1,3 +1,4 @@
+import datetime as dt
 import json
 import os
 
@@ -5,7 +6,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tidelog import schemas
+from tidelog import batches, schemas
 from tidelog.functions import times
 from tidelog.operators import commits as C
 from tidelog.operators import counts, health
@@ -150,6 +151,43 @@ def test_replayed_frames_and_late_rows(spark, folder):
     assert seqs == sorted([*range(30), 5])
 
 
+def test_restart_from_the_table_in_the_same_folder(spark, folder):
+    src = f"{folder}/in"
+    land(src, "a", [frame(s) for s in range(40)])
+    table = ingest.events_table(spark, f"{folder}/out")
+
+    def go(n):
+        left = ingest.after_seq(streams.commit_stream(spark, src, 1), batches.resume_seq(table).first().seq)
+        return run(ingest.ingest_commits(left, table.path, f"{folder}/dead", f"{folder}/cp{n}", collected_at=collected()))
+    go(0)
+    assert batches.resume_seq(table).first().seq == 39
+    newest = ingest.newest_events(spark, table.path)
+    assert health.last_valid_event(newest, "seq").first().seq == 39 and health.lag_monitor(newest).first().status == "ok"
+    batches.compact(table)
+    land(src, "b", [frame(s) for s in range(30, 70)])
+    go(1)
+    land(src, "c", [frame(s) for s in range(70, 80)])
+    go(1)
+    assert rows(batches.read(table).groupBy("seq").count()) == rows(
+        spark.range(80).selectExpr("id AS seq", "2L AS count"))
+    assert batches.last_batch(table) == 3
+
+
+def test_a_closed_day_is_gathered_from_its_own_batches(spark, folder):
+    src = f"{folder}/in"
+    for n in range(4):
+        land(src, f"f{n}", [frame(n, time=f"2025-10-2{1 + n // 2}T10:00:00.5Z")])
+    run(ingest.ingest_day_lines(streams.text_stream(spark, src, 1), f"{folder}/lines", f"{folder}/dead", f"{folder}/cp",
+                                collected_at=collected()))
+    table = ingest.lines_table(spark, f"{folder}/lines")
+    for n in (0, 1):  # batches of another day may be gone
+        batches.delete(spark, table.folder(n))
+    day = dt.date(2025, 10, 22)
+    ingest.close_day(spark, table.path, f"{folder}/raw", day)
+    lines = [json.loads(r.value)["seq"] for r in spark.read.text(f"{folder}/raw/collect_date={day}").collect()]
+    assert sorted(lines) == [2, 2, 3, 3] and batches.resume_seq(table).first().seq == 3
+
+
 def test_raw_lines_stream(spark, folder):
     os.makedirs(f"{folder}/in")
     with open(f"{folder}/in/x.txt", "w") as f:
@@ -173,9 +211,18 @@ def test_labels_of_many_endpoints_through_one_query(spark, folder):
         land(f"{src}/endpoint_key=e{e}", "x", [
             {"endpoint": f"e{e}", "kind": "labels" if s % 5 else "info", "seq": s, "message": f"m{s}"}
             for s in range(20)])
-    run(ingest.ingest_labels(streams.label_stream(spark, src, 7), f"{folder}/out", f"{folder}/cp", buckets=4))
-    stored = spark.read.schema("endpoint string, seq bigint, message string").json(f"{folder}/out")
-    assert stored.count() == 30 * 16
+    with open(f"{src}/endpoint_key=e1/y.json", "w") as f:
+        f.write('{"endpoint": "e1", "ki\n' + json.dumps({"endpoint": "e1", "kind": "labels", "seq": 99}) + " junk\n")
+    run(ingest.ingest_labels(streams.text_stream(spark, src, 7), f"{folder}/out", f"{folder}/dead", f"{folder}/cp", buckets=4))
+    table = ingest.labels_table(spark, f"{folder}/out")
+    dead = spark.read.schema("value string, error string").parquet(f"{folder}/dead")
+    assert [r.error for r in dead.collect()] == ["malformed"] * 2
+    # A micro-batch has no folder per bucket; gathering sorts the messages into buckets.
+    assert not any("bucket=" in p for p in batches.read(table).inputFiles())
+    stored = rows(batches.read(table))
+    assert batches.compact(table) == 0 and all("bucket=" in p for p in batches.read(table).inputFiles())
+    stored, before = batches.read(table), stored
+    assert rows(stored) == before and len(before) == 30 * 16
     assert rows(stored.groupBy("endpoint").agg(F.max("seq"), F.count("*"))) == sorted(
         (f"e{e}", 19, 16) for e in range(30))
 

@@ -30,13 +30,13 @@ def last_valid_event(events: DataFrame, *columns: str) -> DataFrame:
     return latest_day(events).agg(newest.alias("e")).where("e is not null").select("e.*")
 
 
-def lag_status(row: DataFrame, limit_h: int = 1) -> DataFrame:
-    """``(lag_s, lag_h, status)`` of ``collected_at`` against ``commit_time``.
+def lag_status(row: DataFrame, limit_h: int = 1, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``(keep..., lag_s, lag_h, status)`` of ``collected_at`` against ``commit_time``.
 
     Whole seconds, whole hours cut towards zero; ``alert`` above ``limit_h``
     hours, ``error`` when a time is missing.
     """
-    lag = row.select((times.epoch_seconds(F.col("collected_at"))
+    lag = row.select(*keep, (times.epoch_seconds(F.col("collected_at"))
                       - times.epoch_seconds(F.col("commit_time"))).alias("lag_s"))
     lag = lag.withColumn("lag_h", F.expr("lag_s div 3600"))
     return lag.withColumn("status", F.when(F.col("lag_s").isNull(), "error")

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelog import schemas
+from tidelog import batches, schemas
 from tidelog.functions import keys, times
 from tidelog.operators import archive, commits, counts, endpoints, health, identity, sinks, worklist
 from tidelog.plans import daily
@@ -48,14 +48,41 @@ def _append(rows: DataFrame, name: str, schema: DataFrame, **kw) -> DataFrame:
 
 # ---- scans ---------------------------------------------------------------
 
+def _scan(parsed: DataFrame, name: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Run a stream of parsed lines to its end: its frames and its dead letters."""
+    spark = parsed.sparkSession
+    good, dead = workspace(spark, name), workspace(spark, f"{name}-dead")
+    _run(ingest.ingest_lines(parsed, good, dead, workspace(spark, f"{name}-checkpoint")))
+    return (spark.read.schema(schema).parquet(good),
+            spark.read.schema("value string, reject_reason string").parquet(dead))
+
+
+def _land_broken(rows: DataFrame, landed: str) -> None:
+    """Lines that are cut short or go on after the frame, beside the good ones."""
+    broken = F.expr("""if(seq % 40 = 3, '{"seq":' || seq, '{"seq":' || seq || ',"kind":"commit"} junk')""")
+    rows.where("seq % 40 in (3, 4)").select(broken.alias("value")).write.text(f"{landed}/broken=1")
+
+
+BROKEN = """SELECT CASE WHEN seq % 40 = 3 THEN '{"seq":' || seq ELSE '{"seq":' || seq || ',"kind":"commit"} junk' END AS line
+    FROM {table} WHERE seq % 40 IN (3, 4)"""
+
+
 @query("commit_stream_scan", with_sql(
-    "SELECT seq, kind, repo, time, n_ops, n_blocks FROM v_commits", "v_ops", "v_cops", "v_commits"))
+    f"""SELECT seq, kind, repo, time, n_ops, n_blocks, NULL::VARCHAR AS rejected, NULL::VARCHAR AS reason FROM v_commits
+        UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, line, 'malformed' FROM ({BROKEN.replace('{table}', 'v_ops')})""",
+    "v_ops", "v_cops", "v_commits"))
 def commit_stream_scan(spark: SparkSession, d: str) -> DataFrame:
-    frames = streams.commit_stream(spark, _land(T.commits(spark, d), "commits"), MAX_FILES)
+    landed = _land(T.commits(spark, d), "commits")
+    _land_broken(T.ops(spark, d), landed)
+    frames, dead = _scan(streams.parsed_stream(spark, landed, schemas.COMMIT, MAX_FILES), "commit-scan", schemas.COMMIT)
     rows = frames.select("seq", "kind", "repo", "time",
                          F.size("ops").cast("bigint").alias("n_ops"),
                          F.size("blocks").cast("bigint").alias("n_blocks"))
-    return _append(rows, "commit-scan", rows.schema)
+    return rows.unionByName(_as_rejects(dead), allowMissingColumns=True)
+
+
+def _as_rejects(dead: DataFrame) -> DataFrame:
+    return dead.select(F.col("value").alias("rejected"), F.col("reject_reason").alias("reason"))
 
 
 def _land_labels(spark: SparkSession, d: str) -> str:
@@ -63,14 +90,18 @@ def _land_labels(spark: SparkSession, d: str) -> str:
     frames = T.label_frames(spark, d).withColumn(
         "endpoint_key", keys.endpoint_key(F.col("endpoint"))).drop("ts")
     frames.hint("rebalance", F.col("endpoint_key")).write.partitionBy("endpoint_key").json(path)
+    _land_broken(frames, path)
     return path
 
 
 @query("label_stream_scan", with_sql(
-    "SELECT endpoint, kind, seq, message FROM v_labels_stream", "v_labels_stream"))
+    f"""SELECT endpoint, kind, seq, message, NULL::VARCHAR AS rejected, NULL::VARCHAR AS reason FROM v_labels_stream
+        UNION ALL SELECT NULL, NULL, NULL, NULL, line, 'malformed' FROM ({BROKEN.replace('{table}', 'v_labels_stream')})""",
+    "v_labels_stream"))
 def label_stream_scan(spark: SparkSession, d: str) -> DataFrame:
-    rows = streams.label_stream(spark, _land_labels(spark, d), MAX_FILES)
-    return _append(rows, "label-scan", rows.schema)
+    parsed = streams.parsed_stream(spark, _land_labels(spark, d), schemas.LABEL, MAX_FILES)
+    frames, dead = _scan(parsed, "label-scan", schemas.LABEL)
+    return frames.drop("batch_id").unionByName(_as_rejects(dead), allowMissingColumns=True)
 
 
 CURSOR = "2024-01-10T00:00:00.000000Z"
@@ -395,12 +426,11 @@ def bad_event_skip(spark: SparkSession, d: str) -> DataFrame:
     """Unusable commits, and lines that are cut short or go on after the frame, are set aside."""
     good, dead = workspace(spark, "good"), workspace(spark, "dead")
     landed = _land(T.commits(spark, d), "with-bad")
-    broken = F.expr("""if(seq % 40 = 3, '{"seq":' || seq, '{"seq":' || seq || ',"kind":"commit"} junk')""")
-    T.ops(spark, d).where("seq % 40 in (3, 4)").select(broken.alias("value")).write.text(f"{landed}/broken")
+    _land_broken(T.ops(spark, d), landed)
     frames = streams.text_stream(spark, landed, MAX_FILES)
     _run(ingest.ingest_commits(frames, good, dead, workspace(spark, "bad-checkpoint"),
                                collected_at=_collected()))
-    events = spark.read.schema(schemas.EVENT).parquet(good)
+    events = batches.read(ingest.events_table(spark, good))
     letters = spark.read.schema(f"{schemas.COMMIT}, error string").parquet(dead)
     return events.select(
         F.lit("event").alias("kind"), "seq",
@@ -410,14 +440,85 @@ def bad_event_skip(spark: SparkSession, d: str) -> DataFrame:
 
 @query("endpoint_fan_in", with_sql(
     """SELECT endpoint, count(*) AS n, max(seq) AS last_seq FROM v_labels_stream
-       WHERE kind = 'labels' GROUP BY endpoint""", "v_labels_stream"))
+       WHERE kind = 'labels' GROUP BY endpoint
+       UNION ALL SELECT 'dead letters: malformed', count(*), NULL FROM v_labels_stream WHERE seq % 40 IN (3, 4)""",
+    "v_labels_stream"))
 def endpoint_fan_in(spark: SparkSession, d: str) -> DataFrame:
-    out = workspace(spark, "fan-in")
-    frames = streams.label_stream(spark, _land_labels(spark, d), MAX_FILES)
-    _run(ingest.ingest_labels(frames, out, workspace(spark, "fan-in-checkpoint")))
-    stored = spark.read.schema("endpoint string, seq bigint, message string").json(out)
-    return stored.groupBy("endpoint").agg(
-        F.count("*").alias("n"), F.max("seq").alias("last_seq"))
+    """Raw lines of all endpoints in, messages by bucket out; broken lines are set aside."""
+    out, dead = workspace(spark, "fan-in"), workspace(spark, "fan-in-dead")
+    lines_ = streams.text_stream(spark, _land_labels(spark, d), MAX_FILES)
+    _run(ingest.ingest_labels(lines_, out, dead, workspace(spark, "fan-in-checkpoint")))
+    table = ingest.labels_table(spark, out)
+    batches.compact(table)
+    letters = spark.read.schema("value string, error string").parquet(dead)
+    return batches.read(table).groupBy("endpoint").agg(
+        F.count("*").alias("n"), F.max("seq").alias("last_seq")).unionByName(letters.groupBy(
+            F.concat(F.lit("dead letters: "), "error").alias("endpoint")).agg(
+                F.count("*").alias("n"), F.lit(None).cast("bigint").alias("last_seq")))
+
+
+@query("batch_ledger", with_sql(
+    """SELECT strftime(commit_time + INTERVAL 5 SECOND, '%Y-%m-%d') AS day, count(*) AS n, min(seq) AS least_seq,
+       max(seq) AS greatest_seq FROM v_events GROUP BY day""", *EVENT_CTES))
+def batch_ledger(spark: SparkSession, d: str) -> DataFrame:
+    """What the ledger of an ingested table says of every day, some batches gathered and some not."""
+    out = workspace(spark, "noted")
+    frames = streams.text_stream(spark, _land(T.commits(spark, d), "noted-frames"), MAX_FILES)
+    _run(ingest.ingest_commits(frames, out, workspace(spark, "noted-dead"), workspace(spark, "noted-checkpoint"),
+                               collected_at=_collected()))
+    table = ingest.events_table(spark, out)
+    batches.compact(table, upto=0)
+    return batches.ledger(table).groupBy(F.col("part").alias("day")).agg(
+        F.sum("rows").alias("n"), F.min("least_seq").alias("least_seq"), F.max("greatest_seq").alias("greatest_seq"))
+
+
+@query("compact_batches", with_sql(FLAT_EVENTS, *EVENT_CTES))
+def compact_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Two landings, gathered after the first, after the second, and swept: every event once."""
+    landed, home = workspace(spark, "gathered-frames"), workspace(spark, "gathered")
+    frames, in_first = T.commits(spark, d), F.xxhash64("seq") % 2 == 0
+    table = ingest.events_table(spark, f"{home}/events")
+    for part in (frames.where(in_first), frames.where(~in_first)):
+        part.write.mode("append").json(landed)
+        _run(ingest.ingest_commits(streams.text_stream(spark, landed, MAX_FILES), table.path, f"{home}/dead",
+                                   f"{home}/checkpoint", collected_at=_collected()))
+        batches.compact(table)
+    batches.sweep(table)
+    return _events_out(batches.read(table))
+
+
+@query("resume_from_batches", with_sql(FLAT_EVENTS, *EVENT_CTES))
+def resume_from_batches(spark: SparkSession, d: str) -> DataFrame:
+    """The checkpoint is lost after a first run; the ledger says where to go on, in the same table.
+
+    Everything lands again before the second run; what is stored comes after no cursor.
+    """
+    landed, home = workspace(spark, "resumed-frames"), workspace(spark, "resumed")
+    frames = stage(T.commits(spark, d), "commits")
+    middle = frames.agg(F.floor(F.avg("seq"))).first()[0]
+    table = ingest.events_table(spark, f"{home}/events")
+    for run, part in enumerate((frames.where(F.col("seq") <= middle), frames)):
+        part.write.mode("append").json(landed)
+        left = ingest.after_seq(streams.commit_stream(spark, landed, MAX_FILES), batches.resume_seq(table).first().seq)
+        _run(ingest.ingest_commits(left, table.path, f"{home}/dead", f"{home}/checkpoint-{run}", collected_at=_collected()))
+        if run == 0:
+            batches.compact(table)
+    return _events_out(batches.read(table))
+
+
+@query("newest_stored_event", with_sql(
+    """SELECT seq, type, uri, 5 AS lag_s, 0 AS lag_h, 'ok' AS status FROM (
+         SELECT seq, type, 'at://' || author || '/' || path AS uri FROM v_events
+         WHERE strftime(commit_time, '%Y-%m-%d') = (SELECT max(strftime(commit_time + INTERVAL 5 SECOND, '%Y-%m-%d')) FROM v_events)
+         ORDER BY seq DESC, type DESC, uri DESC LIMIT 1)""", *EVENT_CTES))
+def newest_stored_event(spark: SparkSession, d: str) -> DataFrame:
+    """Last valid event and its lag, from the table that ingestion writes: only its newest day is opened."""
+    home = workspace(spark, "stored")
+    frames = streams.text_stream(spark, _land(T.commits(spark, d), "stored-frames"), MAX_FILES)
+    _run(ingest.ingest_commits(frames, f"{home}/events", f"{home}/dead", f"{home}/checkpoint", collected_at=_collected()))
+    newest = ingest.newest_events(spark, f"{home}/events")
+    last = health.last_valid_event(newest, "seq", "type", "uri", "collected_at", "commit_time")
+    return health.lag_status(last, keep=("seq", "type", "uri"))
 
 
 @query("caught_up_stop", with_sql(

@@ -16,16 +16,25 @@ def text_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
     return reader.text(path).select("value")
 
 
+def parsed_stream(spark: SparkSession, path: str, schema: str, max_files: int | None = None) -> DataFrame:
+    """Every line with its parsed ``row`` or its ``reject_reason``, as in ``parse_lines``.
+
+    A stream has one sink: write it by batch with ``ingest.ingest_lines``, which
+    stores frames and dead letters, or take ``accepted`` or ``rejected`` of it.
+    """
+    return parse_lines(text_stream(spark, path, max_files), schema)
+
+
 def _frames(spark: SparkSession, path: str, schema: str, max_files: int | None) -> DataFrame:
     # Text and from_json read nested frames faster than the JSON source does.
-    return accepted(parse_lines(text_stream(spark, path, max_files), schema))
+    return accepted(parsed_stream(spark, path, schema, max_files))
 
 
 def commit_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Decoded commit frames as a stream; the position is in the checkpoint.
 
-    Lines that are no frame are not in it; ``ingest_commits`` takes the raw lines
-    of ``text_stream`` and sets those aside.
+    Lines that are no frame are not in it; :func:`parsed_stream` has them with a
+    reason, and ``ingest_commits`` takes the raw lines of ``text_stream`` and sets those aside.
     """
     return _frames(spark, path, schemas.COMMIT, max_files)
 

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelog import schemas
+from tidelog.batches import BatchTable, first_batch, last_part, read, write_batch
+from tidelog.functions.keys import endpoint_key, hash_bucket
 from tidelog.operators import commits as C
 from tidelog.operators.archive import day_path
 from tidelog.operators.endpoints import keep_label_frames
-from tidelog.operators.sinks import endpoint_label_sink
 from tidelog.session import stage, unstage
 from tidelog.sources.lines import accepted, parse_lines, rejected
 
@@ -41,32 +42,43 @@ def append_stream(rows: DataFrame, path: str, checkpoint: str, partition_by: str
     return writer.start(path)
 
 
-def batch_writer(events_path: str, dead_path: str,
-                 collected_at: Column | None = None) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function that writes events and dead letters."""
-    def save(events: DataFrame, path: str) -> None:
-        (events.hint("rebalance", F.col("collect_date")).write.mode("overwrite")
-         .partitionBy("collect_date").parquet(path))
+def events_table(spark: SparkSession, path: str) -> BatchTable:
+    """The table that :func:`ingest_commits` writes."""
+    return BatchTable(spark, path, schemas.EVENT, by="collect_date", seq=F.col("seq"))
 
-    return _batch_writer(events_path, dead_path, collected_at, save)
 
+def lines_table(spark: SparkSession, path: str) -> BatchTable:
+    """The table that :func:`ingest_day_lines` writes."""
+    return BatchTable(spark, path, "value string, collect_date date", by="collect_date", fmt="text",
+                      seq=F.get_json_object("value", "$.seq"))
+
+
+def labels_table(spark: SparkSession, path: str) -> BatchTable:
+    """The table that :func:`ingest_labels` writes: micro-batches in a few files, gathered ones by bucket."""
+    return BatchTable(spark, path, "endpoint string, seq bigint, message string, endpoint_key string, bucket int",
+                      by="bucket", seq=F.col("seq"), flat=True)
+
+
+def batch_writer(events_path: str, dead_path: str, collected_at: Column | None = None,
+                 first: int = 0) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function that writes events and dead letters."""
+    return _batch_writer(lambda spark: events_table(spark, events_path), lambda events: events, dead_path,
+                         collected_at, first)
 
-def line_writer(lines_path: str, dead_path: str,
-                collected_at: Column | None = None) -> Callable[[DataFrame, int], None]:
-    """The same for day lines: the text that the daily job reads once a day is closed."""
-    def save(events: DataFrame, path: str) -> None:
-        (C.event_lines(events).hint("rebalance", F.col("collect_date")).write.mode("overwrite")
-         .partitionBy("collect_date").text(path))
 
-    return _batch_writer(lines_path, dead_path, collected_at, save)
+def line_writer(lines_path: str, dead_path: str, collected_at: Column | None = None,
+                first: int = 0) -> Callable[[DataFrame, int], None]:
+    """The same for day lines: the text that the daily job reads once a day is closed."""
+    return _batch_writer(lambda spark: lines_table(spark, lines_path), C.event_lines, dead_path, collected_at, first)
 
 
-def _batch_writer(path: str, dead_path: str, collected_at: Column | None,
-                  save: Callable[[DataFrame, str], None]) -> Callable[[DataFrame, int], None]:
-    """Every batch owns the folder of its ``batch_id`` and overwrites it whole, so a
+def _batch_writer(table: Callable[[SparkSession], BatchTable], form: Callable[[DataFrame], DataFrame], dead_path: str,
+                  collected_at: Column | None, first: int) -> Callable[[DataFrame, int], None]:
+    """Every batch owns the folder of its number and overwrites it whole, so a
     batch that is repeated after a failure does not write twice, whatever the clock
     says by then.  A line that is no frame, or a commit that cannot be used,
-    goes to the dead letters with a reason and the stream moves on.
+    goes to the dead letters with a reason and the stream moves on.  The ledger
+    comes last: a batch that it names has all its rows and dead letters written.
     """
     when = F.current_timestamp() if collected_at is None else collected_at
 
@@ -74,21 +86,25 @@ def _batch_writer(path: str, dead_path: str, collected_at: Column | None,
         if "value" in batch.columns:
             batch = parse_lines(batch, schemas.COMMIT)
         frames = stage(batch, "frames")
-        raw = "value" in frames.columns
+        raw, number = "value" in frames.columns, first + batch_id
         try:
             good, bad = C.split_dead_letters(C.keep_commit_frames(accepted(frames) if raw else frames))
-            save(C.to_events(good, when), f"{path}/batch_id={batch_id}")
             if raw:
                 bad = bad.unionByName(rejected(frames).withColumnRenamed("reject_reason", "error"),
                                       allowMissingColumns=True)
-            if bad.limit(1).count():
-                bad.write.mode("overwrite").parquet(f"{dead_path}/batch_id={batch_id}")
+            _write_dead(bad, dead_path, number)
+            write_batch(table(frames.sparkSession), form(C.to_events(good, when)), number)
         finally:
             unstage(frames)
 
     return write
 
 
+def _write_dead(bad: DataFrame, dead_path: str, number: int) -> None:
+    if bad.limit(1).count():
+        bad.write.mode("overwrite").parquet(f"{dead_path}/batch_id={number}")
+
+
 def _start(rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str,
            every: str | None) -> StreamingQuery:
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
@@ -99,36 +115,47 @@ def _start(rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint:
 def ingest_commits(frames: DataFrame, events_path: str, dead_path: str, checkpoint: str,
                    every: str | None = None, collected_at: Column | None = None) -> StreamingQuery:
     """Stream of commit frames, or of their raw lines, to an event table by batch and
-    day; what cannot be used is set aside."""
-    return _start(frames, batch_writer(events_path, dead_path, collected_at), checkpoint, every)
+    day; what cannot be used is set aside.
+
+    A new checkpoint goes on with the number after the table's last batch; give it
+    the frames :func:`after_seq` of the table's last sequence number.
+    """
+    first = first_batch(events_table(frames.sparkSession, events_path), checkpoint)
+    return _start(frames, batch_writer(events_path, dead_path, collected_at, first), checkpoint, every)
 
 
 def ingest_day_lines(lines: DataFrame, lines_path: str, dead_path: str, checkpoint: str,
                      every: str | None = None, collected_at: Column | None = None) -> StreamingQuery:
     """Stream of raw lines of commit frames to event lines by batch and day."""
-    return _start(lines, line_writer(lines_path, dead_path, collected_at), checkpoint, every)
+    first = first_batch(lines_table(lines.sparkSession, lines_path), checkpoint)
+    return _start(lines, line_writer(lines_path, dead_path, collected_at, first), checkpoint, every)
 
 
 def close_day(spark: SparkSession, lines_path: str, raw: str, day: dt.date) -> None:
     """Gather a finished day's lines from all batches into the daily job's folder.
 
-    Only that day's folders are read.  Many small files of micro-batches become
-    few of bounded size; a repetition replaces them, with what came late.
+    The ledger names the batches and sets that hold lines of the day; no other
+    folder is listed.  Many small files of micro-batches become few of bounded size; a
+    repetition replaces them, with what came late.
     """
-    found = spark.read.text(lines_path).where(F.col("collect_date") == F.lit(day)).select("value")
+    found = read(lines_table(spark, lines_path), [day.isoformat()]).select("value")
     found.hint("rebalance").write.mode("overwrite").text(day_path(raw, day))
 
 
 def after_seq(frames: DataFrame, seq: int | None) -> DataFrame:
     """Frames beyond a sequence number, to go on from the data when a checkpoint is gone.
 
-    ``seq`` is the answer of ``resume_seq``, null for an empty table.  A stream
-    with a new checkpoint counts its batches from 0 again, so give it a new folder
-    to write to.
+    ``seq`` is the answer of ``resume_seq``, null for an empty table.
     """
     return frames if seq is None else frames.where(F.col("seq") > seq)
 
 
+def newest_events(spark: SparkSession, events_path: str) -> DataFrame:
+    """Events of the newest day of an ingested table, and of no other."""
+    t = events_table(spark, events_path)
+    return read(t, [p for p in [last_part(t)] if p is not None])
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows a query dropped because they came after its watermark, over the
     progress reports that Spark keeps."""
@@ -150,14 +177,39 @@ def line_batch_writer(good_path: str, dead_path: str,
     return write
 
 
-def ingest_labels(frames: DataFrame, path: str, checkpoint: str, buckets: int = 64,
+def ingest_lines(parsed: DataFrame, good_path: str, dead_path: str, checkpoint: str,
+                 every: str | None = None) -> StreamingQuery:
+    """A ``parsed_stream`` to frames and dead letters, both by batch."""
+    return _start(parsed, line_batch_writer(good_path, dead_path, lambda lines: lines), checkpoint, every)
+
+
+def ingest_labels(frames: DataFrame, path: str, dead_path: str, checkpoint: str, buckets: int = 64,
                   every: str | None = None) -> StreamingQuery:
     """All label endpoints through one query, whatever their number.
 
-    A batch overwrites its own folder, and its messages are grouped by a hash
-    bucket of the endpoint, not by one folder per endpoint.
+    Takes frames or their raw lines; a line that is no frame is a dead letter with a
+    reason.  A micro-batch is written as it comes, in as many files as it has
+    tasks; gathering it sorts messages into hash buckets of their endpoint.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        endpoint_label_sink(batch, f"{path}/batch_id={batch_id}", buckets, mode="overwrite")
+    spark = frames.sparkSession
+    first = first_batch(labels_table(spark, path), checkpoint)
 
-    return _start(keep_label_frames(frames), write, checkpoint, every)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        number = first + batch_id
+        if "value" in batch.columns:
+            parsed = stage(parse_lines(batch, schemas.LABEL), "label-lines")
+            try:
+                _write_dead(rejected(parsed).withColumnRenamed("reject_reason", "error"), dead_path, number)
+                save(accepted(parsed), number)
+            finally:
+                unstage(parsed)
+        else:
+            save(batch, number)
+
+    def save(batch: DataFrame, number: int) -> None:
+        rows = keep_label_frames(batch).withColumn("endpoint_key", endpoint_key(F.col("endpoint")))
+        rows = rows.withColumn("bucket", hash_bucket(F.col("endpoint_key"), buckets).cast("int"))
+        write_batch(labels_table(batch.sparkSession, path),
+                    rows.select("endpoint", "seq", "message", "endpoint_key", "bucket"), number)
+
+    return _start(frames, write, checkpoint, every)
