@@ -257,11 +257,9 @@ def test_running_counts_lag_and_activity(spark, folder):
         stream = spark.readStream.schema(df.schema).parquet(f"{folder}/in")
         run(ingest.append_stream(transform(stream), f"{folder}/{name}", f"{folder}/{name}-cp"))
         return rows(spark.read.schema(schema).parquet(f"{folder}/{name}"))
-    first_day = out("counts", lambda s: state.day_counts(s, ["create", "delete"]),
-                    "type string, create bigint, delete bigint")
-    assert first_day == [("a", 1, 1), ("b", 1, 0)]
-    batch = counts.counts_for_actions(df.where("ts < '1970-01-02'"), ["create", "delete"])
-    assert first_day == rows(batch)
+    first_day = out("counts", state.day_counts, "type string, action string, n bigint")
+    assert first_day == [("a", "create", 1), ("a", "delete", 1), ("b", "create", 1)]
+    assert first_day == rows(counts.counts_long(df.where("ts < '1970-01-02'")))
     assert out("lag", state.lag_windows, "lag_s bigint") == [(9000,)]
     assert out("active", state.active_endpoint_windows, "n bigint") == [(1,), (1,), (1,)]
 

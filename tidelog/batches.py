@@ -163,32 +163,37 @@ def write_batch(t: BatchTable, rows: DataFrame, batch_id: int) -> bool:
     return True
 
 
-def read(t: BatchTable, parts: Collection[str] | None = None) -> DataFrame:
-    """All rows that count, or those of some parts, each once.
+def read(t: BatchTable, parts: Collection[str] | None = None, upto: int | None = None,
+         since: str | None = None) -> DataFrame:
+    """All rows that count, or those of some parts, or of parts from ``since`` on, each once.
 
     Which folders these are is settled now; a compaction that comes before the
-    rows are read does not change them.
+    rows are read does not change them.  ``upto`` leaves out later batches; what has been
+    gathered is always in.
     """
     names = complete_children(t.spark, f"{t.path}/_ledger")
     now = state(t, names)
-    ids = _open(names, now.upto)
-    if parts is not None:
-        rows = _entries(t, ids).where(F.col("part").isin(list(parts))).select("batch_id").distinct()
-        ids = sorted(r.batch_id for r in rows.collect())
+    ids = [n for n in _open(names, now.upto) if upto is None or n <= upto]
+    if since is not None:
+        held = _entries(t, ids).where("rows > 0").select("part").distinct().collect()
+        held = {r.part for r in held} | {p for _, p in now.sets}
+        parts = [p for p in held if p is not None and p >= since]
     found = _sets(t, [(s, p) for s, p in now.sets if parts is None or p in parts])
-    parted = t.by is not None and not t.flat
-    found = found.unionByName(_load(t, t.path, _roots(t, ids, parted), parted))
+    found = found.unionByName(_batches(t, ids, parts))
     if parts is not None:
         found = found.where(F.col(t.by).cast("string").isin(list(parts)))
     return t.reduce(found) if t.reduce else found
 
 
-def _roots(t: BatchTable, ids: list[int], parted: bool) -> list[str]:
-    """Folders of batches; those that hold no part have no columns to find."""
-    if not parted or not ids:
-        return [t.folder(n) for n in ids]
-    full = {r.batch_id for r in _entries(t, ids).where("rows > 0").select("batch_id").distinct().collect()}
-    return [t.folder(n) for n in ids if n in full]
+def _batches(t: BatchTable, ids: list[int], parts: Collection[str] | None = None) -> DataFrame:
+    """Rows of batches, from those folders only that the ledger says hold some."""
+    full = _entries(t, ids).where("rows > 0")
+    if parts is not None:
+        full = full.where(F.col("part").isin(list(parts)))
+    if t.by is None or t.flat:
+        return _load(t, t.path, sorted(t.folder(r.batch_id) for r in full.select("batch_id").distinct().collect()), False)
+    held = full.select("batch_id", "part").collect()
+    return _load(t, t.path, sorted(f"{t.folder(r.batch_id)}/{t.by}={_folder_value(r.part)}" for r in held), True)
 
 
 def _sets(t: BatchTable, pairs: list[tuple[int, str | None]]) -> DataFrame:
@@ -213,8 +218,7 @@ def compact(t: BatchTable, upto: int | None = None) -> int | None:
     if not ids:
         return None
     new = now.generation + 1
-    parted = t.by is not None and not t.flat
-    rows = _load(t, t.path, _roots(t, ids, parted), parted)
+    rows = _batches(t, ids)
     replaced: list[tuple[int, str | None]] = []
     if t.reduce:
         # One row per part.

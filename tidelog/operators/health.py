@@ -98,15 +98,25 @@ def sequence_gaps(events: DataFrame, width: int = 100_000, seq: str = "seq") ->
 def stall_sessions(events: DataFrame, minutes: int = 20, ts: str = "commit_time",
                    source: str = "type") -> DataFrame:
     """``(source, start, end, n)``: live periods between the silences."""
-    per = Window.partitionBy("source").orderBy("bucket")
-    quiet = (F.unix_micros("first") - F.unix_micros(F.lag("last").over(per))
-             >= minutes * 60_000_000)
-    marked = _buckets(events, ts, source, minutes).withColumn(
-        "starts", F.coalesce(quiet, F.lit(True)).cast("int"))
-    numbered = marked.withColumn("session", F.sum("starts").over(per))
-    return numbered.groupBy("source", "session").agg(
-        F.min("first").alias("start"), F.max("last").alias("end"),
-        F.sum("n").alias("n")).drop("session")
+    pieces = _buckets(events, ts, source, minutes).select(
+        "source", F.col("first").alias("start"), F.col("last").alias("end"), "n")
+    return merge_sessions(pieces, minutes)
+
+
+def merge_sessions(pieces: DataFrame, minutes: int = 20) -> DataFrame:
+    """``(source, start, end, n)``: pieces of live periods joined where no silence lies between.
+
+    Pieces may overlap and come from anywhere, so sessions found in parts of
+    the events, one after the other or again, merge to those of the whole.
+    """
+    per = Window.partitionBy("source").orderBy("start", "end")
+    before = F.max("end").over(per.rowsBetween(Window.unboundedPreceding, -1))
+    quiet = F.unix_micros("start") - F.unix_micros(before) >= minutes * 60_000_000
+    marked = pieces.withColumn("_starts", F.coalesce(quiet, F.lit(True)).cast("int"))
+    numbered = marked.withColumn("_session", F.sum("_starts").over(per.rowsBetween(Window.unboundedPreceding, 0)))
+    return numbered.groupBy("source", "_session").agg(
+        F.min("start").alias("start"), F.max("end").alias("end"),
+        F.sum("n").alias("n")).drop("_session")
 
 
 def _state_lines(lines: DataFrame, max_len: int) -> DataFrame:

@@ -16,7 +16,7 @@ from tidelog.session import stage, workspace
 from tidelog.sources import days, files, lines, operations, streams
 from tidelog.sources import testdata as T
 from tidelog.sources.testdata import with_sql
-from tidelog.streaming import ingest, state
+from tidelog.streaming import ingest, late, partials, state
 
 # Files per micro-batch of the catalog's streams: few, so that they take several.
 MAX_FILES = 4
@@ -538,10 +538,6 @@ def caught_up_stop(spark: SparkSession, d: str) -> DataFrame:
     return answers[0].unionByName(answers[1]).select("as_of", "caught_up")
 
 
-def _closed(delay_us: int, gap_us: int) -> str:
-    return f"""epoch_us("end_ts") + {gap_us} <= (SELECT epoch_ms(max(commit_time)) * 1000 FROM v_ops) - {delay_us}"""
-
-
 SESSIONS = """SELECT source, min(commit_time) AS start_ts, max(commit_time) AS end_ts, count(*) AS n
     FROM (SELECT *, sum(brk) OVER (PARTITION BY source ORDER BY commit_time, seq) AS s FROM (
       SELECT type AS source, seq, commit_time, CASE WHEN commit_time - lag(commit_time) OVER (
@@ -557,14 +553,92 @@ def stall_sessions(spark: SparkSession, d: str) -> DataFrame:
         "source", text_time("start").alias("start"), text_time("end").alias("end"), "n")
 
 
-@query("stall_sessions_stream", with_sql(
-    f"SELECT {SESSION_COLS} FROM ({SESSIONS}) WHERE {_closed(3600 * 10**6, 1200 * 10**6 - 1)}",
-    "v_ops"))
+@query("stall_sessions_stream", with_sql(f"SELECT {SESSION_COLS} FROM ({SESSIONS})", "v_ops"))
 def stall_sessions_stream(spark: SparkSession, d: str) -> DataFrame:
-    """Live periods from a stream: those that are over by the end of the data."""
-    landed = workspace(spark, "live")
-    T.ops(spark, d).select("type", "commit_time").write.parquet(landed)
-    events = spark.readStream.schema("type string, commit_time timestamp").parquet(landed)
-    sessions = state.stall_sessions_stream(events)
-    return _append(sessions, "sessions", sessions.schema).select(
+    """Live periods from a stream in several micro-batches, those that go on included.
+
+    Files come in any order, so the delay is as long as the data.
+    """
+    landed, home = workspace(spark, "live"), workspace(spark, "sessions")
+    T.ops(spark, d).select("type", "commit_time").repartition(2 * MAX_FILES).write.parquet(landed)
+    events = (spark.readStream.schema("type string, commit_time timestamp").option("maxFilesPerTrigger", MAX_FILES)
+              .parquet(landed))
+    _run(late.ingest_sessions(events, home, workspace(spark, "sessions-checkpoint"), delay=dt.timedelta(days=400)))
+    return late.sessions(spark, home).select(
         "source", text_time("start").alias("start"), text_time("end").alias("end"), "n")
+
+
+def _deliveries(spark: SparkSession, d: str) -> list[DataFrame]:
+    """Ops in three deliveries: most, some with older ones among them, and everything again."""
+    ops = T.ops(spark, d).select("seq", "type", "action", "collected_at")
+    return [ops.where("seq % 10 < 8"), ops.where("seq % 10 >= 8"), ops]
+
+
+DELIVERED = """v_end AS (SELECT max(collected_at) - INTERVAL 2 DAY AS first_mark FROM v_ops WHERE seq % 10 < 8),
+    v_end2 AS (SELECT max(collected_at) - INTERVAL 2 DAY AS second_mark FROM v_ops)"""
+
+
+@query("late_rows", with_sql("", "v_ops").rstrip() + f""", {DELIVERED}
+    SELECT 'late' AS kind, seq, type, action FROM v_ops, v_end WHERE seq % 10 >= 8 AND collected_at < first_mark
+    UNION ALL SELECT 'late', seq, type, action FROM v_ops, v_end2 WHERE collected_at < second_mark
+    UNION ALL SELECT 'kept', seq, type, action FROM v_ops, v_end WHERE seq % 10 < 8 OR collected_at >= first_mark""")
+def late_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Three deliveries, two days of patience: rows behind the watermark in a table of their own,
+    of the others one copy each."""
+    landed, home, at = workspace(spark, "deliveries"), workspace(spark, "once"), workspace(spark, "once-checkpoint")
+    for part in _deliveries(spark, d):
+        part.write.mode("append").parquet(landed)
+        rows = spark.readStream.schema(part.schema).parquet(landed)
+        _run(late.ingest_once(rows, home, ("seq", "type", "action"), dt.timedelta(days=2), at))
+    good, behind, *_ = late.once_tables(spark, home, rows)
+    return batches.read(behind).withColumn("kind", F.lit("late")).unionByName(
+        batches.read(good).withColumn("kind", F.lit("kept"))).select("kind", "seq", "type", "action")
+
+
+def _several_batches(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    landed = workspace(spark, name)
+    rows.repartition(3 * MAX_FILES).write.parquet(landed)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", MAX_FILES).parquet(landed)
+
+
+@query("day_counts_stream", with_sql(
+    """SELECT collect_date AS day, type, CASE WHEN seq % 50 = 7 THEN 'purge' ELSE action END AS action, count(*) AS n
+       FROM v_ops GROUP BY ALL""", "v_ops"))
+def day_counts_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Counts of whatever actions come, from several micro-batches, some of them gathered."""
+    ops = T.ops(spark, d).select("type", F.expr("if(seq % 50 = 7, 'purge', action) AS action"), "collected_at")
+    table = partials.counts_table(spark, workspace(spark, "partial-counts"))
+    _run(partials.ingest_partials(_several_batches(spark, ops, "counted"), table, partials.count_batch,
+                                  workspace(spark, "counts-checkpoint")))
+    batches.compact(table, upto=1)
+    return batches.read(table).select(text_day("day").alias("day"), "type", "action", "n")
+
+
+@query("active_endpoints_stream", with_sql(
+    f"""SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '{SQL_TIME}') AS window_start, count(*) AS n,
+        count(DISTINCT endpoint) AS active FROM v_labels_stream WHERE kind = 'labels' GROUP BY ALL""", "v_labels_stream"))
+def active_endpoints_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Sketches per minute, merged to hours; five endpoints are few enough for an exact estimate."""
+    frames = endpoints.keep_label_frames(T.label_frames(spark, d)).select("endpoint", "ts")
+    table = partials.health_table(spark, workspace(spark, "activity"))
+    _run(partials.ingest_partials(_several_batches(spark, frames, "active"), table,
+                                  lambda rows: partials.health_batch(rows, "ts", "endpoint"),
+                                  workspace(spark, "activity-checkpoint")))
+    return partials.health_windows(table, "1 hour").select(text_time("window_start").alias("window_start"), "n", "active")
+
+
+@query("lag_windows_stream", with_sql(
+    f"""SELECT strftime(time_bucket(INTERVAL 1 HOUR, collected_at), '{SQL_TIME}') AS window_start, type,
+        count(*) AS n, max(epoch_us(date_trunc('second', collected_at)) // 1000000
+                           - epoch_us(date_trunc('second', commit_time)) // 1000000) AS lag_s
+        FROM v_ops GROUP BY ALL""", "v_ops"))
+def lag_windows_stream(spark: SparkSession, d: str) -> DataFrame:
+    """Largest lag per minute and type, merged to hours."""
+    ops = T.ops(spark, d).select("type", "author", "commit_time", "collected_at")
+    table = partials.health_table(spark, workspace(spark, "lags"))
+    _run(partials.ingest_partials(_several_batches(spark, ops, "lagging"), table,
+                                  lambda rows: partials.health_batch(rows, "commit_time", "author", "type", "collected_at"),
+                                  workspace(spark, "lags-checkpoint")))
+    batches.compact(table)
+    return partials.health_windows(table, "1 hour").select(
+        text_time("window_start").alias("window_start"), F.col("key").alias("type"), "n", "lag_s")

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions import times
+from tidelog.operators.counts import usable_events
 
 
 def replay_dedup_stream(events: DataFrame, delay: str, ts: str = "collected_at",
@@ -61,12 +62,13 @@ def active_endpoint_windows(labels: DataFrame, width: str = "1 second",
             .select(F.col("w.start").alias("window_start"), "n"))
 
 
-def day_counts(events: DataFrame, actions: list[str], delay: str = "1 hour") -> DataFrame:
-    """Type-by-action counts per UTC day, given out when the day is over.
+def day_counts(events: DataFrame, delay: str = "1 hour") -> DataFrame:
+    """``(day, type, action, n)`` per UTC day, given out when the day is over.
 
-    A stream cannot pivot, so the actions are configured.
+    Long form, so that no action is left out; ``partials.counts_table`` has the counts of
+    days that are not over.
     """
-    return (events.withWatermark("collected_at", delay)
-            .groupBy(F.window("collected_at", "1 day").alias("w"), "type")
-            .agg(*[F.count_if(F.col("action") == a).alias(a) for a in actions])
-            .select(F.to_date("w.start").alias("day"), "type", *actions))
+    return (usable_events(events).withWatermark("collected_at", delay)
+            .groupBy(F.window("collected_at", "1 day").alias("w"), "type", "action")
+            .agg(F.count("*").alias("n"))
+            .select(F.to_date("w.start").alias("day"), "type", "action", "n"))
