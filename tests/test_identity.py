@@ -106,6 +106,8 @@ def test_several_documents_of_an_account_give_one_row(spark):
     errors = spark.createDataFrame([("a", "InvalidRequest")], "did string, message string")
     current = spark.createDataFrame([("a", "q"), ("a", "r"), ("a", None)], "did string, current_pds string")
     assert rows(identity.pds_fallback(repos, errors, current)) == [("a", "r")]
+    dated = spark.createDataFrame([("a", "z", 1), ("a", "b", 2)], "did string, current_pds string, day int")
+    assert rows(identity.pds_fallback(repos, errors, dated, order=F.col("day"))) == [("a", "b")]
 
 
 def test_endpoints_to_read(spark):

@@ -1,6 +1,8 @@
+import json
+
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-import json
 
 from conftest import rows
 from pyspark.sql import functions as F
@@ -44,16 +46,27 @@ def test_every_line_is_accepted_or_rejected_for_its_reason(spark):
 def test_counts_keep_the_null_type_and_fill_zeros(spark):
     good = L.accepted(parsed(spark, [v for v, _ in COUNTED]))
     table = counts.type_action_counts(counts.counts_long(good), ["create", "delete"])
-    assert table.columns == ["type", "create", "delete"]
+    assert table.columns == ["type", "create", "delete", "other"]
     assert rows(table) == rows(counts.counts_for_actions(good, ["create", "delete"]))
     assert {tuple(r) for r in table.collect()} == {
-        ("a.b.post", 1, 0), (None, 1, 0), ("a.b.like", 0, 2)}
+        ("a.b.post", 1, 0, 0), (None, 1, 0, 0), ("a.b.like", 0, 2, 0)}
 
 
 def test_no_events_give_an_empty_table(spark):
     assert counts.type_action_counts(counts.counts_long(L.accepted(parsed(spark, ["{bad"])))).count() == 0
 
 
+def test_columns_follow_the_actions_that_occur(spark):
+    long = counts.counts_long(spark.createDataFrame(
+        [("a", "create"), ("a", "purge"), ("a", "purge"), ("b", "purge"), (None, "type")], "type string, action string"))
+    table = counts.type_action_counts(long)
+    assert table.columns == ["type", "create", "purge", "type_2"]
+    assert rows(table) == rows(spark.createDataFrame([("a", 1, 2, 0), ("b", 0, 1, 0), (None, 0, 0, 1)], "t string, a int, b int, c int"))
+    with pytest.raises(counts.TooManyActions):
+        counts.type_action_counts(long, most=2)
+    assert counts.type_action_counts(long, ["create"]).columns == ["type", "create", "other"]
+
+
 def test_any_text_can_be_an_action(spark):
     odd = ["create", "Create", "type", "a`b", "a.b", "", "other"]
     events = spark.createDataFrame([("t", a) for a in odd] + [("t", f"x{i}") for i in range(1500)] + [(None, "create")],

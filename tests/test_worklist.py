@@ -1,7 +1,12 @@
+import json
+import os
+import random
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from tidelog import batches
 from tidelog.functions import keys, messages
 from tidelog.operators import sinks, worklist
 from tidelog.plans import crawl
@@ -108,6 +113,58 @@ def test_json_map_round_trip(spark, folder):
     assert rows(pretty) == [("h1", "d1"), ("h2", "d2")]
 
 
+@pytest.fixture
+def tiny_splits(spark):
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "150")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def nested(rnd, depth=0):
+    kind = rnd.randrange(6 if depth < 3 else 3)
+    if kind < 3:
+        return rnd.choice(['x', 'a "b" {', '}],', '\\', 'é\n,', '', 7, None, True, '{"k": ['])
+    if kind == 3:
+        return [nested(rnd, depth + 1) for _ in range(rnd.randrange(4))]
+    return {rnd.choice('kl"{,') + str(i): nested(rnd, depth + 1) for i in range(rnd.randrange(4))}
+
+
+def test_objects_of_any_size_split_into_entries(spark, folder, tiny_splits):
+    rnd, want = random.Random(1), {}
+    for n in range(6):
+        with open(f"{folder}/f{n}.json", "w") as f:
+            for m in range(rnd.randrange(4)):
+                one = {f"{n}-{m}-{i}": nested(rnd) for i in range(rnd.choice([0, 1, 40]))}
+                want |= one
+                f.write(json.dumps(one, indent=rnd.choice([None, 0, 1, 4]), ensure_ascii=rnd.random() < 0.5) + rnd.choice(["\n", "\n\n"]))
+    with open(f"{folder}/odd.json", "w") as f:  # keys and values on lines of their own, entries sharing lines
+        f.write('{ "o1":\n 1, "o2": {"a": [\n1]}, \t\n\n"o3"\n:\n[2,\n3]\r\n, "o4": "x"\n,"o5"  : 5}')
+    want |= {"o1": 1, "o2": {"a": [1]}, "o3": [2, 3], "o4": "x", "o5": 5}
+    entries = files.json_map_entries(spark, folder)
+    assert {k: v for r in entries.collect() for k, v in json.loads(r.value).items()} == want
+    assert spark.read.text(folder).rdd.getNumPartitions() > 20 and entries.count() > 40
+    plan = entries._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "NestedLoop" not in plan
+
+
+def test_an_inventory_is_kept_up(spark, folder):
+    table = files.inventory_table(spark, f"{folder}/inventory")
+    for n in range(3):
+        os.makedirs(f"{folder}/in/d{n}")
+        for m in range(4):
+            with open(f"{folder}/in/d{n}/f{m}", "w") as f:
+                f.write("x" * (n + m + 1))
+        files.update_inventory(spark, f"{folder}/in", table, f"{folder}/cp", max_files=3)
+        whole = files.file_inventory(spark, f"{folder}/in")
+        assert rows(batches.read(table).select("path", "length", "modificationTime")) == rows(whole)
+    # A run has rows for new files only.
+    assert [r.rows for r in batches.ledger(table).groupBy("batch_id").agg({"rows": "sum"}).withColumnRenamed(
+        "sum(rows)", "rows").orderBy("batch_id").collect()] == [3, 1] * 3
+    files.update_inventory(spark, f"{folder}/in", table, f"{folder}/cp")
+    assert batches.last_batch(table) == 5
+
+
 def test_totals(spark):
     repos = spark.createDataFrame([("p", "a"), ("p", "b"), ("q", "c")], "pds string, did string")
     assert worklist.crawl_totals(repos).first()[:] == (2, 3)
@@ -133,15 +190,41 @@ def test_documents_are_replaced_whole(spark, folder):
     path = f"{folder}/docs"
     sinks.keyed_json_sink(docs(*[(f"k{i}", "old", 1) for i in range(100)]), path, F.col("v"), buckets=8)
     sinks.keyed_json_sink(docs(("k1", "x", 1), ("k1", "new", 2), ("n", "new", 1)), path, F.col("v"), buckets=8)
-    got = dict(tuple(r) for r in spark.read.parquet(path).select("key", "doc").collect())
+    got = dict(tuple(r) for r in sinks.read_keyed(spark, path, 8).collect())
     assert len(got) == 101 and got["k1"] == got["n"] == "new" and got["k2"] == "old"
-    assert spark.read.parquet(path).count() == 101
+    assert sinks.read_keyed(spark, path, 8).count() == 101
+    assert rows(sinks.read_keyed(spark, path, 8, docs(("k1", "", 0), ("none", "", 0)))) == [("k1", "new")]
     with pytest.raises(ValueError):
         sinks.keyed_json_sink(docs(("k1", "y", 3)), path, F.col("v"), buckets=16)
     for order in (1, -1):
         tie = docs(*[("t", "a", 1), ("t", "b", 1)][::order])
         sinks.keyed_json_sink(tie, f"{folder}/tie{order}", F.col("v"), buckets=2)
-        assert spark.read.parquet(f"{folder}/tie{order}").first().doc == "b"
+        assert sinks.read_keyed(spark, f"{folder}/tie{order}", 2).first().doc == "b"
+
+
+def test_an_update_rewrites_nothing_and_counts_as_a_whole(spark, folder, monkeypatch):
+    def docs(n, text):
+        return spark.range(n).selectExpr("'k' || id AS key", f"'{text}' || id AS doc", "1 AS v")
+
+    def modified():
+        return {f"{d}/{n}": os.stat(f"{d}/{n}").st_mtime_ns for d, _, names in os.walk(folder) for n in names if "part-" in n}
+    sinks.keyed_json_sink(docs(200, "old"), folder, F.col("v"), buckets=4, due=3)
+    before = modified()
+    sinks.keyed_json_sink(docs(50, "new"), folder, F.col("v"), buckets=4, due=3)
+    assert before.items() <= modified().items()
+    wanted = {f"k{i}": f"{'new' if i < 50 else 'old'}{i}" for i in range(200)}
+    assert dict(map(tuple, sinks.read_keyed(spark, folder, 4).collect())) == wanted
+    # Dies with its files written: the old documents, all of them.
+    with monkeypatch.context() as m:
+        m.setattr(batches, "_summary", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            sinks.keyed_json_sink(docs(200, "lost"), folder, F.col("v"), buckets=4, due=3)
+    assert dict(map(tuple, sinks.read_keyed(spark, folder, 4).collect())) == wanted
+    assert sinks.keyed_json_sink(docs(1, "newest"), folder, F.col("v"), buckets=4, due=3) == 2
+    wanted["k0"] = "newest0"
+    table = sinks.keyed_table(spark, folder, 4)
+    assert batches.state(table).upto == 2 and len(batches.state(table).sets) == 4
+    assert dict(map(tuple, sinks.read_keyed(spark, folder, 4).collect())) == wanted
 
 
 def test_ledger(spark, folder):

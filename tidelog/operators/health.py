@@ -80,19 +80,34 @@ def stall_gaps(events: DataFrame, minutes: int = 20, ts: str = "commit_time",
     return gaps.where(F.unix_micros(F.coalesce("to", as_of)) - F.unix_micros("from") >= limit)
 
 
+#: Blocks that are compared with one another in one task, and how often blocks join to larger ones.
+FAN, LEVELS = 1 << 14, 4
+
+
 def sequence_gaps(events: DataFrame, width: int = 100_000, seq: str = "seq") -> DataFrame:
     """``(first_missing, last_missing)``: ranges of sequence numbers that never arrived.
 
-    Numbers are compared inside blocks of ``width``; between blocks only their
-    ends, one row per block, are.
+    Numbers are compared inside blocks of ``width``; of a block only its ends go
+    on, and are compared inside blocks of ``FAN`` blocks, and so on: no window
+    takes more than ``FAN`` rows.  What is left after ``LEVELS`` rounds are the few largest
+    blocks that 64 bits have room for, compared as one list.
     """
     block = F.floor(F.col(seq) / F.lit(width)).cast("bigint").alias("block")
-    once = events.where(F.col(seq).isNotNull()).select(F.col(seq).alias("seq"), block).distinct()
-    inside = once.select("seq", F.lag("seq").over(Window.partitionBy("block").orderBy("seq")).alias("before"))
-    ends = once.groupBy("block").agg(F.min("seq").alias("seq"), F.max("seq").alias("last"))
-    outside = ends.select("seq", F.lag("last").over(Window.orderBy("block")).alias("before"))
-    return inside.unionByName(outside).where("seq - before > 1").select(
-        (F.col("before") + 1).alias("first_missing"), (F.col("seq") - 1).alias("last_missing"))
+    once = events.where(F.col(seq).isNotNull()).select(F.col(seq).alias("first"), F.col(seq).alias("last"), block).distinct()
+    gaps = []
+    for _ in range(LEVELS):
+        before = F.lag("last").over(Window.partitionBy("block").orderBy("first"))
+        gaps.append(once.select("first", before.alias("before")))
+        once = once.groupBy("block").agg(F.min("first").alias("first"), F.max("last").alias("last")).select(
+            "first", "last", F.floor(F.col("block") / F.lit(FAN)).cast("bigint").alias("block"))
+    ends = once.agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("e"))
+    pairs = F.transform(F.col("e"), lambda x, i: F.struct(x["first"].alias("first"), F.get("e", i - 1)["last"].alias("before")))
+    gaps.append(ends.select(F.inline(pairs)))
+    found = gaps[0]
+    for more in gaps[1:]:
+        found = found.unionByName(more)
+    return found.where("first - before > 1").select(
+        (F.col("before") + 1).alias("first_missing"), (F.col("first") - 1).alias("last_missing"))
 
 
 def stall_sessions(events: DataFrame, minutes: int = 20, ts: str = "commit_time",

@@ -70,14 +70,15 @@ def labeler_endpoints(handles: DataFrame, did_docs: DataFrame,
         "handle", "did", "service_endpoint")
 
 
-def pds_fallback(repos: DataFrame, errors: DataFrame, current: DataFrame) -> DataFrame:
+def pds_fallback(repos: DataFrame, errors: DataFrame, current: DataFrame, order: Column | None = None) -> DataFrame:
     """``(did, pds)``: the server to ask, the current one for accounts that moved.
 
-    ``errors`` has ``(did, message)``, ``current`` has ``(did, current_pds)``.
-    Errors collapse to one flag, and documents to one server, per account before
-    they are joined.
+    ``errors`` has ``(did, message)``, ``current`` has ``(did, current_pds)``, of several
+    documents of an account the newest by ``order``.  A newest document that names no server
+    leaves the account where it is listed.  Errors collapse to one flag, and
+    documents to one server, per account before they are joined.
     """
-    current = one_per_account(current, "current_pds")
+    current = one_per_account(current, "current_pds", order)
     moved = (errors.where(messages.route_error(F.col("message")) == "moved")
              .select("did").distinct().withColumn("moved", F.lit(True)))
     asked = repos.join(moved, "did", "left").join(current, "did", "left")

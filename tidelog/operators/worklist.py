@@ -41,14 +41,21 @@ def pending_repos(repos: DataFrame, inventory: DataFrame) -> DataFrame:
     return pending(work, done, "did_key").drop("did_key")
 
 
-def profile_completeness(files: DataFrame, required=REQUIRED_KINDS) -> DataFrame:
-    """``(did)``: accounts that have every required kind of file.
+def profile_completeness(files: DataFrame, required=REQUIRED_KINDS, listings: DataFrame | None = None) -> DataFrame:
+    """``(did)``: accounts that have every required kind of file, whole.
 
-    One flag per required kind, merged before the shuffle: the state per account
+    ``listings`` has ``(did, kind, complete)``, as from ``files.listing_complete``: a kind
+    whose list was cut off does not count, though there is a file of it.  One flag
+    per required kind, merged before the shuffle: the state per account
     has a fixed size however many files it has.
     """
-    flags = [F.max(F.col("kind") == k).alias(f"k{i}") for i, k in enumerate(required)]
-    have = files.where(F.col("kind").isin(*required)).groupBy("did").agg(*flags)
+    seen = files.select("did", "kind", F.lit(False).alias("cut"))
+    if listings is not None:
+        cut = ~F.coalesce("complete", F.lit(False))
+        seen = seen.unionByName(listings.where(cut).select("did", "kind", F.lit(True).alias("cut")))
+    # Null where the kind is missing, false where it was cut off.
+    flags = [F.min(F.when(F.col("kind") == k, ~F.col("cut"))).alias(f"k{i}") for i, k in enumerate(required)]
+    have = seen.where(F.col("kind").isin(*required)).groupBy("did").agg(*flags)
     everything = F.lit(True)
     for i in range(len(required)):
         everything = everything & F.col(f"k{i}")

@@ -10,7 +10,7 @@ from tidelog.functions import keys, messages, records, times
 from tidelog.operators import commits, endpoints, health, identity, worklist
 from tidelog.plans.registry import SQL_TIME, query, text_day, text_time
 from tidelog.session import stage
-from tidelog.sources import lines, operations
+from tidelog.sources import files, lines, operations
 from tidelog.sources import testdata as T
 from tidelog.sources.testdata import with_sql
 
@@ -280,6 +280,18 @@ def profile_completeness(spark: SparkSession, d: str) -> DataFrame:
     return _complete(spark, d)
 
 
+@query("profile_completeness_listed", with_sql(
+    """SELECT did FROM v_complete WHERE CAST(did AS BIGINT) IN (
+         SELECT key FROM (SELECT conv_id AS key, turn // 3 AS page_no, count(*) AS n FROM conversations GROUP BY ALL)
+         GROUP BY key HAVING arg_max(n, page_no) < 3 AND max(page_no) + 1 = count(*))""", "v_files", "v_complete"))
+def profile_completeness_listed(spark: SparkSession, d: str) -> DataFrame:
+    """A list that was cut off leaves its account incomplete, whatever files there are."""
+    found = T.files(spark, d).select(keys.file_key(F.col("path")).alias("k")).where("k is not null").select("k.*")
+    listed = files.listing_complete(T.listing_pages(spark, d), "key", F.size("items") < 3).select(
+        F.col("key").cast("string").alias("did"), F.lit("user").alias("kind"), "complete")
+    return worklist.profile_completeness(found, ("user", "assistant", "system"), listed)
+
+
 @query("skip_failed_pds", with_sql(
     "SELECT DISTINCT pds FROM v_plc WHERE pds <> 'https://pds3.example'", "v_ops", "v_plc"))
 def skip_failed_pds(spark: SparkSession, d: str) -> DataFrame:
@@ -306,15 +318,13 @@ def pds_fallback(spark: SparkSession, d: str) -> DataFrame:
     rows = T.plc_lines(spark, d)
     parsed = lines.parse_lines(rows, "did string, operation struct<services: struct<atproto_pds: "
                                "struct<endpoint: string>>, service: string>")
-    ops = parsed.select("seq", "row.did", records.pds_endpoint(F.col("row.operation")).alias("pds"))
     # Three inputs come from this table, so it is computed once.
-    seen = stage(ops.groupBy("did").agg(
-        F.max("seq").alias("last"), F.max_by("pds", "seq").alias("current_pds"),
-        F.min_by("pds", "seq").alias("pds")), "accounts")
+    ops = stage(parsed.select("seq", "row.did", records.pds_endpoint(F.col("row.operation")).alias("pds")), "operations")
+    seen = ops.groupBy("did").agg(F.max("seq").alias("last"), F.min_by("pds", "seq").alias("pds"))
     errors = seen.select("did", F.expr(
         "if(last % 2 = 0, 'InvalidRequest: no such repo', 'RateLimitExceeded')").alias("message"))
-    return identity.pds_fallback(seen.select("did", "pds"), errors,
-                                 seen.select("did", "current_pds"))
+    documents = ops.select("did", F.col("pds").alias("current_pds"), "seq")
+    return identity.pds_fallback(seen.select("did", "pds"), errors, documents, order=F.col("seq"))
 
 
 @query("append_pages", with_sql(

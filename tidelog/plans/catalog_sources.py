@@ -163,6 +163,21 @@ def file_inventory_scan(spark: SparkSession, d: str) -> DataFrame:
         F.sum("length").alias("bytes"))
 
 
+@query("file_inventory_kept", with_sql(
+    """SELECT collect_date AS day, count(*) > 0 AS listed, CAST(sum(length(value) + 1) AS BIGINT) AS bytes FROM v_raw
+       GROUP BY collect_date""", "v_ops", "v_raw"))
+def file_inventory_kept(spark: SparkSession, d: str) -> DataFrame:
+    """An inventory brought up to date after each of two landings: together every file once."""
+    path, at = workspace(spark, "day-lines"), workspace(spark, "inventory-checkpoint")
+    table = files.inventory_table(spark, workspace(spark, "inventory"))
+    lines_ = T.raw_lines(spark, d).select("collect_date", "value", "seq")
+    for half in ("seq % 2 = 0", "seq % 2 = 1"):
+        sinks.day_ndjson_sink(lines_.where(half).drop("seq"), path)
+        files.update_inventory(spark, path, table, at)
+    return batches.read(table).where("path like '%.txt'").groupBy(keys.date_from_path(F.col("path")).alias("day")).agg(
+        (F.count_distinct("path") == F.count("*")).alias("listed"), F.sum("length").alias("bytes"))
+
+
 @query("csv_endpoint_scan", with_sql(
     """SELECT handle, did, CASE WHEN trim(service_endpoint) <> '' THEN service_endpoint END
        AS service_endpoint FROM v_urls""", "v_urls"))
@@ -193,6 +208,18 @@ def json_map_explode(spark: SparkSession, d: str) -> DataFrame:
         "pds", "r.did", "r.copies")
 
 
+@query("json_map_split", with_sql(
+    "SELECT pds, did, count(*) AS copies FROM v_repos GROUP BY pds, did", "v_repos"))
+def json_map_split(spark: SparkSession, d: str) -> DataFrame:
+    """Objects over many lines, several in a file, cut into entries wherever a split begins."""
+    path = workspace(spark, "pds-map-pretty")
+    lists = worklist.repos_by_pds(T.repos(spark, d))
+    sinks.json_map_lines(lists, pretty=True).write.text(path)
+    entries = files.json_map_scan(spark, path, "array<struct<did: string, copies: bigint>>", whole_files=True)
+    return entries.select(F.col("key").alias("pds"), F.explode("value").alias("r")).select(
+        "pds", "r.did", "r.copies")
+
+
 @query("day_partition_scan", with_sql(
     f"SELECT seq, type, action, collect_date FROM v_ops WHERE collect_date = '{DAY}'", "v_ops"))
 def day_partition_scan(spark: SparkSession, d: str) -> DataFrame:
@@ -265,8 +292,8 @@ def keyed_json_sink(spark: SparkSession, d: str) -> DataFrame:
         """'{"quality":' || quality || ',"toxic":' || toxic || '}' AS doc""",
         "quality * 10 + toxic AS version")
     for docs in (first, later):
-        sinks.keyed_json_sink(docs, path, F.col("version"), buckets=16)
-    return spark.read.parquet(path).select("key", "doc")
+        sinks.keyed_json_sink(docs, path, F.col("version"), buckets=16, due=2)
+    return sinks.read_keyed(spark, path, buckets=16)
 
 
 @query("gzip_day", with_sql(

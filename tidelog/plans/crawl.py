@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.functions import keys
@@ -16,14 +16,14 @@ def servers_to_list(operation_lines: DataFrame, failed: DataFrame) -> DataFrame:
 
 
 def repos_to_fetch(repos: DataFrame, inventory: DataFrame, errors: DataFrame,
-                   current: DataFrame) -> DataFrame:
+                   current: DataFrame, order: Column | None = None) -> DataFrame:
     """``(did, pds)``: repos still to be fetched, and where from."""
     todo = worklist.pending_repos(repos, inventory)
-    return identity.pds_fallback(todo, errors, current)
+    return identity.pds_fallback(todo, errors, current, order)
 
 
-def profiles_to_fetch(repos: DataFrame, inventory: DataFrame) -> DataFrame:
-    """``(pds, did)``: accounts whose profile and follow lists are incomplete."""
+def profiles_to_fetch(repos: DataFrame, inventory: DataFrame, listings: DataFrame | None = None) -> DataFrame:
+    """``(pds, did)``: accounts whose profile and follow lists are missing or were cut off."""
     files = inventory.select(keys.file_key(F.col("path")).alias("k")).where(
         "k is not null").select("k.*")
-    return worklist.pending_profiles(repos, worklist.profile_completeness(files))
+    return worklist.pending_profiles(repos, worklist.profile_completeness(files, listings=listings))

@@ -37,7 +37,7 @@ def day_lines(spark: SparkSession, raw: str, archived: str, day: dt.date) -> Dat
 def count_day(day: DataFrame) -> DataFrame:
     """Counts of the usable lines of a day, actions that are not listed under ``other``."""
     parsed = lines.parse_lines(day, schemas.COUNTED, required=("type",), not_null=("action",))
-    return counts.type_action_counts(counts.counts_long(lines.accepted(parsed)), other="other")
+    return counts.type_action_counts(counts.counts_long(lines.accepted(parsed)), counts.ACTIONS)
 
 
 def run_day(spark: SparkSession, raw: str, archived: str, roots: list[str], as_of: dt.date,
