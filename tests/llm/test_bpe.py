@@ -17,6 +17,14 @@ def reference():
     return tiktoken.Encoding("own", pat_str=cut.KNOWN, mergeable_ranks=bpe.read_ranks(vocabulary()), special_tokens={})
 
 
+def thue_morse(n):
+    """Two words of ``n`` letters for which sums over powers agree modulo 2**64."""
+    x = "a"
+    while len(x) < n:
+        x += x.translate(str.maketrans("ab", "ba"))
+    return x, x.translate(str.maketrans("ab", "ba"))
+
+
 def texts(n=3000):
     rnd = random.Random(3)
     return ["".join(rnd.choice(ALPHABET) for _ in range(rnd.randint(0, 40))) for _ in range(n)]
@@ -70,6 +78,27 @@ def test_forgetting_pieces_changes_nothing(monkeypatch, reference):
         assert bpe.encode_block([t], known, pieces)[0].tolist() == reference.encode_ordinary(t)
 
 
+def test_pieces_that_hash_alike_keep_their_ids(spark, reference, monkeypatch):
+    rows = list(enumerate([*thue_morse(1024), " ".join(thue_morse(2048)), "a b", "b a"]))
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r for r in bpe.roundtrip(df, vocabulary(), cut.KNOWN).collect()}
+    assert all(list(got[i].ids) == reference.encode_ordinary(t) and bytes(got[i].decoded) == t.encode() for i, t in rows)
+    # Even if every print were the same.
+    monkeypatch.setattr(bpe, "multipliers", lambda n: np.zeros(n, np.uint64))
+    known, pieces, some = cut.cutter(cut.KNOWN), bpe.Pieces(vocabulary()), texts(200)
+    ids, ends = bpe.encode_block(some, known, pieces)
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == [reference.encode_ordinary(s) for s in some]
+
+
+def test_one_pass_equals_two(spark):
+    rows = list(enumerate(texts(300))) + [(None, None), (7, ""), (8, "long é漢 " * 40_000)]
+    df = spark.createDataFrame([(*r, "c", "c") for r in rows], SCHEMA).repartition(3)
+    one = bpe.roundtrip(df, vocabulary(), cut.KNOWN)
+    two = bpe.decode(bpe.encode(df, vocabulary(), cut.KNOWN), vocabulary())
+    plain = [sorted(((r.doc_id, list(r.ids), bytes(r.decoded)) for r in x.collect()), key=str) for x in (one, two)]
+    assert plain[0] == plain[1] and bpe.roundtrip(df.limit(0), vocabulary(), cut.KNOWN).count() == 0
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert bpe.decode(bpe.encode(df, vocabulary(), cut.KNOWN), vocabulary()).count() == 0

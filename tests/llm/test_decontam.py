@@ -5,6 +5,15 @@ import pytest
 
 from tidelog.llm import decontam
 
+
+
+def thue_morse(n):
+    x = "a"
+    while len(x) < n:
+        x += x.translate(str.maketrans("ab", "ba"))
+    return x, x.translate(str.maketrans("ab", "ba"))
+
+
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 DOCS = "doc_id long, text string, hits string, items string, n_words string"
 
@@ -55,6 +64,12 @@ def test_windows_do_not_cross_documents_or_items(spark):
     assert got(spark, [(1, "b c")], [(1, "a b"), (2, "c d")], 2) == [(1, 2, [], [])]
 
 
+def test_words_that_hash_alike_stay_apart(spark):
+    x, y = thue_morse(2048)
+    docs, items = [(1, f"p {x} q"), (2, f"p {y} q")], [(1, x), (2, y)]
+    assert got(spark, docs, items, 10) == brute(docs, items, 10)
+
+
 def test_empty_tables(spark):
     assert got(spark, [], [(1, "a b")], 2) == []
     assert got(spark, [(1, "a b")], [], 2) == [(1, 2, [], [])]

@@ -17,10 +17,10 @@ def brute(rows):
     def bare(t):
         return re.sub(r"[\x20\x09-\x0d]", "", t or "")
     out = []
-    for i, t in rows:
-        same = [(j, u) for j, u in rows if bare(u) == bare(t)]
-        keep = min(same, key=lambda x: (-len(x[1] or ""), x[0] is None, x[0] or 0))[0]
-        out.append((i, keep, len(same), keep == i, hashlib.sha256(bare(t).encode()).hexdigest()))
+    for at, (i, t) in enumerate(rows):
+        same = [(j, u, k) for k, (j, u) in enumerate(rows) if bare(u) == bare(t)]
+        keep, _, row = min(same, key=lambda x: (-len(x[1] or ""), x[0] is None, x[0] or 0, x[2]))
+        out.append((i, keep, len(same), row == at, hashlib.sha256(bare(t).encode()).hexdigest()))
     return sorted(out, key=str)
 
 
@@ -37,5 +37,11 @@ def test_one_text_in_a_third_of_rows(spark):
     assert sum(r[3] for r in out) == 2001 and max(r[2] for r in out) == 1000
 
 
+def test_one_row_of_a_group_stays_whatever_the_ids(spark):
+    rows = [(1, "a b c"), (1, "abc"), (2, "x"), (2, "x"), (2, "x"), (None, "y"), (None, "y"), (2 ** 63 - 1, "z"), (-2 ** 63, "z")]
+    out = groups(spark, rows)
+    assert out == brute(rows) and sum(r[3] for r in out) == 4
+
+
 def test_empty_table(spark):
     assert groups(spark, []) == []

@@ -118,3 +118,32 @@ def test_counters_cover_every_document(spark):
 def test_empty_table(spark):
     assert got(spark, [], jaccard.Rule()) == []
     assert got(spark, [(1, None)], jaccard.Rule()) == [(1, 0, 1)]
+
+
+def test_words_that_hash_alike_do_not_link(spark):
+    x = "a"
+    while len(x) < 2048:
+        x += x.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"{x} p q r s"), (2, f"{x.translate(str.maketrans('ab', 'ba'))} p q r s")]
+    rule = jaccard.Rule(n=4, percent=85)
+    assert got(spark, rows, rule) == brute(rows, rule) == [(1, 2, 1), (2, 2, 2)]
+
+
+def test_ids_are_names_only(spark):
+    base = [f"w{i}" for i in range(40)]
+    a, b, near_b = " ".join(base), " ".join(f"v{i}" for i in range(40)), " ".join([f"v{i}" for i in range(39)] + ["z"])
+    rule = jaccard.Rule(n=4, percent=85)
+    # Rows of id 7 have two texts and bring both groups together.
+    assert got(spark, [(3, a), (7, a), (7, b), (9, near_b)], rule) == [(3, 37, 3), (7, 37, 3), (7, 37, 3), (9, 37, 3)]
+    ends = [(2 ** 63 - 1, a), (-2 ** 63, a), (2 ** 62, b), (2 ** 62 + 1, near_b), (None, near_b), (-2 ** 62, "only these words here")]
+    assert got(spark, ends, rule) == brute(ends, rule)
+    many = [(None, " ".join(f"{k}-{i}" for i in range(12))) for k in range(300)]
+    assert got(spark, many + many[:5], rule) == brute(many + many[:5], rule)
+
+
+def test_a_very_long_text(spark):
+    rnd = random.Random(9)
+    long = [f"w{rnd.randrange(5000)}" for _ in range(60_000)]
+    rows = [(1, " ".join(long)), (2, " ".join(long[:-2000])), (3, " ".join(long[30_000:]))]
+    rule = jaccard.Rule(n=5, percent=80)
+    assert got(spark, rows, rule) == brute(rows, rule)

@@ -48,7 +48,7 @@ def test_each_stage_takes_out_its_own(spark, planted, tmp_path, monkeypatch):
         gone.append(left - now)
         left = now
     assert gone == [{200, 201, 202}, {203, 206}, {204}, {205}]
-    assert None in left and docs.filter("doc_id = 7").count() == 2
+    assert None in left and docs.filter("doc_id = 7").count() == 1
     out = pipeline.STAGES[-1][1](spark, docs, str(tmp_path)).collect()
     assert len(out) == docs.count() and all(r.n_tokens == len(r.ids) > 0 for r in out)
 
@@ -70,6 +70,16 @@ def test_rows_without_id_are_decided_one_by_one(spark, planted, tmp_path, monkey
     assert sorted(r.text for r in kept.collect()) == sorted(["", clean[1][1] + " x"])
 
 
+def test_a_row_loaded_three_times_stays_once(spark, planted, tmp_path):
+    clean, _ = planted
+    docs = frame(spark, clean[:5] * 3 + [(None, clean[6][1], "en")] * 3)
+    for step in (pipeline.exact_duplicates, pipeline.near_duplicates):
+        kept = step(spark, docs, str(tmp_path))
+        assert kept.columns == docs.columns
+        assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted(
+            [(str(i), t) for i, t, _ in clean[:5]] + [("None", clean[6][1])])
+
+
 def changed(text, word):
     words = text.split()
     words[3] = word

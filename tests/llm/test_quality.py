@@ -56,7 +56,8 @@ def test_held_out_accuracy_and_odd_rows(spark):
     got = Q.classify(d, lab).collect()
     assert len(got) == len(docs) + len(odd) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got if r.doc_id is not None)
-    truth, held = dict(labels), [r for r in got if r.held_out and r.doc_id in truth]
+    truth = dict(labels)
+    held = [r for r in got if r.held_out and r.doc_id in truth]
     assert len(held) > 50 and np.mean([r.predicted == truth[r.doc_id] for r in held]) > 0.95
     by_id = {r.doc_id: r for r in got}
     assert not by_id[None].held_out and by_id[903].predicted == 1

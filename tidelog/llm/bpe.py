@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from tidelog.llm.base import small_batches
 from tidelog.llm.cut import cutter
+from tidelog.llm.words import multipliers
 
 #: Characters of text that are cut and encoded at a time.
 BLOCK_CHARS = 1 << 20
@@ -78,21 +79,24 @@ def encoder(path: str):
 class Pieces:
     """Ids of pieces.  A piece seen before is looked up, the others go to the library.
 
-    Only memory depends on ``MEMORY``: beyond so many pieces it starts anew.
+    Only memory depends on ``MEMORY``: beyond about so many bytes it starts anew.
     """
 
-    MEMORY = 400_000
+    MEMORY = 64 << 20
+    #: What an entry takes beside its piece and its ids.
+    ENTRY = 200
 
     def __init__(self, path: str):
-        self.made, self.known = encoder(path), {}
+        self.made, self.known, self.held = encoder(path), {}, 0
 
     def __call__(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece as 32-bit integers."""
-        if len(self.known) > self.MEMORY:
-            self.known = {}
+        if self.held > self.MEMORY:
+            self.known, self.held = {}, 0
         fresh = [p for p in pieces if p not in self.known]
         for p, e in zip(fresh, self.made.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
             self.known[p] = array("i", e.ids).tobytes()
+            self.held += self.ENTRY + len(p) + len(self.known[p])
         return [self.known[p] for p in pieces]
 
 
@@ -136,15 +140,27 @@ def _blocks(texts: list[str]) -> Iterator[list[str]]:
         yield block
 
 
+def unequal(points: np.ndarray, starts: np.ndarray, sizes: np.ndarray, place: np.ndarray, like: np.ndarray) -> np.ndarray:
+    """The pieces that differ from the piece ``like`` each was taken for, character by character."""
+    if not len(starts):
+        return np.zeros(0, np.int64)
+    same = sizes == sizes[like]
+    at = np.minimum(np.repeat(starts[like], sizes) + place, len(points) - 1)
+    return np.flatnonzero(~(same & np.logical_and.reduceat(points[at] == points, starts)))
+
+
 def encode_block(texts: list[str], cut, pieces: Pieces) -> tuple[np.ndarray, np.ndarray]:
     """The ids of a block of texts, and where in them each text ends."""
     points, starts, owner = cut(texts)
     sizes = np.diff(starts, append=len(points))
     place = np.arange(len(points)) - np.repeat(starts, sizes)
-    powers = np.cumprod(np.full(int(sizes.max(initial=0)) + 1, 0x9E3779B97F4A7C15, np.uint64))
-    prints = np.add.reduceat((points.astype(np.uint64) + np.uint64(1)) * powers[place], starts) if len(starts) else \
-        np.zeros(0, np.uint64)
+    prints = np.add.reduceat((points.astype(np.uint64) + np.uint64(1)) * multipliers(int(sizes.max(initial=0)))[place], starts) \
+        if len(starts) else np.zeros(0, np.uint64)
     _, first, which = np.unique(prints, return_index=True, return_inverse=True)
+    other = unequal(points, starts, sizes, place, first[which])
+    # A piece that only has the print of another stands for itself.
+    which[other] = len(first) + np.arange(len(other))
+    first = np.concatenate([first, other])
     whole = points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
     found = pieces([whole[a:b] for a, b in zip(starts[first].tolist(), (starts + sizes)[first].tolist(), strict=True)])
     flat = np.frombuffer(b"".join(found), np.int32)
@@ -243,6 +259,32 @@ def decode(tokens: DataFrame, path: str, key: str = "doc_id") -> DataFrame:
     return rows.mapInArrow(run, f"`{key}` {kind}, ids array<int>, decoded binary, text string")
 
 
+def roundtrip(docs: DataFrame, path: str, pattern: str, key: str = "doc_id") -> DataFrame:
+    """``(key, ids, decoded)``: :func:`encode` and the bytes of :func:`decode` in one pass.
+
+    Ids do not leave their task in between, and a core has one Python worker for both.
+    """
+    small_batches(docs.sparkSession)
+    rows = docs.select(F.col(key), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    kind = rows.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces, cut, read = Pieces(path), cutter(pattern), Bytes(path)
+        for batch in batches:
+            keys, at = batch.column(0), 0
+            for texts in _blocks(batch.column(1).to_pylist()):
+                ids, ends = encode_block(texts, cut, pieces)
+                flat, n = read(ids)
+                own = np.concatenate([[0], np.cumsum(n)])[np.concatenate([[0], ends])]
+                joined = flat.tobytes()
+                raw = [joined[a:b] for a, b in zip(own[:-1].tolist(), own[1:].tolist(), strict=True)]
+                yield pa.RecordBatch.from_pydict({key: keys.slice(at, len(texts)), "ids": lists(np.split(ids, ends[:-1])),
+                                                  "decoded": pa.array(raw, pa.binary())})
+                at += len(texts)
+
+    return rows.mapInArrow(run, f"`{key}` {kind}, ids array<int>, decoded binary")
+
+
 def fingerprint(path: str) -> str:
     """Which vocabulary a table of ids was made with."""
     with open(path, "rb") as f:

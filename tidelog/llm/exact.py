@@ -31,15 +31,16 @@ def digest_rows(docs: DataFrame) -> DataFrame:
     body = F.coalesce(F.col("text").cast("string"), F.lit(""))
     bare = F.regexp_replace(body, BLANKS, "")
     return (docs.select(F.col("doc_id"), F.char_length(body).alias("n_chars"), bare.alias("bare"))
-            .select("doc_id", "n_chars", F.pmod(F.spark_partition_id(), F.lit(RUNS)).alias("run"),
+            .select("doc_id", "n_chars", F.monotonically_increasing_id().alias("row"), F.pmod(F.spark_partition_id(), F.lit(RUNS)).alias("run"),
                     F.unhex(F.sha2("bare", 256)).alias("digest"), F.xxhash64("bare").alias("check"),
                     F.octet_length("bare").alias("n_bytes")))
 
 
 def first_runs(rows: DataFrame) -> DataFrame:
     """One row per run and distinct text.  The best row sorts first: most code
-    points, then smallest id; a null id is the last choice."""
-    best = F.struct((-F.col("n_chars")).alias("order"), F.col("doc_id").isNull().alias("no_id"), "doc_id")
+    points, then smallest id; a null id is the last choice.  Of rows that agree in all
+    of that, the one with the smallest row number."""
+    best = F.struct((-F.col("n_chars")).alias("order"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
     return rows.groupBy("run", *KEY).agg(F.min(best).alias("best"), F.count(F.lit(1)).alias("group_size"))
 
 
@@ -55,8 +56,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     ``docs`` needs ``doc_id`` (of any type that can be sorted) and ``text``; other columns are ignored, whatever
     their names.  A null text counts as empty, so empty, blank and null texts
     form one group.  Result, one row per input row: ``doc_id``, ``keep_id``,
-    ``group_size`` (rows), ``kept`` and ``text_sha256``.  Rows that share a
-    ``doc_id`` and a text are one document: all are kept or none.  A null
+    ``group_size`` (rows), ``kept`` and ``text_sha256``.  One row of a group is
+    kept, also where rows share a ``doc_id`` or are repeated whole.  A null
     ``doc_id`` is kept only if its whole group has none.  An empty table gives
     an empty result.
     """
@@ -66,8 +67,8 @@ def exact_groups(docs: DataFrame) -> DataFrame:
         runs, left = merge_round(runs), -(-left // FAN_IN)
     # Written out, both join sides are plain exchanges, so that a partition with
     # a hot text can be split at run time.
-    texts = stage(runs.select(*KEY, F.col("best.doc_id").alias("keep_id"), "group_size"), "exact-texts")
+    texts = stage(runs.select(*KEY, F.col("best.doc_id").alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size"), "exact-texts")
     return (rows.join(texts, KEY)
-            .select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
+            .select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),
                     F.lower(F.hex("digest")).alias("text_sha256")))
 

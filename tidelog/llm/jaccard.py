@@ -13,7 +13,8 @@ Two sets of sizes ``a`` and ``b`` link when their overlap is at least
 
 The boundary is where listing subsets begins to cost more than scanning lists.
 
-What keeps hot groups small: equal sets are one node, whatever their number.
+What keeps hot groups small: equal sets are one node, whatever their number and ids.
+A node has a number of its own; ids, of which some may be missing or shared, only name the groups in the end.
 Tokens are ordered by counters over all documents, the frequent ones last, so a
 passage in a third of all documents is in hardly any set's first tokens.  From a
 long list only a spanning forest is compared first; after components are known,
@@ -36,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import words as W
-from tidelog.llm.base import checked, discard, small_batches, stage
+from tidelog.llm.base import BROADCAST_ROWS, checked, discard, small_batches, stage
 from tidelog.llm.counters import frequency_levels, packed_texts, slots
 from tidelog.llm.links import components
 
@@ -46,8 +47,6 @@ MOST_LIGHT = 24
 SHORT_LIST = 32
 #: First tokens of sets that one task of the list scan gets, on average.
 TOKENS_PER_BUCKET = 400_000
-#: Ids of documents without one lie from here on, by a hash of their set.
-NO_ID = (1 << 62)
 
 
 @dataclass(frozen=True)
@@ -103,6 +102,12 @@ def parity(tokens: np.ndarray) -> bytes:
     return np.packbits(flips.astype(np.uint8), bitorder="little").tobytes()
 
 
+def narrow(sketch: bytes) -> bytes:
+    """Half a sketch, for the members of long lists: these travel once for each list that a set is in."""
+    whole = np.frombuffer(sketch, np.uint64)
+    return fold(whole, max(1, len(whole) // 2)).tobytes()
+
+
 def fold(sketch: np.ndarray, to: int) -> np.ndarray:
     """The sketch the same set would have with ``to`` 64-bit words (along the last axis)."""
     while sketch.shape[-1] > to:
@@ -111,7 +116,11 @@ def fold(sketch: np.ndarray, to: int) -> np.ndarray:
     return sketch
 
 
-SETS = "doc_id {kind}, n int, digest binary, first binary, sketch binary"
+SETS = "doc_id {kind}, n int, digest binary, first binary, sketch binary, narrow binary"
+
+
+def digest_of(tokens: np.ndarray) -> bytes:
+    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
 
 
 def sets_of(docs: DataFrame, rule: Rule, levels: np.ndarray, kind: str) -> DataFrame:
@@ -122,18 +131,19 @@ def sets_of(docs: DataFrame, rule: Rule, levels: np.ndarray, kind: str) -> DataF
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, sets in token_sets(batch.column(1), rule.n):
-                firsts, digests, sketches = [], [], []
+                firsts, digests, sketches, halves = [], [], [], []
                 for s in sets:
                     k = len(s) if len(s) <= MOST_LIGHT else rule.first(len(s))
                     level = levels[slots(s)]
                     ordered = s[np.argsort(level, kind="stable")] if level.any() else s
                     firsts.append(ordered[:k].tobytes())
-                    digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
+                    digests.append(digest_of(s))
                     sketches.append(parity(s) if len(s) else b"")
+                    halves.append(narrow(sketches[-1]) if len(s) else b"")
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(row, len(sets)), pa.array([len(s) for s in sets], pa.int32()),
-                     *(pa.array(x, pa.binary()) for x in (digests, firsts, sketches))],
-                    ["doc_id", "n", "digest", "first", "sketch"])
+                     *(pa.array(x, pa.binary()) for x in (digests, firsts, sketches, halves))],
+                    ["doc_id", "n", "digest", "first", "sketch", "narrow"])
 
     return docs.mapInArrow(run, SETS.format(kind=kind))
 
@@ -272,13 +282,13 @@ def scan_lists(entries: DataFrame, rule: Rule) -> DataFrame:
 def scan_long(members: DataFrame, rule: Rule, forest: bool) -> DataFrame:
     """Pairs within long lists that their sketches do not rule out.
 
-    ``members``: ``key, node, n, place, sketch, component``.  With ``forest``,
+    ``members``: ``key, node, n, place, narrow, component``.  With ``forest``,
     the pairs that first connect two members; otherwise all pairs of different components.
     """
     def run(_, table):
         table = table.sort_by([("n", "ascending"), ("node", "ascending")])
         node, n, place, component = (table.column(c).to_numpy() for c in ("node", "n", "place", "component"))
-        sketches = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("sketch")]
+        sketches = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("narrow")]
         width = np.array([len(s) for s in sketches])
         folded = {w: np.stack([fold(s, w) for s in sketches[np.searchsorted(width, w): np.searchsorted(width, 2 * w, "right")]])
                   for w in np.unique(width).tolist()}
@@ -333,20 +343,20 @@ def near_enough(pairs: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
 
 
 def whole_sets(texts: DataFrame, rule: Rule) -> DataFrame:
-    """``(node, tokens)`` of ``(node, held)``, a text or a compressed one."""
+    """``(digest, tokens)`` of ``held``, a text or a compressed one."""
     compressed = texts.schema["held"].dataType.simpleString() == "binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            held = batch.column(1)
+            held = batch.column(0)
             if compressed:
                 held = pa.array([unpack.decompress(x.as_py()).decode() for x in held], pa.string())
-            for row, sets in token_sets(held, rule.n):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(sets)),
-                                                  pa.array([s.tobytes() for s in sets], pa.binary())], ["node", "tokens"])
+            for _, sets in token_sets(held, rule.n):
+                yield pa.RecordBatch.from_arrays([pa.array([digest_of(s) for s in sets], pa.binary()),
+                                                  pa.array([s.tobytes() for s in sets], pa.binary())], ["digest", "tokens"])
 
-    return texts.select("node", "held").mapInArrow(run, "node long, tokens binary")
+    return texts.select("held").mapInArrow(run, "digest binary, tokens binary")
 
 
 def compared(pairs: DataFrame, tokens: DataFrame, rule: Rule) -> DataFrame:
@@ -374,9 +384,9 @@ def similar_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     text of fewer than ``rule.n`` words is one shingle; a text without words, or
     null, has an empty set and links with nothing.  Result, one row per input row:
     ``doc_id``, ``n_shingles`` and ``component_id``, the smallest ``doc_id``
-    reachable by links.  Rows that share a ``doc_id`` are one node, which has the links of
+    reachable by links.  Rows that share a ``doc_id`` are one document, which has the links of
     all of them; documents without id link like others, and a group of
-    nothing else has no ``component_id``.
+    nothing else has no ``component_id``.  An id can be any 64-bit number.
     """
     small_batches(docs.sparkSession)
     kind = "long"
@@ -384,13 +394,13 @@ def similar_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     levels = frequency_levels(rows, shingle_hashes(rule.n))
     every = stage(sets_of(rows, rule, levels, kind), "shingle-sets")
-    own = F.coalesce("doc_id", F.lit(NO_ID) + F.pmod(F.xxhash64("digest"), F.lit(1 << 40)))
-    # Equal sets are one node: the smallest id that has the set.
-    found = every.filter("n > 0").withColumn("own", own)
-    classes = stage(found.groupBy("digest", "n").agg(F.min("own").alias("node")), "set-classes")
-    member = found.select("digest", F.col("n").alias("size"), F.col("own").alias("node"), "first", "sketch")
-    nodes = stage(member.join(classes, ["digest", "node"], "left_semi").dropDuplicates(["digest", "node"])
-                  .select("node", F.col("size").alias("n"), "digest", "first", "sketch"), "set-nodes")
+    # Equal sets are one node.  Its number is written down, so it stays the same.
+    found = every.filter("n > 0")
+    classes = stage(found.groupBy("digest", "n").agg(F.min("doc_id").alias("least"))
+                    .withColumn("node", F.monotonically_increasing_id()), "set-classes")
+    own = classes.select(F.col("digest").alias("_digest"), "least", "node")
+    picked = found.join(own, (F.col("digest") == F.col("_digest")) & F.col("doc_id").eqNullSafe(F.col("least")))
+    nodes = stage(picked.dropDuplicates(["node"]).select("node", "n", "digest", "first", "sketch", "narrow"), "set-nodes")
     names = stage(every.select("doc_id", "n", "digest"), "set-members")
     discard(every)
 
@@ -398,53 +408,49 @@ def similar_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     tokens = nodes.agg(F.sum(F.octet_length("first") / 8)).first()[0] or 0
     buckets = max(64, int(tokens // TOKENS_PER_BUCKET) + 1)
     lists = stage(scan_lists(list_entries(nodes, rule, most, buckets), rule), "lists")
-    sketches = stage(nodes.select("node", "n", "sketch"), "sketches")
+    sketches = stage(nodes.select("node", "n", "sketch", "narrow"), "sketches")
     discard(nodes)
-    proven = lists.filter("kind = 'link'").select("a", "b")
-    members = stage(lists.filter("kind = 'long'").select("key", F.col("a").alias("node"), "place")
-                    .join(sketches, "node"), "long-lists")
-    pairs = near_enough(lists.filter("kind = 'pair'"), sketches, rule)
-    trees = scan_long(members.withColumn("component", F.col("node")), rule, forest=True)
-    pairs = stage(pairs.unionByName(trees).distinct(), "pairs")
+    proven = lists.filter("kind = 'link'").select("a", "b").unionByName(same_id(names, classes))
+    # Members of long lists stay light on disk; half a sketch joins them on the way to their list.
+    members = lists.filter("kind = 'long'").select("key", F.col("a").alias("node"), "n", "place")
+    halves = sketches.select("node", "narrow")
+    trees = scan_long(members.join(halves, "node").withColumn("component", F.col("node")), rule, forest=True)
+    pairs = stage(near_enough(lists.filter("kind = 'pair'").select("a", "b").unionByName(trees), sketches, rule), "pairs")
 
     # Exact comparison: the whole sets of the nodes in question, from their texts.
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(members.select("node")).distinct()
-    ends = stage(names.filter("n > 0").withColumn("node", own).join(ends, "node", "left_semi")
-                 .select("node", "doc_id").distinct(), "ends")
+    ends = stage(classes.join(ends, "node", "left_semi").select("node", "digest", F.col("least").alias("doc_id")), "ends")
     # Few of them are broadcast; otherwise texts are shuffled once, compressed.
-    few, named = checked(ends), rows.filter(F.col("doc_id").isNotNull())
-    if few is not ends:
-        wanted = whole_sets(named.join(few, "doc_id").select("node", F.col("text").alias("held")), rule)
-    else:
-        wanted = whole_sets(packed_texts(named, "doc_id", kind).join(ends, "doc_id").select(
-            "node", F.col("packed").alias("held")), rule)
-    nameless = rows.filter(F.col("doc_id").isNull())
-    whole = stage(wanted.unionByName(_nameless_sets(nameless, rule)).dropDuplicates(["node", "tokens"]), "whole-sets")
+    ids, named = ends.filter("doc_id is not null").select("doc_id").distinct(), rows.filter(F.col("doc_id").isNotNull())
+    few = checked(stage(ids, "end-ids"))
+    held = (named.join(few, "doc_id").select(F.col("text").alias("held")) if ends.count() <= BROADCAST_ROWS else
+            packed_texts(named, "doc_id", kind).join(few, "doc_id").select(F.col("packed").alias("held")))
+    nameless = rows.filter(F.col("doc_id").isNull()).select(F.col("text").alias("held"))
+    wanted = whole_sets(held, rule).unionByName(whole_sets(nameless, rule))
+    whole = stage(wanted.join(ends.select("node", "digest"), "digest").dropDuplicates(["node"]).select("node", "tokens"), "whole-sets")
     links = stage(compared(pairs, whole, rule).unionByName(proven), "links")
     groups = components(links)
-    rest = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    rest = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")).join(halves, "node")
     more = scan_long(rest, rule, forest=False).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = stage(compared(more, whole, rule), "links")
+    more = stage(compared(near_enough(more, sketches, rule), whole, rule), "links")
     if more.limit(1).count():
         groups = components(links.unionByName(more))
-    discard(whole, members, sketches, pairs)
-
-    label = (classes.join(groups, "node", "left")
-             .select("digest", "n", F.coalesce("component", "node").alias("component")))
-    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(
-        F.when(F.col("component") < NO_ID, F.col("component")))
-    return (names.join(stage(label, "set-labels"), ["digest", "n"], "left")
+    discard(whole, sketches, pairs)
+
+    label = classes.join(groups, "node", "left").select(
+        "digest", "n", "least", F.coalesce("component", "node").alias("component"))
+    least = label.groupBy("component").agg(F.min("least").alias("component_id"))
+    label = stage(label.join(least, "component").select("digest", "n", "component_id"), "set-labels")
+    component = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return (names.join(label, ["digest", "n"], "left")
             .select("doc_id", F.col("n").cast("long").alias("n_shingles"), component.alias("component_id")))
 
 
-def _nameless_sets(texts: DataFrame, rule: Rule) -> DataFrame:
-    """The sets of documents without id; their node follows from the set."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, sets in token_sets(batch.column(0), rule.n):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
-                     pa.array([s.tobytes() for s in sets], pa.binary())], ["digest", "tokens"])
-
-    return (texts.select("text").mapInArrow(run, "digest binary, tokens binary")
-            .select((F.lit(NO_ID) + F.pmod(F.xxhash64("digest"), F.lit(1 << 40))).alias("node"), "tokens"))
+def same_id(names: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the different sets that rows of one id have."""
+    several = (names.filter("n > 0 and doc_id is not null").groupBy("doc_id")
+               .agg(F.min("digest").alias("x"), F.max("digest").alias("y")).filter("x <> y").select("doc_id"))
+    own = (names.filter("n > 0").join(several, "doc_id").join(classes.select("digest", "node"), "digest")
+           .select("doc_id", "node").distinct())
+    first = own.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return own.join(first, "doc_id").filter("node <> a").select("a", F.col("node").alias("b"))

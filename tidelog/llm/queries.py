@@ -172,8 +172,7 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str, path: str | None = None) -> DataFrame:
     """No twin.  Tests hold ids against the reference implementation of the rank file."""
     path = path or vocabulary()
-    ids = bpe.encode(table(spark, sf_dir, "documents"), path, cut.KNOWN)
-    return bpe.decode(ids, path).select(
+    return bpe.roundtrip(table(spark, sf_dir, "documents"), path, cut.KNOWN).select(
         "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
         sha256(F.col("decoded")).alias("decoded_sha256"))

@@ -10,7 +10,7 @@ import pyarrow as pa
 
 #: Bytes of text handled at a time; a longer text is a block of its own.
 BLOCK_BYTES = 1 << 20
-_R = np.uint64(0x9E3779B97F4A7C15)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def byte_class(separators: bytes) -> np.ndarray:
@@ -36,10 +36,13 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def powers(n: int) -> np.ndarray:
-    out = np.full(max(n, 1), _R, np.uint64)
-    out[0] = 1
-    return np.cumprod(out)
+def multipliers(n: int) -> np.ndarray:
+    """An odd number for each of ``n`` places, without a rule between them.
+
+    Powers of one number would let whole families of strings collide modulo 2**64,
+    the longer ones of Thue and Morse among them.
+    """
+    return mix(np.arange(1, n + 1, dtype=np.uint64) * _STEP) | np.uint64(1)
 
 
 @dataclass
@@ -89,7 +92,7 @@ def split_words(raw: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> Wor
     # Only bytes of words take part, so a word's bytes follow one another.
     begin = np.cumsum(size) - size
     place = np.arange(int(size.sum())) - np.repeat(begin, size)
-    value = (low[mask].astype(np.uint64) + np.uint64(1)) * powers(int(size.max()))[place]
+    value = (low[mask].astype(np.uint64) + np.uint64(1)) * multipliers(int(size.max()))[place]
     hashed = mix(np.add.reduceat(value, begin) + size.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
     return Words(low, start, end, hashed, np.searchsorted(start, offsets))
 
@@ -99,7 +102,7 @@ def shingles(hashes: np.ndarray, n: int) -> np.ndarray:
     n = min(n, len(hashes))
     if n == 0:
         return hashes
-    weight = powers(n + 1)[1:]
+    weight = multipliers(n)
     total = np.full(len(hashes) - n + 1, np.uint64(n), np.uint64)
     for j in range(n):
         total += hashes[j: len(hashes) - n + 1 + j] * weight[j]
@@ -108,5 +111,5 @@ def shingles(hashes: np.ndarray, n: int) -> np.ndarray:
 
 def shingles_of_rows(rows: np.ndarray) -> np.ndarray:
     """One hash per row of hashes."""
-    weight = powers(rows.shape[1] + 1)[1:]
+    weight = multipliers(rows.shape[1])
     return mix((rows * weight).sum(axis=1, dtype=np.uint64) + np.uint64(rows.shape[1]))
