@@ -3,15 +3,14 @@
 Every stage takes ``(spark, docs, sf_dir)`` and works on all that the one before it
 kept.  All but the last return the columns of ``docs``, whatever else those are.
 
-A row is known by its id and a hash of its text, so rows without id, or with the
-same id and different texts, are decided on one by one; rows that agree in both
-are one document and stay or go together.  Empty tables pass through.
+Rows without id, or with the same id and different texts, are decided on one by
+one.  Where a text decides alone, a row is known by its id and a hash of its text, so rows that
+agree in both stay or go together; where rows are compared, each has a number, so
+of rows that are repeated whole one stays.  Empty tables pass through.
 """
 
 from __future__ import annotations
 
-import itertools
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,43 +52,49 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return without(docs, seen.filter(unclear).select("key"))
 
 
-def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the best document of every group of equal texts."""
-    groups = exact.exact_groups(docs.select(row_key().alias("doc_id"), "text"))
-    return without(docs, groups.filter("not kept").select("doc_id"))
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number of its own for every row, and that column's name.
 
+    Written out, so that a row has the same number whenever it is read.
+    """
+    number = "__row"
+    while number in docs.columns:
+        number = "_" + number
+    return stage(docs.withColumn(number, F.monotonically_increasing_id()), "numbered"), number
 
-def row_number(key: Column, salt: int) -> Column:
-    """A whole number for a row key, below those that ``jaccard`` gives to rows without id."""
-    return F.xxhash64(key, F.lit(salt)).bitwiseAND(F.lit(jaccard.NO_ID - 1))
 
+def sort_key(number: str) -> Column:
+    """Rows by id, those without one last; rows that share an id by their number."""
+    return F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("id"), F.col(number).alias("row"))
 
-def numbered(docs: DataFrame) -> tuple[DataFrame, int]:
-    """The row keys of ``docs`` with their numbers, and a salt with which no two keys share a number.
 
-    Numbers are hashes, so that texts need no join to get them.
-    """
-    rows = stage(docs.select(row_key().alias("key")).distinct(), "row-keys")
-    for salt in itertools.count():
-        keys = rows.select("key", row_number(F.col("key"), salt).alias("number"))
-        if not keys.groupBy("number").count().filter("count > 1").limit(1).count():
-            return keys, salt
+def without_rows(rows: DataFrame, number: str, gone: DataFrame) -> DataFrame:
+    """Numbered rows without those whose numbers are the only column of ``gone``, and without the number."""
+    return rows.join(checked(stage(gone.toDF(number), "gone")), number, "left_anti").drop(number)
+
+
+def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the best row of every group of equal texts, also of rows that are repeated whole."""
+    rows, number = numbered(docs)
+    groups = exact.exact_groups(rows.select(sort_key(number).alias("doc_id"), "text"))
+    return without_rows(rows, number, groups.filter("not kept").select("doc_id.row"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the first row, by its key, of every group of similar texts.
+    """Keep the first row, by id, of every group of similar texts, rows that are repeated whole included.
 
     Texts without words all stay.
     """
-    keys, salt = numbered(docs)
-    groups = jaccard.similar_groups(docs.select(row_number(row_key(), salt).alias("doc_id"), "text"), NEAR)
+    rows, number = numbered(docs)
+    groups = jaccard.similar_groups(rows.select(F.col(number).alias("doc_id"), "text"), NEAR)
     linked = stage(groups.filter(F.col("component_id") != F.col("doc_id"))
-                   .select(F.col("doc_id").alias("number"), "component_id").distinct(), "linked")
-    roots = linked.select(F.col("component_id").alias("number"), "component_id").distinct()
-    members = stage(linked.unionByName(roots).join(keys, "number").select("component_id", "key"), "members")
+                   .select(F.col("doc_id").alias(number), "component_id"), "linked")
+    roots = linked.select(F.col("component_id").alias(number), "component_id").distinct()
+    members = stage(linked.unionByName(roots).join(rows.select(number, sort_key(number).alias("key")), number)
+                    .select("component_id", "key"), "members")
     best = checked(stage(members.groupBy("component_id").agg(F.min("key").alias("best")), "best"))
-    gone = members.join(best, "component_id").filter(~F.col("key").eqNullSafe(F.col("best")))
-    return without(docs, gone.select("key"))
+    gone = members.join(best, "component_id").filter(F.col("key.row") != F.col("best.row"))
+    return without_rows(rows, number, gone.select("key.row"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -100,8 +105,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of what is left, which decode to the text again."""
-    path = vocabulary()
-    back = bpe.decode(bpe.encode(docs, path, cut.KNOWN), path)
+    back = bpe.roundtrip(docs, vocabulary(), cut.KNOWN)
     return back.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids",
                        sha256(F.col("decoded")).alias("decoded_sha256"))
 
