@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm import words as W
-from tidelog.llm.base import BROADCAST_ROWS, checked, discard, small_batches, stage
+from tidelog.llm.base import checked, discard, small_batches, stage
 from tidelog.llm.counters import frequency_levels, packed_texts, slots
 from tidelog.llm.links import components
 
@@ -103,9 +103,10 @@ def parity(tokens: np.ndarray) -> bytes:
 
 
 def narrow(sketch: bytes) -> bytes:
-    """Half a sketch, for the members of long lists: these travel once for each list that a set is in."""
+    """A sketch folded to a quarter: it travels with every pair and member of a list, the
+    whole one only with what the quarter cannot rule out."""
     whole = np.frombuffer(sketch, np.uint64)
-    return fold(whole, max(1, len(whole) // 2)).tobytes()
+    return fold(whole, max(1, len(whole) // 4)).tobytes()
 
 
 def fold(sketch: np.ndarray, to: int) -> np.ndarray:
@@ -322,7 +323,7 @@ def scan_long(members: DataFrame, rule: Rule, forest: bool) -> DataFrame:
     return members.groupBy("key").applyInArrow(run, "a long, b long")
 
 
-def near_enough(pairs: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
+def near_enough(pairs: DataFrame, sketches: DataFrame, rule: Rule, column: str = "sketch") -> DataFrame:
     """Pairs whose sketches do not rule out a link."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -336,27 +337,44 @@ def near_enough(pairs: DataFrame, sketches: DataFrame, rule: Rule) -> DataFrame:
             mask = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], ["a", "b"])
 
-    left = sketches.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa"))
-    right = sketches.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb"))
+    left = sketches.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col(column).alias("sa"))
+    right = sketches.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col(column).alias("sb"))
     return (pairs.select("a", "b").distinct().join(left, "a").join(right, "b")
             .select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long"))
 
 
 def whole_sets(texts: DataFrame, rule: Rule) -> DataFrame:
-    """``(digest, tokens)`` of ``held``, a text or a compressed one."""
+    """``(node, tokens)`` of ``(node, digest, held)``, a text or a compressed one.
+
+    Rows that share an id may have several texts; one whose set is not the node's is passed over.
+    """
     compressed = texts.schema["held"].dataType.simpleString() == "binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
-            held = batch.column(0)
+            held = batch.column(2)
             if compressed:
                 held = pa.array([unpack.decompress(x.as_py()).decode() for x in held], pa.string())
-            for _, sets in token_sets(held, rule.n):
+            for row, sets in token_sets(held, rule.n):
+                digests = batch.column(1).slice(row, len(sets)).to_pylist()
+                own = pa.array([digest_of(s) == d for s, d in zip(sets, digests, strict=True)], pa.bool_())
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, len(sets)).filter(own),
+                                                  pa.array([s.tobytes() for s in sets], pa.binary()).filter(own)], ["node", "tokens"])
+
+    return texts.select("node", "digest", "held").mapInArrow(run, "node long, tokens binary")
+
+
+def nameless_sets(texts: DataFrame, nodes: DataFrame, rule: Rule) -> DataFrame:
+    """The same for texts without id, which only their digest leads to."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, sets in token_sets(batch.column(0), rule.n):
                 yield pa.RecordBatch.from_arrays([pa.array([digest_of(s) for s in sets], pa.binary()),
                                                   pa.array([s.tobytes() for s in sets], pa.binary())], ["digest", "tokens"])
 
-    return texts.select("held").mapInArrow(run, "digest binary, tokens binary")
+    return (texts.select("text").mapInArrow(run, "digest binary, tokens binary")
+            .join(nodes.select("node", "digest"), "digest").select("node", "tokens"))
 
 
 def compared(pairs: DataFrame, tokens: DataFrame, rule: Rule) -> DataFrame:
@@ -411,31 +429,36 @@ def similar_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     sketches = stage(nodes.select("node", "n", "sketch", "narrow"), "sketches")
     discard(nodes)
     proven = lists.filter("kind = 'link'").select("a", "b").unionByName(same_id(names, classes))
-    # Members of long lists stay light on disk; half a sketch joins them on the way to their list.
+    # Members of long lists stay light on disk; a folded sketch joins them on the way to their list.
     members = lists.filter("kind = 'long'").select("key", F.col("a").alias("node"), "n", "place")
-    halves = sketches.select("node", "narrow")
-    trees = scan_long(members.join(halves, "node").withColumn("component", F.col("node")), rule, forest=True)
-    pairs = stage(near_enough(lists.filter("kind = 'pair'").select("a", "b").unionByName(trees), sketches, rule), "pairs")
-
-    # Exact comparison: the whole sets of the nodes in question, from their texts.
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(members.select("node")).distinct()
-    ends = stage(classes.join(ends, "node", "left_semi").select("node", "digest", F.col("least").alias("doc_id")), "ends")
-    # Few of them are broadcast; otherwise texts are shuffled once, compressed.
-    ids, named = ends.filter("doc_id is not null").select("doc_id").distinct(), rows.filter(F.col("doc_id").isNotNull())
-    few = checked(stage(ids, "end-ids"))
-    held = (named.join(few, "doc_id").select(F.col("text").alias("held")) if ends.count() <= BROADCAST_ROWS else
-            packed_texts(named, "doc_id", kind).join(few, "doc_id").select(F.col("packed").alias("held")))
-    nameless = rows.filter(F.col("doc_id").isNull()).select(F.col("text").alias("held"))
-    wanted = whole_sets(held, rule).unionByName(whole_sets(nameless, rule))
-    whole = stage(wanted.join(ends.select("node", "digest"), "digest").dropDuplicates(["node"]).select("node", "tokens"), "whole-sets")
-    links = stage(compared(pairs, whole, rule).unionByName(proven), "links")
+    folded = sketches.select("node", "narrow")
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs that link: exact comparison of the whole sets of the nodes in question, from their texts."""
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        ends = stage(classes.join(ends, "node", "left_semi").select("node", "digest", F.col("least").alias("doc_id")), "ends")
+        # Few of them are broadcast; otherwise texts are shuffled once, compressed.
+        named, nameless = rows.filter(F.col("doc_id").isNotNull()), rows.filter(F.col("doc_id").isNull())
+        few = checked(ends)
+        held = (named.join(few, "doc_id").withColumnRenamed("text", "held") if few is not ends else
+                packed_texts(named, "doc_id", kind).join(ends, "doc_id").withColumnRenamed("packed", "held"))
+        wanted = whole_sets(held, rule).unionByName(nameless_sets(nameless, ends.filter("doc_id is null"), rule))
+        whole = stage(wanted.dropDuplicates(["node", "tokens"]), "whole-sets")
+        links = stage(compared(pairs, whole, rule), "links")
+        discard(whole, ends)
+        return links
+
+    trees = scan_long(members.join(folded, "node").withColumn("component", F.col("node")), rule, forest=True)
+    listed = near_enough(lists.filter("kind = 'pair'"), sketches, rule, "narrow")
+    pairs = stage(near_enough(listed.unionByName(trees), sketches, rule), "pairs")
+    links = verified(pairs).unionByName(proven)
     groups = components(links)
-    rest = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")).join(halves, "node")
+    rest = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")).join(folded, "node")
     more = scan_long(rest, rule, forest=False).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = stage(compared(near_enough(more, sketches, rule), whole, rule), "links")
+    more = verified(stage(near_enough(more, sketches, rule), "pairs"))
     if more.limit(1).count():
         groups = components(links.unionByName(more))
-    discard(whole, sketches, pairs)
+    discard(sketches, pairs)
 
     label = classes.join(groups, "node", "left").select(
         "digest", "n", "least", F.coalesce("component", "node").alias("component"))
