@@ -1,3 +1,4 @@
+import base64
 import random
 
 import numpy as np
@@ -102,3 +103,24 @@ def test_one_pass_equals_two(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert bpe.decode(bpe.encode(df, vocabulary(), cut.KNOWN), vocabulary()).count() == 0
+
+
+def test_pieces_equal_the_reference_whatever_call_they_fall_into(monkeypatch):
+    """Pieces that hold the mark between pieces, in calls of every size, one of them longer than a call."""
+    ranks = bpe.read_ranks(vocabulary())
+    exact = tiktoken.Encoding("ranks", pat_str=cut.KNOWN, mergeable_ranks=ranks, special_tokens={})
+    pieces = ["\n", "\n\n", " \n", "\u00ff", "\u00ff\u00ff", "a", "ab" * 400, " the", "\x00", "\u20ac", "\U0001f600", "\u010a"]
+    want = [exact._core_bpe.encode_single_piece(p.encode()) for p in pieces]
+    for chars in (1, 3, 1 << 18):
+        monkeypatch.setattr(bpe, "CALL_CHARS", chars)
+        found = bpe.Pieces(vocabulary())(pieces)
+        assert [np.frombuffer(x, np.int32).tolist() for x in found] == want
+
+
+def test_a_vocabulary_that_lacks_a_byte_is_refused(tmp_path):
+    path = tmp_path / "few.tiktoken"
+    path.write_text("".join(f"{base64.b64encode(bytes([b])).decode()} {i}\n" for i, b in enumerate(b"abc")))
+    pieces = bpe.Pieces(str(path))
+    assert [np.frombuffer(x, np.int32).tolist() for x in pieces(["abc", "c"])] == [[0, 1, 2], [2]]
+    with pytest.raises(ValueError, match="lacks a byte"):
+        pieces(["abd"])

@@ -16,7 +16,6 @@ import base64
 import functools
 import hashlib
 import os
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +31,10 @@ from tidelog.llm.words import multipliers
 BLOCK_CHARS = 1 << 20
 #: Ids that are decoded at a time.
 BLOCK_IDS = 1 << 19
+#: Characters that the library gets at a time; it holds sixteen bytes and more for each.
+CALL_CHARS = 1 << 18
+#: Stands for no byte in the byte table.
+BETWEEN = "\n"
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -64,7 +67,8 @@ def merges(ranks: dict[bytes, int]) -> list[tuple[bytes, bytes]]:
 
 @functools.lru_cache(maxsize=4)
 def encoder(path: str):
-    """The library's tokenizer for a rank file; it takes pieces, not texts."""
+    """The library's tokenizer for a rank file; it takes pieces, not texts, in the characters
+    of the byte table and with ``BETWEEN`` between them."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores are Spark's to share out
     from tokenizers import Tokenizer, models, pre_tokenizers
 
@@ -72,7 +76,7 @@ def encoder(path: str):
     shown = {token: "".join(table[b] for b in token) for token in ranks}
     made = Tokenizer(models.BPE(vocab={shown[t]: r for t, r in ranks.items()},
                                 merges=[(shown[a], shown[b]) for a, b in merges(ranks)], ignore_merges=True))
-    made.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+    made.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(BETWEEN)
     return made
 
 
@@ -88,17 +92,38 @@ class Pieces:
 
     def __init__(self, path: str):
         self.made, self.known, self.held = encoder(path), {}, 0
+        self.size = np.array([len(t) for t in decoder(path)], np.int64)
+        self.shown = np.array([ord(c) for c in byte_table()[:0xFF] + [BETWEEN]], "<u4")
 
     def __call__(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece as 32-bit integers."""
         if self.held > self.MEMORY:
             self.known, self.held = {}, 0
         fresh = [p for p in pieces if p not in self.known]
-        for p, e in zip(fresh, self.made.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-            self.known[p] = array("i", e.ids).tobytes()
-            self.held += self.ENTRY + len(p) + len(self.known[p])
+        to = np.cumsum([len(p) for p in fresh])
+        at = 0
+        while at < len(fresh):
+            end = max(at + 1, int(np.searchsorted(to, (to[at - 1] if at else 0) + CALL_CHARS, side="right")))
+            self._learn(fresh[at:end])
+            at = end
         return [self.known[p] for p in pieces]
 
+    def _learn(self, fresh: list[str]) -> None:
+        """One call for many pieces.  Their ids come in one row; the bytes that ids stand for say
+        where each piece ends."""
+        # No UTF-8 text has the byte 0xFF, so it parts the pieces.
+        raw = np.frombuffer("\udcff".join(fresh).encode("utf-8", "surrogateescape"), np.uint8)
+        ends = np.append(np.flatnonzero(raw == 0xFF), len(raw)) - np.arange(len(fresh))
+        text = self.shown[raw].tobytes().decode("utf-32-le")
+        ids = np.array(self.made.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int32)
+        reach = np.cumsum(self.size[ids])
+        last = np.searchsorted(reach, ends)
+        if not len(reach) or reach[-1] != ends[-1] or (reach[last] != ends).any():
+            raise ValueError("the vocabulary lacks a byte of the text")
+        flat, cuts = ids.tobytes(), (4 * (last + 1)).tolist()
+        self.known.update(zip(fresh, [flat[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)], strict=True))
+        self.held += self.ENTRY * len(fresh) + len(raw) + len(flat)
+
 
 @functools.lru_cache(maxsize=4)
 def decoder(path: str) -> list[bytes]:
