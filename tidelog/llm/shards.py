@@ -22,8 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -102,22 +101,21 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, int]:
 
 
 def _sequences(tokens: DataFrame, length: int, order: Order, first: int, most: int, shards: int) -> DataFrame:
-    """Shard, place and compressed record of every sequence."""
+    """Shard, place and record of every sequence; records are not filled yet."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             ends, flat = batch.column(1).offsets.to_numpy(), batch.column(1).values.to_numpy()
             ids, own_numbers = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for at in range(0, len(ids), 500):
                 numbers, records = [], []
                 for i in range(at, min(at + 500, len(ids))):
-                    own = np.append(flat[ends[i]: ends[i + 1]], END).astype("<u2")
+                    own = np.append(flat[ends[i]: ends[i + 1]], END).astype("<u2").tobytes()
                     base = (0 if own_numbers[i] is None else own_numbers[i] - first + 1) * most
                     key = (NO_ID if ids[i] is None else ids[i]).to_bytes(8, "big", signed=True)
-                    for j, s in enumerate(range(0, len(own), length)):
-                        part = own[s: s + length]
+                    for j, s in enumerate(range(0, len(own), 2 * length)):
+                        part = own[s: s + 2 * length]
                         numbers.append(base + j)
-                        records.append(pack.compress(key + j.to_bytes(4, "big") + len(part).to_bytes(4, "big") + part.tobytes()))
+                        records.append(key + j.to_bytes(4, "big") + (len(part) // 2).to_bytes(4, "big") + part)
                 place = order(np.array(numbers, np.uint64))
                 shard = (place.astype(object) * shards // order.size).astype(np.int64)
                 yield pa.RecordBatch.from_pydict({
@@ -127,17 +125,9 @@ def _sequences(tokens: DataFrame, length: int, order: Order, first: int, most: i
     return tokens.mapInArrow(run, "shard int, place long, record binary")
 
 
-def _filled(rows: DataFrame, length: int) -> DataFrame:
-    """Records at full length."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = zstandard.ZstdDecompressor()
-        fill = np.full(length, PAD, "<u2").tobytes()
-        for batch in batches:
-            whole = [(r := unpack.decompress(x.as_py())) + fill[: HEADER + 2 * length - len(r)] for x in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(whole, pa.binary())],
-                                             ["shard", "place", "record"])
-
-    return rows.mapInArrow(run, "shard int, place long, record binary")
+def filled(record: str, length: int) -> Column:
+    """Records at full length: the fill token is one byte, twice."""
+    return F.rpad(record, HEADER + 2 * length, F.lit(bytes([PAD & 0xFF])))
 
 
 def stride(length: int) -> int:
@@ -167,8 +157,8 @@ def write_shards(tokens: DataFrame, path: str, length: int, shards: int, key: in
         raise ValueError("document ids are too far apart to number their sequences in 62 bits")
     order = Order(size, key)
     dealt = _sequences(rows, length, order, first, most, shards).repartition(shards, "shard")
-    (_filled(dealt, length).sortWithinPartitions("shard", "place", "record")
-     .select("shard", F.col("record").cast("string").alias("value"))
+    (dealt.sortWithinPartitions("shard", "place", "record")
+     .select("shard", filled("record", length).cast("string").alias("value"))
      .write.partitionBy("shard").option("lineSep", SEPARATOR).text(path))
 
 
