@@ -79,7 +79,36 @@ def test_documents_without_id_come_first(spark):
     assert kept[1, 201] == [(0, 200)] and kept[None, 200] + kept[None, 201] in ([(0, 200)],)
 
 
-def test_a_long_text_is_cut_for_anchors_only(monkeypatch):
+def test_ids_are_any_number_and_texts_may_share_one(spark):
+    rnd = random.Random(7)
+    a, b = ("".join(rnd.choice("abcdefgh ") for _ in range(150)) for _ in range(2))
+    least, most = -(1 << 63), (1 << 63) - 1
+    rows = [(least, a), (-(1 << 62) - 1, a + b), (-(1 << 62), b), (most, a + "!"), (most, "short"), (most, None), (5, b), (5, a + b), (5, a + b)]
+    out = got(spark, rows, 100)
+    assert sorted(i for i, *_ in out) == sorted(i for i, _ in rows)
+    kept = {(i, n): spans for i, n, spans, _ in out}
+    assert kept[least, 150] == [] and kept[-(1 << 62) - 1, 300] == [(0, 150)] and kept[-(1 << 62), 150] == [(0, 150)]
+    assert kept[most, 151] == [(0, 150)] and kept[most, 5] == kept[most, 0] == []
+    assert kept[5, 150] == [(0, 150)] and kept[5, 300] == [(0, 300)]
+
+
+def test_of_texts_that_share_an_id_one_keeps_a_string(spark):
+    rnd = random.Random(8)
+    line = "".join(rnd.choice("abcdefgh ") for _ in range(120))
+    out = got(spark, [(3, line + "x" * k) for k in range(4)] + [(2, "other")], 100)
+    assert sorted(bool(spans) for i, _, spans, _ in out if i == 3) == [False, True, True, True]
+
+
+def test_strings_longer_than_a_byte_counts(spark):
+    rnd = random.Random(9)
+    line = "".join(rnd.choice("abcdefgh ") for _ in range(900))
+    rows = [(1, "q" + line), (2, line[:500] + "#" + line[501:]), (3, line[200:]), (4, line[:399])]
+    assert got(spark, rows, 400) == brute(rows, 400)
+
+
+@pytest.mark.parametrize("piece", [700, 1 << 23])
+def test_a_long_text_is_cut_for_anchors_only(monkeypatch, piece):
+    monkeypatch.setattr(suffix, "PIECE", piece)
     rng = np.random.default_rng(1)
     raw = rng.integers(97, 101, 5000).astype(np.uint8)
     start, count, place, *_ = suffix.anchors(raw, np.array([0, 2000, 2000, 5000]), 60)

@@ -51,12 +51,14 @@ def frequency_levels(texts: DataFrame, hashes_of: Callable[[np.ndarray, np.ndarr
     return np.where(total >= 4 * mean, np.log2(np.maximum(total, 1) / mean), 0).astype(np.uint8)
 
 
-def packed_texts(docs: DataFrame, key: str, kind: str) -> DataFrame:
-    """``key`` and the text, compressed for a shuffle."""
+def packed_texts(docs: DataFrame, key: str, kind: str, **more: str) -> DataFrame:
+    """``key``, more columns with their types, and the text, compressed for a shuffle."""
+    kinds = {key: kind, **more}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(
-                [pack.compress(x.as_buffer()) for x in batch.column(1)], pa.binary())], [key, "packed"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(
+                [pack.compress(x.as_buffer()) for x in batch.columns[-1]], pa.binary())], [*kinds, "packed"])
 
-    return docs.select(key, "text").mapInArrow(run, f"`{key}` {kind}, packed binary")
+    return docs.select(*kinds, "text").mapInArrow(run, ", ".join(f"`{c}` {t}" for c, t in kinds.items()) + ", packed binary")

@@ -14,7 +14,11 @@ alone.  Consecutive strings with one anchor form a block.
    are never split between partitions, and a group of leads that reaches over the
    end of an Arrow batch is carried into the next, so equal strings are always
    compared, within a bucket and across its batches.
-3. The strings found earlier elsewhere are joined to their documents by id.
+3. The strings found earlier elsewhere are joined to their documents.
+
+A document is known by ``doc`` and ``tie``: its id and a hash of its text, so that
+texts that share an id are told apart.  Without an id ``doc`` is a second hash
+and ``tie`` is negative; such documents come before all others.
 
 An anchor that is frequent (counted over all documents) is spread: its
 fingerprints by block, and its suffixes by slices of ``SLICE`` strings, led by
@@ -41,6 +45,8 @@ SLICE = 8
 ANCHORS_PER_BUCKET = 400_000
 #: Strings sorted at a time, unless one group of leads has more.
 STRINGS_AT_ONCE = 1 << 19
+#: Strings whose anchors are sought at a time; a longer text takes several pieces.
+PIECE = 1 << 23
 _R = 0x9E3779B97F4A7C15
 _POWERS: dict[str, np.ndarray] = {}
 
@@ -85,7 +91,7 @@ def anchors(raw: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarr
     anchor, hash of the anchor, hash of the block, and text."""
     none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.uint64, np.uint64, np.int64))
     last = max(len(raw) - length + 1, 0)
-    pieces = [_anchors_of_piece(raw, offsets, length, a, min(a + (1 << 23), last)) for a in range(0, last, 1 << 23)]
+    pieces = [_anchors_of_piece(raw, offsets, length, a, min(a + PIECE, last)) for a in range(0, last, PIECE)]
     return tuple(np.concatenate(x) for x in zip(none, *pieces, strict=True))
 
 
@@ -119,15 +125,17 @@ def _route(anchor: np.ndarray, block: np.ndarray, hot: np.ndarray, buckets: int)
 
 def fingerprints(texts: DataFrame, levels: np.ndarray, length: int, buckets: int) -> DataFrame:
     """Anchors and blocks of every text, packed by bucket."""
+    small = np.min_scalar_type(length)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pack = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            keys = batch.column(0).to_numpy()
+            docs, ties = batch.column(0).to_numpy(), batch.column(1).to_numpy()
             held = []
-            for row, raw, offsets in text_blocks(batch.column(1)):
+            for row, raw, offsets in text_blocks(batch.column(2)):
                 start, count, place, anchor, block, text = anchors(raw, offsets, length)
-                held.append((anchor, block, keys[row + text], (start - offsets[text]).astype(np.int32),
-                             count.astype(np.uint8), (place - start).astype(np.uint8)))
+                held.append((anchor, block, docs[row + text], ties[row + text], (start - offsets[text]).astype(np.int32),
+                             count.astype(small), (place - start).astype(small)))
             if not held:
                 continue
             columns = [np.concatenate(x) for x in zip(*held, strict=True)]
@@ -141,15 +149,23 @@ def fingerprints(texts: DataFrame, levels: np.ndarray, length: int, buckets: int
                 "prints": pa.array([b"".join(c[o].tobytes() for c in columns[:2]) for o in cut], pa.binary()),
                 "rest": pa.array([pack.compress(b"".join(c[o].tobytes() for c in columns[2:])) for o in cut], pa.binary())})
 
-    return texts.mapInArrow(run, "bucket int, prints binary, rest binary")
+    return texts.select("doc", "tie", "text").mapInArrow(run, "bucket int, prints binary, rest binary")
+
 
+SPANS = "kind string, doc long, tie long, start int, n int, place int"
 
-SPANS = "kind string, doc long, start int, n int, place int"
 
+def earliest_first(doc: np.ndarray, tie: np.ndarray, start: np.ndarray, *groups: np.ndarray) -> np.ndarray:
+    """The order by groups (the last one first), document and start."""
+    return np.lexsort((start, tie, doc, tie >= 0, *groups))
 
-def sort_out(prints: DataFrame, levels: np.ndarray) -> DataFrame:
+
+def sort_out(prints: DataFrame, levels: np.ndarray, length: int) -> DataFrame:
     """Blocks that are ``gone``, and those that must be looked at (``look``, or
     ``hot`` where the anchor is frequent); the rest needs nothing."""
+    small = np.min_scalar_type(length)
+    size = small.itemsize
+
     def run(_, table):
         unpack = zstandard.ZstdDecompressor()
         held = []
@@ -157,22 +173,23 @@ def sort_out(prints: DataFrame, levels: np.ndarray) -> DataFrame:
             p, r = p.as_py(), unpack.decompress(r.as_py())
             m = len(p) // 16
             held.append((np.frombuffer(p, np.uint64, m), np.frombuffer(p, np.uint64, m, 8 * m),
-                         np.frombuffer(r, np.int64, m), np.frombuffer(r, np.int32, m, 8 * m),
-                         np.frombuffer(r, np.uint8, m, 12 * m), np.frombuffer(r, np.uint8, m, 13 * m)))
-        anchor, block, doc, start, n, place = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((start, doc, block, anchor))
-        anchor, block, doc, start, n, place = (x[order] for x in (anchor, block, doc, start, n, place))
+                         np.frombuffer(r, np.int64, m), np.frombuffer(r, np.int64, m, 8 * m),
+                         np.frombuffer(r, np.int32, m, 16 * m),
+                         np.frombuffer(r, small, m, 20 * m), np.frombuffer(r, small, m, (20 + size) * m)))
+        anchor, block, doc, tie, start, n, place = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = earliest_first(doc, tie, start, block, anchor)
+        anchor, block, doc, tie, start, n, place = (x[order] for x in (anchor, block, doc, tie, start, n, place))
         new_anchor = np.concatenate([[True], anchor[1:] != anchor[:-1]])
         new_block = new_anchor | np.concatenate([[True], block[1:] != block[:-1]])
         one = np.flatnonzero(new_block)[np.cumsum(new_block) - 1]  # the first of each entry's equal blocks
-        gone = ~((doc == doc[one]) & (start == start[one]))
+        gone = (doc != doc[one]) | (tie != tie[one]) | (start != start[one])
         kinds = np.add.reduceat(new_block.astype(np.int64), np.flatnonzero(new_anchor))[np.cumsum(new_anchor) - 1]
         hot = levels[slots(anchor)] > 0
         look = new_block & ((kinds > 1) | hot)
         keep = gone | look
         kind = np.where(gone, "gone", np.where(hot, "hot", "look"))[keep]
         return pa.table({"kind": pa.array(kind.tolist(), pa.string()), "doc": pa.array(doc[keep]),
-                         "start": pa.array(start[keep]), "n": pa.array(n[keep].astype(np.int32)),
+                         "tie": pa.array(tie[keep]), "start": pa.array(start[keep]), "n": pa.array(n[keep].astype(np.int32)),
                          "place": pa.array(place[keep].astype(np.int32))})
 
     return prints.groupBy("bucket").applyInArrow(run, SPANS)
@@ -184,9 +201,10 @@ def suffixes(packed: DataFrame, spans: DataFrame, length: int) -> DataFrame:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             for i in range(batch.num_rows):
-                doc, raw = batch.column(0)[i].as_py(), unpack.decompress(batch.column(1)[i].as_py())
+                doc, tie = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+                raw = unpack.decompress(batch.column(2)[i].as_py())
                 leads, bytes_, starts, counts, places = [], [], [], [], []
-                for s in sorted(set(map(lambda x: (x["kind"], x["start"], x["n"], x["place"]), batch.column(2)[i].as_py()))):
+                for s in sorted(set(map(lambda x: (x["kind"], x["start"], x["n"], x["place"]), batch.column(3)[i].as_py()))):
                     kind, start, n, place = s
                     anchor = start + place
                     if kind == "look":
@@ -207,12 +225,14 @@ def suffixes(packed: DataFrame, spans: DataFrame, length: int) -> DataFrame:
                         places.append(anchor - at)
                 yield pa.RecordBatch.from_pydict({
                     "lead": pa.array(leads, pa.binary()), "bytes": pa.array(bytes_, pa.binary()),
-                    "doc": pa.array([doc] * len(leads), pa.int64()), "start": pa.array(starts, pa.int32()),
+                    "doc": pa.array([doc] * len(leads), pa.int64()),
+                    "tie": pa.array([tie] * len(leads), pa.int64()), "start": pa.array(starts, pa.int32()),
                     "n": pa.array(counts, pa.int32()), "place": pa.array(places, pa.int32())})
 
-    listed = spans.filter("kind <> 'gone'").groupBy("doc").agg(F.collect_list(F.struct("kind", "start", "n", "place")).alias("s"))
-    return packed.join(listed, "doc").select("doc", "packed", "s").mapInArrow(
-        run, "lead binary, bytes binary, doc long, start int, n int, place int")
+    listed = spans.filter("kind <> 'gone'").groupBy("doc", "tie").agg(
+        F.collect_list(F.struct("kind", "start", "n", "place")).alias("s"))
+    return packed.join(listed, ["doc", "tie"]).select("doc", "tie", "packed", "s").mapInArrow(
+        run, "lead binary, bytes binary, doc long, tie long, start int, n int, place int")
 
 
 def multikey_groups(words: np.ndarray, at: np.ndarray, group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -234,9 +254,9 @@ def multikey_groups(words: np.ndarray, at: np.ndarray, group: np.ndarray, length
     return member, group
 
 
-def repeated(lead: list[bytes], raw: list[bytes], doc: np.ndarray, start: np.ndarray, n: np.ndarray, place: np.ndarray,
-             length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Documents and starts of strings that start earlier in another suffix of the same lead."""
+def repeated(lead: list[bytes], raw: list[bytes], doc: np.ndarray, tie: np.ndarray, start: np.ndarray, n: np.ndarray,
+             place: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Documents (two columns) and starts of strings that start earlier in another suffix of the same lead."""
     flat = np.frombuffer(b"".join(raw) + bytes(8), np.uint8)
     words = np.zeros(len(flat) - 7, np.uint64)
     for k in range(8):
@@ -248,45 +268,46 @@ def repeated(lead: list[bytes], raw: list[bytes], doc: np.ndarray, start: np.nda
     number: dict[bytes, int] = {}
     leads = np.array([number.setdefault(x, len(number)) for x in lead], np.int64)
     # Equal strings have their anchor at the same distance.
-    group = leads[row] * 256 + (place[row] - inside)
+    group = leads[row] * length + (place[row] - inside)
     member, group = multikey_groups(words, begin[row] + inside, group, length)
-    d, s = doc[row[member]], start[row[member]] + inside[member]
-    order = np.lexsort((s, d, group))
-    d, s, group = d[order], s[order], group[order]
+    d, t, s = doc[row[member]], tie[row[member]], start[row[member]] + inside[member]
+    order = earliest_first(d, t, s, group)
+    d, t, s, group = d[order], t[order], s[order], group[order]
     first = np.concatenate([[True], group[1:] != group[:-1]]) if len(group) else group.astype(bool)
     one = np.flatnonzero(first)[np.cumsum(first) - 1] if len(group) else group
-    later = (d != d[one]) | (s != s[one])
-    return d[later], s[later]
+    later = (d != d[one]) | (t != t[one]) | (s != s[one])
+    return d[later], t[later], s[later]
 
 
 def compare(suffix: DataFrame, length: int) -> DataFrame:
     """Spans of strings that start earlier elsewhere, from sorted buckets of suffixes."""
     def spans(lead, raw, columns):
-        d, s = repeated(lead, raw, *columns, length)
-        order = np.lexsort((s, d))
-        d, s = d[order], s[order]
-        new = np.concatenate([[True], (d[1:] != d[:-1]) | (s[1:] > s[:-1] + 1)]) if len(d) else d.astype(bool)
+        d, t, s = repeated(lead, raw, *columns, length)
+        order = earliest_first(d, t, s)
+        d, t, s = d[order], t[order], s[order]
+        new = (np.concatenate([[True], (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (s[1:] > s[:-1] + 1)])
+               if len(d) else d.astype(bool))
         at = np.flatnonzero(new)
         last = s[np.append(at[1:], len(s)) - 1] if len(at) else s
-        return pa.RecordBatch.from_pydict({"doc": pa.array(d[at], pa.int64()), "start": pa.array(s[at], pa.int32()),
-                                           "n": pa.array(last - s[at] + 1, pa.int32())})
+        return pa.RecordBatch.from_pydict({"doc": pa.array(d[at], pa.int64()), "tie": pa.array(t[at], pa.int64()),
+                                           "start": pa.array(s[at], pa.int32()), "n": pa.array(last - s[at] + 1, pa.int32())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         strings = 0
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
                 # Rows come sorted by lead; a group is complete when the lead changes.
                 if strings >= STRINGS_AT_ONCE and row[0] != held[-1][0]:
                     yield spans(*_columns(held))
                     held, strings = [], 0
                 held.append(row)
-                strings += row[4]
+                strings += row[5]
         if held:
             yield spans(*_columns(held))
 
     return (suffix.repartitionByRange("lead").sortWithinPartitions("lead")
-            .mapInArrow(run, "doc long, start int, n int"))
+            .mapInArrow(run, "doc long, tie long, start int, n int"))
 
 
 def _columns(rows: list[tuple]) -> tuple[list, list, list]:
@@ -301,33 +322,35 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     ignored.  Earlier means in a document with a smaller id, or before in the same.  Null texts are
     empty; texts shorter than ``length`` lose nothing.  Result, one row per input
     row: ``doc_id``, ``n_bytes``, ``spans`` (maximal removed runs of bytes, ends
-    exclusive) and ``kept`` (the bytes left, joined).  Rows that share a ``doc_id``
-    must share their text and get the same result; documents without id come
-    before all others, ordered by a hash of their text.
+    exclusive) and ``kept`` (the bytes left, joined).  An id can be any 64-bit number.
+    Rows that share ``doc_id`` and text are one document and get the same result;
+    different texts of one id, and documents without id, which come before all
+    others, are ordered by a hash of their text.
     """
-    if length < 2 * GRAM:
-        raise ValueError(f"strings need at least {2 * GRAM} bytes")
+    if not 2 * GRAM <= length <= PIECE // 2:
+        raise ValueError(f"strings need at least {2 * GRAM} bytes and at most {PIECE // 2}")
     small_batches(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62)) - F.pmod(F.xxhash64(text), F.lit(1 << 61)))
-    rows = docs.select(key.alias("doc"), text.alias("text"))
+    own, digest = F.col("doc_id").cast("long"), F.xxhash64(text).bitwiseAND(F.lit((1 << 63) - 1))
+    rows = docs.select(F.coalesce(own, F.xxhash64(text, F.lit("no id"))).alias("doc"),
+                       F.when(own.isNotNull(), digest).otherwise(-1 - digest).alias("tie"), text.alias("text"))
     levels = frequency_levels(rows, lambda raw, offsets: anchors(raw, offsets, length)[3])
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(64, int(2 * size / (length - GRAM + 2)) // ANCHORS_PER_BUCKET + 1)
-    spans = stage(sort_out(fingerprints(rows, levels, length, buckets), levels), "spans")
-    packed = packed_texts(rows, "doc", "long")
+    spans = stage(sort_out(fingerprints(rows, levels, length, buckets), levels, length), "spans")
+    packed = packed_texts(rows, "doc", "long", tie="long")
     found = stage(suffixes(packed, spans, length), "suffixes")
-    removed = stage(spans.filter("kind = 'gone'").select("doc", "start", "n")
+    removed = stage(spans.filter("kind = 'gone'").select("doc", "tie", "start", "n")
                     .unionByName(compare(found, length)), "removed")
     discard(spans, found)
-    listed = removed.groupBy("doc").agg(F.collect_list(F.struct("start", "n")).alias("s"))
+    listed = removed.groupBy("doc", "tie").agg(F.collect_list(F.struct("start", "n")).alias("s"))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpack = zstandard.ZstdDecompressor()
         for batch in batches:
             n, spans, kept = [], [], []
-            for t, s in zip(batch.column(1), batch.column(2), strict=True):
+            for t, s in zip(batch.column(2), batch.column(3), strict=True):
                 raw = np.frombuffer(unpack.decompress(t.as_py()), np.uint8)
                 delta = np.zeros(len(raw) + 1, np.int64)
                 if s.is_valid and len(s):
@@ -340,11 +363,11 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 spans.append([{"start": a, "end": b} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)])
                 kept.append(raw[~gone].tobytes())
             yield pa.RecordBatch.from_arrays([
-                batch.column(0), pa.array(n, pa.int64()),
+                batch.column(0), batch.column(1), pa.array(n, pa.int64()),
                 pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
-                pa.array(kept, pa.binary())], ["doc", "n_bytes", "spans", "kept"])
+                pa.array(kept, pa.binary())], ["doc", "tie", "n_bytes", "spans", "kept"])
 
-    out = (packed.join(listed, "doc", "left").select("doc", "packed", "s")
-           .mapInArrow(run, "doc long, n_bytes long, spans array<struct<start:int,end:int>>, kept binary"))
-    return out.select(F.when(F.col("doc") > -(1 << 62), F.col("doc")).cast(kind).alias("doc_id"), "n_bytes", "spans", "kept")
+    out = (packed.join(listed, ["doc", "tie"], "left").select("doc", "tie", "packed", "s")
+           .mapInArrow(run, "doc long, tie long, n_bytes long, spans array<struct<start:int,end:int>>, kept binary"))
+    return out.select(F.when(F.col("tie") >= 0, F.col("doc")).cast(kind).alias("doc_id"), "n_bytes", "spans", "kept")
 
