@@ -17,9 +17,10 @@ What keeps hot groups small: equal sets are one node, whatever their number and
 A node has a number of its own; ids, of which some may be missing or shared, only name the groups in the end.
 Tokens are ordered by counters over all documents, the frequent ones last, so a
 passage in a third of all documents is in hardly any set's first tokens.  From a
-long list only a spanning forest is compared first; after components are known,
-only pairs that lie in different ones.  No pair of different sets that could be
-linked is left out otherwise, and no list has a cap.
+long list only a spanning forest of what folded sketches allow is compared first.
+A tree whose edges all hold is one component and done with.  In the others the
+pairs of different components are compared, by whole sketches.  No pair of different
+sets that could be linked is left out otherwise, and no list has a cap.
 """
 
 from __future__ import annotations
@@ -280,47 +281,71 @@ def scan_lists(entries: DataFrame, rule: Rule) -> DataFrame:
     return entries.groupBy("bucket").applyInArrow(run, FOUND)
 
 
-def scan_long(members: DataFrame, rule: Rule, forest: bool) -> DataFrame:
-    """Pairs within long lists that their sketches do not rule out.
+def sketch_pairs(table: pa.Table, rule: Rule) -> Iterator[tuple[int, np.ndarray]]:
+    """Members of a long list, ordered by size, with the later ones that place and
+    sketch allow.  ``table``: ``n, place, component, sketch``; a component's own pairs are left out."""
+    n, place, component = (table.column(c).to_numpy() for c in ("n", "place", "component"))
+    sketches = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("sketch")]
+    width = np.array([len(s) for s in sketches])
+    folded = {w: np.stack([fold(s, w) for s in sketches[np.searchsorted(width, w): np.searchsorted(width, 2 * w, "right")]])
+              for w in np.unique(width).tolist()}
+    top = np.searchsorted(n, 100 * n.astype(np.int64) // rule.percent, side="right")
+    for i in range(len(n)):
+        j = np.arange(i + 1, top[i])
+        j = j[component[j] != component[i]]
+        need = rule.need(n[i], n[j].astype(np.int64))
+        keep = np.minimum(n[i] - place[i], n[j] - place[j]) >= need
+        j, need = j[keep], need[keep]
+        if len(j):
+            own, base = folded[width[i]], np.searchsorted(width, width[i])
+            apart = np.bitwise_count(own[j - base] ^ own[i - base]).sum(axis=1)
+            yield i, j[apart <= n[i] + n[j] - 2 * need]
+
+
+def forests(members: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs that first connect two members of a list, with the list and the ``tree`` they end up in.
 
-    ``members``: ``key, node, n, place, narrow, component``.  With ``forest``,
-    the pairs that first connect two members; otherwise all pairs of different components.
+    ``members``: ``key, node, n, place, sketch``.  Two members whose sketches allow
+    a link are in one tree.
     """
-    def run(_, table):
+    def run(key, table):
         table = table.sort_by([("n", "ascending"), ("node", "ascending")])
-        node, n, place, component = (table.column(c).to_numpy() for c in ("node", "n", "place", "component"))
-        sketches = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("narrow")]
-        width = np.array([len(s) for s in sketches])
-        folded = {w: np.stack([fold(s, w) for s in sketches[np.searchsorted(width, w): np.searchsorted(width, 2 * w, "right")]])
-                  for w in np.unique(width).tolist()}
-        root = dict(zip(component.tolist(), component.tolist(), strict=True))
+        node = table.column("node").to_numpy()
+        table = table.append_column("component", pa.array(node))
+        root = dict(zip(node.tolist(), node.tolist(), strict=True))
 
         def find(x):
             while root[x] != x:
                 root[x] = x = root[root[x]]
             return x
 
-        top = np.searchsorted(n, 100 * n.astype(np.int64) // rule.percent, side="right")
-        out = set()
-        for i in range(len(node)):
-            j = np.arange(i + 1, top[i])
-            j = j[component[j] != component[i]]
-            need = rule.need(n[i], n[j].astype(np.int64))
-            keep = np.minimum(n[i] - place[i], n[j] - place[j]) >= need
-            j, need = j[keep], need[keep]
-            if not len(j):
-                continue
-            own, base = folded[width[i]], np.searchsorted(width, width[i])
-            apart = np.bitwise_count(own[j - base] ^ own[i - base]).sum(axis=1)
-            for k in j[apart <= n[i] + n[j] - 2 * need].tolist():
-                x, y = find(component[i]), find(component[k])
-                if node[i] != node[k] and (x != y or not forest):
-                    out.add((int(min(node[i], node[k])), int(max(node[i], node[k]))))
-                    if forest:
-                        root[max(x, y)] = min(x, y)
-        return pa.table({"a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
+        out = []
+        for i, later in sketch_pairs(table, rule):
+            for k in node[later].tolist():
+                x, y = find(int(node[i])), find(k)
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    out.append((min(int(node[i]), k), max(int(node[i]), k)))
+        return pa.table({"key": pa.array([key[0].as_py()] * len(out), pa.int64()),
+                         "tree": pa.array([find(x) for x, _ in out], pa.int64()),
+                         "a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
+
+    return members.groupBy("key").applyInArrow(run, "key long, tree long, a long, b long")
+
+
+def across(members: DataFrame, rule: Rule) -> DataFrame:
+    """All pairs of different components within a tree that their sketches allow.
+
+    ``members``: ``key, tree, node, n, place, sketch, component``.
+    """
+    def run(_, table):
+        table = table.sort_by([("n", "ascending"), ("node", "ascending")])
+        node = table.column("node").to_numpy()
+        found = [(np.full(len(later), node[i]), node[later]) for i, later in sketch_pairs(table, rule)]
+        x, y = (np.concatenate([np.zeros(0, np.int64), *side]) for side in (zip(*found, strict=True) if found else ((), ())))
+        return pa.table({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
 
-    return members.groupBy("key").applyInArrow(run, "a long, b long")
+    return members.groupBy("key", "tree").applyInArrow(run, "a long, b long")
 
 
 def near_enough(pairs: DataFrame, sketches: DataFrame, rule: Rule, column: str = "sketch") -> DataFrame:
@@ -431,7 +456,7 @@ def similar_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     proven = lists.filter("kind = 'link'").select("a", "b").unionByName(same_id(names, classes))
     # Members of long lists stay light on disk; a folded sketch joins them on the way to their list.
     members = lists.filter("kind = 'long'").select("key", F.col("a").alias("node"), "n", "place")
-    folded = sketches.select("node", "narrow")
+    folded = sketches.select("node", F.col("narrow").alias("sketch"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         """The pairs that link: exact comparison of the whole sets of the nodes in question, from their texts."""
@@ -448,14 +473,20 @@ def similar_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
         discard(whole, ends)
         return links
 
-    trees = scan_long(members.join(folded, "node").withColumn("component", F.col("node")), rule, forest=True)
+    trees = stage(forests(members.join(folded, "node"), rule), "trees")
     listed = near_enough(lists.filter("kind = 'pair'"), sketches, rule, "narrow")
-    pairs = stage(near_enough(listed.unionByName(trees), sketches, rule), "pairs")
+    pairs = stage(near_enough(listed.unionByName(trees.select("a", "b")), sketches, rule), "pairs")
     links = verified(pairs).unionByName(proven)
     groups = components(links)
-    rest = members.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")).join(folded, "node")
-    more = scan_long(rest, rule, forest=False).distinct().join(pairs, ["a", "b"], "left_anti")
-    more = verified(stage(near_enough(more, sketches, rule), "pairs"))
+    # A tree whose nodes are all in one component needs nothing more.
+    ends = trees.select("key", "tree", F.explode(F.array("a", "b")).alias("node")).distinct()
+    ends = stage(ends.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")), "tree-ends")
+    broken = ends.groupBy("key", "tree").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
+    rest = (ends.join(broken.select("key", "tree"), ["key", "tree"], "left_semi").join(members, ["key", "node"])
+            .join(sketches.select("node", "sketch"), "node"))
+    more = stage(across(rest, rule).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+    discard(trees, ends)
+    more = verified(more)
     if more.limit(1).count():
         groups = components(links.unionByName(more))
     discard(sketches, pairs)
