@@ -89,6 +89,33 @@ def test_one_passage_in_all_and_a_large_group(spark, monkeypatch):
     assert got(spark, rows, jaccard.Rule(4, 85)) == brute(rows, jaccard.Rule(4, 85))
 
 
+def test_near_copies_around_the_threshold_do_not_become_pairs(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SHORT_LIST", 5)
+    monkeypatch.setattr(jaccard, "SLICE", 64, raising=False)
+    monkeypatch.setattr(jaccard, "AT_ONCE", 3, raising=False)
+    rnd = random.Random(6)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for i in range(300):
+        copy = list(base)
+        # Two copies with one word changed each link, with three between them they do not, but folded sketches may say so.
+        for at in rnd.sample(range(4, 116), 1 + (i % 3 > 0)):
+            copy[at] = f"y{i}-{at}"
+        rows.append((i, " ".join(copy)))
+    staged, stage = {}, jaccard.stage
+
+    def counting(df, name):
+        out = stage(df, name)
+        staged[name] = max(staged.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(jaccard, "stage", counting)
+    rule = jaccard.Rule(4, 85)
+    assert got(spark, rows, rule) == brute(rows, rule)
+    # 1,223 when all pairs of components were listed.
+    assert staged["pairs"] < 2 * len(rows)
+
+
 def test_sketches_never_rule_out_a_link():
     import numpy as np
     rng = np.random.default_rng(1)

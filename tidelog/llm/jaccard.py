@@ -18,9 +18,12 @@ A node has a number of its own; ids, of which some may be missing or shared, onl
 Tokens are ordered by counters over all documents, the frequent ones last, so a
 passage in a third of all documents is in hardly any set's first tokens.  From a
 long list only a spanning forest of what folded sketches allow is compared first.
-A tree whose edges all hold is one component and done with.  In the others the
-pairs of different components are compared, by whole sketches.  No pair of different
-sets that could be linked is left out otherwise, and no list has a cap.
+A tree whose edges all hold is one component and done with.  Of the others a
+second forest is compared, by whole sketches and between components.  Where that
+has edges that do not hold either, the whole sets meet in their list, and every pair of
+different components that sketches allow is compared there; only links that join
+components leave it.  So a list has as many rows as members, never as pairs.  No pair of
+different sets that could be linked is left out otherwise, and no list has a cap.
 """
 
 from __future__ import annotations
@@ -46,6 +49,10 @@ from tidelog.llm.links import components
 MOST_LIGHT = 24
 #: Lists up to this length are compared pair by pair at once.
 SHORT_LIST = 32
+#: Members of a list whose whole sets meet in one group; longer lists meet slice by slice.
+SLICE = 1024
+#: Whole sets that are compared with one set at a time.
+AT_ONCE = 256
 #: First tokens of sets that one task of the list scan gets, on average.
 TOKENS_PER_BUCKET = 400_000
 
@@ -303,49 +310,89 @@ def sketch_pairs(table: pa.Table, rule: Rule) -> Iterator[tuple[int, np.ndarray]
 
 
 def forests(members: DataFrame, rule: Rule) -> DataFrame:
-    """Pairs that first connect two members of a list, with the list and the ``tree`` they end up in.
+    """Pairs that first connect two components of a list, with the list and the ``tree`` they end up in.
 
-    ``members``: ``key, node, n, place, sketch``.  Two members whose sketches allow
-    a link are in one tree.
+    ``members``: ``key, node, n, place, sketch, component``.  Two components of which any
+    members' sketches allow a link are in one tree.  Every member that has such a
+    partner in another component is there too, paired with itself.
     """
     def run(key, table):
         table = table.sort_by([("n", "ascending"), ("node", "ascending")])
-        node = table.column("node").to_numpy()
-        table = table.append_column("component", pa.array(node))
-        root = dict(zip(node.tolist(), node.tolist(), strict=True))
+        node, component = (table.column(c).to_numpy() for c in ("node", "component"))
+        root = {x: x for x in component.tolist()}
 
         def find(x):
             while root[x] != x:
                 root[x] = x = root[root[x]]
             return x
 
-        out = []
+        out, partnered = [], np.zeros(len(node), bool)
         for i, later in sketch_pairs(table, rule):
-            for k in node[later].tolist():
-                x, y = find(int(node[i])), find(k)
+            partnered[later] = True
+            partnered[i] |= len(later) > 0
+            for k, c in zip(node[later].tolist(), component[later].tolist(), strict=True):
+                x, y = find(int(component[i])), find(c)
                 if x != y:
                     root[max(x, y)] = min(x, y)
-                    out.append((min(int(node[i]), k), max(int(node[i]), k)))
+                    out.append((x, min(int(node[i]), k), max(int(node[i]), k)))
+        out += [(c, x, x) for c, x in zip(component[partnered].tolist(), node[partnered].tolist(), strict=True)]
         return pa.table({"key": pa.array([key[0].as_py()] * len(out), pa.int64()),
-                         "tree": pa.array([find(x) for x, _ in out], pa.int64()),
-                         "a": pa.array([x for x, _ in out], pa.int64()), "b": pa.array([x for _, x in out], pa.int64())})
+                         "tree": pa.array([find(x) for x, _, _ in out], pa.int64()),
+                         "a": pa.array([x for _, x, _ in out], pa.int64()), "b": pa.array([x for _, _, x in out], pa.int64())})
 
     return members.groupBy("key").applyInArrow(run, "key long, tree long, a long, b long")
 
 
-def across(members: DataFrame, rule: Rule) -> DataFrame:
-    """All pairs of different components within a tree that their sketches allow.
+def broken(trees: DataFrame, groups: DataFrame) -> DataFrame:
+    """``key, tree, node, component`` of the trees whose nodes are not all in one component."""
+    ends = stage(trees.filter("a = b").select("key", "tree", F.col("a").alias("node")).join(groups, "node", "left")
+                 .withColumn("component", F.coalesce("component", "node")), "tree-ends")
+    several = (ends.groupBy("key", "tree").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+               .filter("x <> y").select("key", "tree"))
+    return stage(ends.join(several, ["key", "tree"], "left_semi"), "broken-trees")
+
+
+def sliced(members: DataFrame) -> DataFrame:
+    """``members`` of trees with ``slice``, their own, and ``one`` and ``two``, the slices that meet.
+
+    A tree of up to ``SLICE`` members is one slice; in a larger one every two slices meet once.
+    """
+    slices = members.groupBy("key", "tree").agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("slices"))
+    own = (members.join(slices, ["key", "tree"])
+           .withColumn("slice", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int")))
+    return (own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
+            .withColumn("one", F.least("slice", "other")).withColumn("two", F.greatest("slice", "other")).drop("slices", "other"))
+
+
+def joining_links(members: DataFrame, rule: Rule) -> DataFrame:
+    """Links that join components of a tree, by comparison of whole sets.
 
-    ``members``: ``key, tree, node, n, place, sketch, component``.
+    ``members``: ``key, tree, one, two, slice, node, n, place, component, sketch, tokens``.
+    All pairs that sketches allow are compared as long as they are in different components.
     """
     def run(_, table):
         table = table.sort_by([("n", "ascending"), ("node", "ascending")])
-        node = table.column("node").to_numpy()
-        found = [(np.full(len(later), node[i]), node[later]) for i, later in sketch_pairs(table, rule)]
-        x, y = (np.concatenate([np.zeros(0, np.int64), *side]) for side in (zip(*found, strict=True) if found else ((), ())))
-        return pa.table({"a": pa.array(np.minimum(x, y)), "b": pa.array(np.maximum(x, y))})
-
-    return members.groupBy("key", "tree").applyInArrow(run, "a long, b long")
+        node, component, own = (table.column(c).to_numpy() for c in ("node", "component", "slice"))
+        mixed = table.column("one")[0].as_py() != table.column("two")[0].as_py()
+        sets = [np.frombuffer(x.as_py(), np.uint64) for x in table.column("tokens")]
+        size = np.array([len(s) for s in sets])
+        label = component.copy()
+        out = []
+        for i, later in sketch_pairs(table, rule):
+            if mixed:
+                later = later[own[later] != own[i]]
+            while len(later := later[label[later] != label[i]]):
+                now, later = later[:AT_ONCE], later[AT_ONCE:]
+                tokens = np.concatenate([sets[j] for j in now.tolist()])
+                at = np.minimum(np.searchsorted(sets[i], tokens), size[i] - 1)
+                both = np.add.reduceat((sets[i][at] == tokens).astype(np.int64), np.cumsum(size[now]) - size[now])
+                for j in now[both >= rule.need(size[i], size[now])].tolist():
+                    if label[j] != label[i]:
+                        label[label == label[j]] = label[i]
+                        out.append((int(node[i]), int(node[j])))
+        return pa.table({"a": pa.array([min(x) for x in out], pa.int64()), "b": pa.array([max(x) for x in out], pa.int64())})
+
+    return members.groupBy("key", "tree", "one", "two").applyInArrow(run, "a long, b long")
 
 
 def near_enough(pairs: DataFrame, sketches: DataFrame, rule: Rule, column: str = "sketch") -> DataFrame:
@@ -458,9 +505,8 @@ def similar_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     members = lists.filter("kind = 'long'").select("key", F.col("a").alias("node"), "n", "place")
     folded = sketches.select("node", F.col("narrow").alias("sketch"))
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs that link: exact comparison of the whole sets of the nodes in question, from their texts."""
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    def sets_at(ends: DataFrame) -> DataFrame:
+        """The whole sets of the nodes in question, from their texts."""
         ends = stage(classes.join(ends, "node", "left_semi").select("node", "digest", F.col("least").alias("doc_id")), "ends")
         # Few of them are broadcast; otherwise texts are shuffled once, compressed.
         named, nameless = rows.filter(F.col("doc_id").isNotNull()), rows.filter(F.col("doc_id").isNull())
@@ -469,26 +515,39 @@ def similar_groups(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
                 packed_texts(named, "doc_id", kind).join(ends, "doc_id").withColumnRenamed("packed", "held"))
         wanted = whole_sets(held, rule).unionByName(nameless_sets(nameless, ends.filter("doc_id is null"), rule))
         whole = stage(wanted.dropDuplicates(["node", "tokens"]), "whole-sets")
+        discard(ends)
+        return whole
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        """The pairs that link: exact comparison."""
+        whole = sets_at(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         links = stage(compared(pairs, whole, rule), "links")
-        discard(whole, ends)
+        discard(whole)
         return links
 
-    trees = stage(forests(members.join(folded, "node"), rule), "trees")
+    trees = stage(forests(members.join(folded, "node").withColumn("component", F.col("node")), rule), "trees")
     listed = near_enough(lists.filter("kind = 'pair'"), sketches, rule, "narrow")
-    pairs = stage(near_enough(listed.unionByName(trees.select("a", "b")), sketches, rule), "pairs")
+    pairs = stage(near_enough(listed.unionByName(trees.filter("a < b").select("a", "b")), sketches, rule), "pairs")
     links = verified(pairs).unionByName(proven)
     groups = components(links)
-    # A tree whose nodes are all in one component needs nothing more.
-    ends = trees.select("key", "tree", F.explode(F.array("a", "b")).alias("node")).distinct()
-    ends = stage(ends.join(groups, "node", "left").withColumn("component", F.coalesce("component", "node")), "tree-ends")
-    broken = ends.groupBy("key", "tree").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y")
-    rest = (ends.join(broken.select("key", "tree"), ["key", "tree"], "left_semi").join(members, ["key", "node"])
-            .join(sketches.select("node", "sketch"), "node"))
-    more = stage(across(rest, rule).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
-    discard(trees, ends)
-    more = verified(more)
-    if more.limit(1).count():
-        groups = components(links.unionByName(more))
+    # A tree whose nodes are all in one component needs nothing more; others are looked at by whole sketches.
+    rest = broken(trees, groups)
+    discard(trees)
+    if rest.limit(1).count():
+        whole = sketches.select("node", "sketch")
+        again = stage(forests(rest.drop("tree").join(members, ["key", "node"]).join(whole, "node"), rule), "trees")
+        more = again.filter("a < b").select("a", "b").distinct().join(pairs, ["a", "b"], "left_anti")
+        links = links.unionByName(verified(stage(more, "pairs")))
+        groups = components(links)
+        rest = broken(again, groups)
+        discard(again)
+    if rest.limit(1).count():
+        tokens = sets_at(rest.select("node").distinct())
+        meeting = sliced(rest.join(members, ["key", "node"])).join(whole, "node").join(tokens, "node")
+        found = stage(joining_links(meeting, rule), "links")
+        discard(tokens)
+        if found.limit(1).count():
+            groups = components(links.unionByName(found))
     discard(sketches, pairs)
 
     label = classes.join(groups, "node", "left").select(
