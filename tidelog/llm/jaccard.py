@@ -22,7 +22,8 @@ A tree whose edges all hold is one component and done with.  Of the others a
 second forest is compared, by whole sketches and between components.  Where that
 has edges that do not hold either, the whole sets meet in their list, and every pair of
 different components that sketches allow is compared there; only links that join
-components leave it.  So a list has as many rows as members, never as pairs.  No pair of
+components leave it.  So no list sends its pairs; of more than ``SLICE`` members there
+every one is sent once per slice.  No pair of
 different sets that could be linked is left out otherwise, and no list has a cap.
 """
 
