@@ -2,6 +2,7 @@ import base64
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidelog.llm import bpe, cut
@@ -124,3 +125,14 @@ def test_a_vocabulary_that_lacks_a_byte_is_refused(tmp_path):
     assert [np.frombuffer(x, np.int32).tolist() for x in pieces(["abc", "c"])] == [[0, 1, 2], [2]]
     with pytest.raises(ValueError, match="lacks a byte"):
         pieces(["abd"])
+
+
+def test_going_on_in_the_same_worker(spark):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts(300))] + [(None, None)], "doc_id long, text string").repartition(3)
+
+    def sizes(batch):
+        yield pa.RecordBatch.from_pydict({"n": pa.array([len(x) for x in batch.column("ids").to_pylist()], pa.int64()), "id": batch.column(0)})
+
+    got = bpe.encode(df, vocabulary(), cut.KNOWN, onward=(sizes, "n long, id long")).collect()
+    want = bpe.encode(df, vocabulary(), cut.KNOWN).selectExpr("cast(size(ids) as long) n", "doc_id as id").collect()
+    assert sorted(got, key=str) == sorted(want, key=str)

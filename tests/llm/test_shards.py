@@ -2,11 +2,13 @@ import collections
 import glob
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidelog.llm import base, queries, shards
 
 KEY, LENGTH = 99, 4
+read_shards = shards.read_shards
 
 
 def by_hand(rows, upper, ids):
@@ -97,3 +99,48 @@ def test_shards_are_even_whatever_the_ids(spark, tmp_path, monkeypatch):
     assert sorted(r.slot for r in got) == list(range(len(DOCS)))
     sizes = collections.Counter(r.shard for r in got)
     assert len(sizes) == 7 and max(sizes.values()) < 2 * len(DOCS) / 7
+
+
+def test_texts_are_encoded_and_cut_in_one_worker(spark, tmp_path, monkeypatch):
+    """Two Python steps after each other are two workers a core at once."""
+    tiktoken = pytest.importorskip("tiktoken")
+    reference = tiktoken.Encoding("own", pat_str=queries.cut.KNOWN, mergeable_ranks=queries.bpe.read_ranks(queries.vocabulary()),
+                                  special_tokens={})
+    rows = [*DOCS, (8, "one two  three\n" * 3_000), (9, "é漢" * 511 + "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    df.write.parquet(str(tmp_path / "documents.parquet"))
+    steps, plain, written = [], type(df).mapInArrow, []
+    monkeypatch.setattr(type(df), "mapInArrow", lambda self, *a, **k: steps.append(self) or plain(self, *a, **k))
+    monkeypatch.setattr(queries.shards, "read_shards", lambda s, path, *a: written.append(path) or read_shards(s, path, *a))
+    got = queries.QUERIES["op10_token_shards"](spark, str(tmp_path))
+    assert len(steps) == 2  # to the shards and back
+    want = []
+    for i, t in rows:
+        ids = [*reference.encode_ordinary(t or ""), shards.END]
+        want += [(i, j, ids[s: s + queries.SEQUENCE]) for j, s in enumerate(range(0, len(ids), queries.SEQUENCE))]
+    assert sorted(read(read_shards(spark, written[0], queries.SEQUENCE)), key=str) == sorted(want, key=str)
+    assert got.count() == len(want)
+
+
+def test_records_of_a_long_row_go_in_batches(spark, tmp_path):
+    """More records than a batch holds, from one row and in one shard."""
+    rows = [(3, list(range(LENGTH * shards.BATCH * 2 + 2))), (4, []), (None, list(range(LENGTH * shards.BATCH - 1)))]
+    df = spark.createDataFrame(rows, "doc_id long, ids array<int>").coalesce(1)
+    upper = max(len(r[1]) for r in rows) + 1
+    shards.write_shards(df, str(tmp_path / "s"), LENGTH, 1, KEY, upper, (3, 4))
+    assert read(shards.read_shards(spark, str(tmp_path / "s"), LENGTH)) == by_hand(rows, upper, (3, 4))
+
+
+def test_batches_are_bounded():
+    order = shards.Order(1 << 62, KEY)
+    row = pa.array([{"doc_id": -5, "number": 7}, {"doc_id": None, "number": None}, {"doc_id": 6, "number": 8}])
+    ids = pa.array([[], list(range(LENGTH * shards.BATCH * 2)), [1]], pa.list_(pa.int32()))
+    batch = pa.RecordBatch.from_arrays([row, ids], ["row", "ids"])
+    cut = shards._sequences(LENGTH, order, 7, 3000, 9)
+    whole = list(cut(batch))
+    assert [b.num_rows for b in whole] == [shards.BATCH, shards.BATCH, 3]
+    one_by_one = [r for i in range(3) for b in cut(batch.slice(i, 1)) for r in b.to_pylist()]
+    assert [r for b in whole for r in b.to_pylist()] == one_by_one
+    places = order(np.array([3000, *range(2001), 6000], np.uint64)).tolist()
+    assert [(r["place"], r["shard"]) for r in one_by_one] == [(p, p * 9 // order.size) for p in places]
+    assert list(cut(batch.slice(0, 0))) == []

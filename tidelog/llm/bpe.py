@@ -16,7 +16,7 @@ import base64
 import functools
 import hashlib
 import os
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -197,12 +197,16 @@ def encode_block(texts: list[str], cut, pieces: Pieces) -> tuple[np.ndarray, np.
     return ids, np.cumsum(np.bincount(owner, weights=n, minlength=len(texts))).astype(np.int64)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", offsets: bool = False) -> DataFrame:
+def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", offsets: bool = False,
+           onward: tuple[Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], str] | None = None) -> DataFrame:
     """Token ids of every whole text.
 
     ``docs`` needs ``key`` and ``text``; other columns are ignored.  Result, one
     row per input row: ``key``, ``ids`` and, with ``offsets``, ``starts`` (the
     character in which each token begins).  Null and empty texts have no ids.
+
+    ``onward`` is a function of a batch of this result, and the schema of the batches it
+    gives.  It goes on in the same Python worker, and what it gives is the result.
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col(key), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
@@ -221,10 +225,11 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", offset
                     columns["starts"] = lists([char_starts(t.encode(), size[i]) if len(i) else i
                                                for t, i in zip(texts, each, strict=True)])
                 at += len(texts)
-                yield pa.RecordBatch.from_pydict(columns)
+                made = pa.RecordBatch.from_pydict(columns)
+                yield from onward[0](made) if onward else [made]
 
     more = ", starts array<int>" if offsets else ""
-    return rows.mapInArrow(run, f"`{key}` {kind}, ids array<int>{more}")
+    return rows.mapInArrow(run, onward[1] if onward else f"`{key}` {kind}, ids array<int>{more}")
 
 
 def lists(arrays: list[np.ndarray]) -> pa.ListArray:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -224,10 +225,10 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     # No text has more tokens than bytes.
     total, most = docs.agg(F.sum(size), F.max(size)).first()
     rows, n = shards.numbered(docs)
-    tokens = bpe.encode(rows.select(F.struct("number", "doc_id").alias("row"), "text"), path, cut.KNOWN, key="row")
+    encode = functools.partial(bpe.encode, path=path, pattern=cut.KNOWN)
     out = workspace(spark, "token-shards")
-    shards.write_shards(tokens.select("row.number", "row.doc_id", "ids"), out, SEQUENCE,
-                        max(1, -(-(total or 0) // SHARD_BYTES)), ORDER_KEY, (most or 0) + 1, (0, max(n - 1, 0)), "number")
+    shards.write_shards(rows, out, SEQUENCE, max(1, -(-(total or 0) // SHARD_BYTES)), ORDER_KEY, (most or 0) + 1,
+                        (0, max(n - 1, 0)), "number", encode)
     return shards.read_shards(spark, out, SEQUENCE).select(
         "slot", "shard", "offset", "doc_id", "part", "n_tokens", sha256(F.col("tokens")).alias("tokens_sha256"))
 

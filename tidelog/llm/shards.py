@@ -17,7 +17,7 @@ and committed with it: slot ``s`` of a shard that begins at slot ``f`` is at byt
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,6 +37,9 @@ NO_ID = -(1 << 63)
 SEPARATOR = "\n"  # Spark's text writer ends every record with it
 #: Rows repeated whole are handed out in pieces of so many.
 PIECE = 1000
+#: Records of an Arrow batch, on the way to the shards and back.
+BATCH = 1000
+HEAD = np.dtype([("id", ">i8"), ("part", ">i4"), ("n", ">i4")])
 
 
 @dataclass(frozen=True)
@@ -100,29 +103,49 @@ def numbered(docs: DataFrame) -> tuple[DataFrame, int]:
     return out, total
 
 
-def _sequences(tokens: DataFrame, length: int, order: Order, first: int, most: int, shards: int) -> DataFrame:
-    """Shard, place and record of every sequence; records are not filled yet."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ends, flat = batch.column(1).offsets.to_numpy(), batch.column(1).values.to_numpy()
-            ids, own_numbers = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            for at in range(0, len(ids), 500):
-                numbers, records = [], []
-                for i in range(at, min(at + 500, len(ids))):
-                    own = np.append(flat[ends[i]: ends[i + 1]], END).astype("<u2").tobytes()
-                    base = (0 if own_numbers[i] is None else own_numbers[i] - first + 1) * most
-                    key = (NO_ID if ids[i] is None else ids[i]).to_bytes(8, "big", signed=True)
-                    for j, s in enumerate(range(0, len(own), 2 * length)):
-                        part = own[s: s + 2 * length]
-                        numbers.append(base + j)
-                        records.append(key + j.to_bytes(4, "big") + (len(part) // 2).to_bytes(4, "big") + part)
-                place = order(np.array(numbers, np.uint64))
-                shard = (place.astype(object) * shards // order.size).astype(np.int64)
-                yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array(shard, pa.int32()), "place": pa.array(place.astype(np.int64), pa.int64()),
-                    "record": pa.array(records, pa.binary())})
-
-    return tokens.mapInArrow(run, "shard int, place long, record binary")
+def _records(head: np.ndarray, size: np.ndarray, tokens: np.ndarray) -> pa.Array:
+    """Each header with as many of the tokens, which follow each other, behind it."""
+    ends = np.cumsum(size + HEADER // 2)
+    at = (ends - size - HEADER // 2)[:, None] + np.arange(HEADER // 2)
+    out = np.empty(int(ends[-1]), "<u2")
+    rest = np.ones(len(out), bool)
+    rest[at.ravel()] = False
+    out[at] = head.view("<u2").reshape(at.shape)
+    out[rest] = tokens
+    offsets = np.concatenate([[0], 2 * ends]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+
+
+def _sequences(length: int, order: Order, first: int, most: int, shards: int) -> Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]]:
+    """From a batch of rows (``doc_id`` and ``number`` in a struct) and ids to shard, place and
+    record of every sequence, ``BATCH`` at a time; records are not filled yet."""
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        if not batch.num_rows:
+            return
+        doc_ids, numbers = batch.column(0).flatten()
+        ends = batch.column(1).offsets.to_numpy().astype(np.int64)
+        own = np.insert(batch.column(1).values.to_numpy()[ends[0]: ends[-1]], ends[1:] - ends[0], END).astype("<u2")
+        n = np.diff(ends) + 1
+        parts = -(-n // length)
+        owner = np.repeat(np.arange(len(n)), parts)
+        part = np.arange(len(owner)) - np.repeat(np.cumsum(parts) - parts, parts)
+        size = np.minimum(n[owner] - part * length, length)
+        to = np.concatenate([[0], np.cumsum(size)])
+        known = numbers.is_valid().to_numpy(zero_copy_only=False)
+        base = np.where(known, numbers.fill_null(first).to_numpy(zero_copy_only=False) - first + 1, 0) * most
+        place = order((base[owner] + part).astype(np.uint64)).astype(np.int64)
+        exact = place if order.size * shards < 1 << 63 else place.astype(object)
+        shard = (exact * shards // order.size).astype(np.int32)
+        head = np.empty(len(owner), HEAD)
+        head["id"] = doc_ids.fill_null(NO_ID).to_numpy(zero_copy_only=False)[owner]
+        head["part"], head["n"] = part, size
+        for a in range(0, len(owner), BATCH):
+            b = min(a + BATCH, len(owner))
+            yield pa.RecordBatch.from_pydict({
+                "shard": pa.array(shard[a:b]), "place": pa.array(place[a:b]),
+                "record": _records(head[a:b], size[a:b], own[to[a]: to[b]])})
+
+    return run
 
 
 def filled(record: str, length: int) -> Column:
@@ -135,9 +158,13 @@ def stride(length: int) -> int:
 
 
 def write_shards(tokens: DataFrame, path: str, length: int, shards: int, key: int, upper: int,
-                 ids: tuple[int, int], number: str = "doc_id") -> None:
+                 ids: tuple[int, int], number: str = "doc_id", encode: Callable[..., DataFrame] | None = None) -> None:
     """Write every row of ``tokens`` (``doc_id``, a whole number, and ``ids``, below 2**16) to ``path``.
 
+    With ``encode`` (``bpe.encode``, its vocabulary and pattern given) rows have a ``text``
+    instead of ``ids``; it is encoded and cut in one Python worker, so that a core has one
+    worker for both and only records leave it.
+
     ``upper`` bounds the tokens of one row, its end included, and ``ids`` holds the
     smallest and the largest value of the column ``number``; both only say which numbers
     are permuted.  Null ids of documents and empty or null token lists are legal: a row
@@ -146,9 +173,7 @@ def write_shards(tokens: DataFrame, path: str, length: int, shards: int, key: in
     ranges of places, so their sizes are even if every row has a number of its own, as
     ``numbered`` gives.  An empty table writes no shard.
     """
-    rows = tokens.select(F.col("doc_id").cast("long").alias("doc_id"),
-                         F.coalesce("ids", F.array().cast("array<int>")).alias("ids"),
-                         F.col(number).cast("long").alias("number"))
+    row = F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.col(number).cast("long").alias("number")).alias("row")
     small_batches(tokens.sparkSession)
     first, last = ids
     most = -(-upper // length)
@@ -156,8 +181,13 @@ def write_shards(tokens: DataFrame, path: str, length: int, shards: int, key: in
     if size >= 1 << 62:
         raise ValueError("document ids are too far apart to number their sequences in 62 bits")
     order = Order(size, key)
-    dealt = _sequences(rows, length, order, first, most, shards).repartition(shards, "shard")
-    (dealt.sortWithinPartitions("shard", "place", "record")
+    cut, made = _sequences(length, order, first, most, shards), "shard int, place long, record binary"
+    if encode:
+        dealt = encode(tokens.select(row, "text"), key="row", onward=(cut, made))
+    else:
+        rows = tokens.select(row, F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
+        dealt = rows.mapInArrow(lambda batches: (out for batch in batches for out in cut(batch)), made)
+    (dealt.repartition(shards, "shard").sortWithinPartitions("shard", "place", "record")
      .select("shard", filled("record", length).cast("string").alias("value"))
      .write.partitionBy("shard").option("lineSep", SEPARATOR).text(path))
 
@@ -180,14 +210,16 @@ def read_shards(spark: SparkSession, path: str, length: int) -> DataFrame:
         for batch in batches:
             for shard, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 raw = content.as_py()
-                rows = np.frombuffer(raw, np.dtype([("id", ">i8"), ("part", ">i4"), ("n", ">i4"), ("rest", f"V{width - HEADER}")]))
+                rows = np.frombuffer(raw, np.dtype([*HEAD.descr, ("rest", f"V{width - HEADER}")]))
                 at = np.arange(len(rows), dtype=np.int64) * width
                 ends = at + HEADER + 2 * rows["n"]
-                yield pa.RecordBatch.from_pydict({
-                    "shard": pa.array(np.full(len(rows), shard, np.int32)), "offset": pa.array(at),
-                    "id": pa.array(rows["id"].astype(np.int64)), "part": pa.array(rows["part"].astype(np.int32)),
-                    "n_tokens": pa.array(rows["n"].astype(np.int32)),
-                    "tokens": pa.array([raw[x + HEADER: y] for x, y in zip(at.tolist(), ends.tolist(), strict=True)], pa.binary())})
+                for a in range(0, len(rows), BATCH):
+                    own, o, e = rows[a: a + BATCH], at[a: a + BATCH], ends[a: a + BATCH]
+                    yield pa.RecordBatch.from_pydict({
+                        "shard": pa.array(np.full(len(own), shard, np.int32)), "offset": pa.array(o),
+                        "id": pa.array(own["id"].astype(np.int64)), "part": pa.array(own["part"].astype(np.int32)),
+                        "n_tokens": pa.array(own["n"].astype(np.int32)),
+                        "tokens": pa.array([raw[x + HEADER: y] for x, y in zip(o.tolist(), e.tolist(), strict=True)], pa.binary())})
 
     records = files.select(F.col("shard").cast("int").alias("shard"), "content").mapInArrow(
         run, "shard int, offset long, id long, part int, n_tokens int, tokens binary")
