@@ -136,3 +136,25 @@ def test_going_on_in_the_same_worker(spark):
     got = bpe.encode(df, vocabulary(), cut.KNOWN, onward=(sizes, "n long, id long")).collect()
     want = bpe.encode(df, vocabulary(), cut.KNOWN).selectExpr("cast(size(ids) as long) n", "doc_id as id").collect()
     assert sorted(got, key=str) == sorted(want, key=str)
+
+
+def test_known_pieces_stay_in_arrays(monkeypatch, reference):
+    """Only new pieces become strings; those that were seen are compared with what is remembered."""
+    pieces, known, some = bpe.Pieces(vocabulary()), cut.cutter(cut.KNOWN), texts(300)
+    asked, library = [], pieces._library
+    monkeypatch.setattr(pieces, "_library", lambda x: asked.extend(x) or library(x))
+    for block in (some, some[::-1], some + ["neverseen"]):
+        asked.clear()
+        ids, ends = bpe.encode_block(block, known, pieces)
+        assert [x.tolist() for x in np.split(ids, ends[:-1])] == [reference.encode_ordinary(s) for s in block]
+        assert len(asked) == len(set(asked))
+    assert asked == ["neverseen"]
+
+
+def test_remembered_pieces_with_the_print_of_another(monkeypatch, reference):
+    monkeypatch.setattr(bpe, "multipliers", lambda n: np.zeros(n, np.uint64))
+    known, pieces = cut.cutter(cut.KNOWN), bpe.Pieces(vocabulary())
+    for block in (["ab"], ["ba"], ["ab", "ba", "abc"], ["ba"], [""], ["abc", "", "ab"]):
+        ids, ends = bpe.encode_block(block, known, pieces)
+        assert [x.tolist() for x in np.split(ids, ends[:-1])] == [reference.encode_ordinary(s) for s in block]
+    assert len(pieces.prints) == 1

@@ -75,40 +75,93 @@ def encoder(path: str):
     ranks, table = read_ranks(path), byte_table()
     shown = {token: "".join(table[b] for b in token) for token in ranks}
     made = Tokenizer(models.BPE(vocab={shown[t]: r for t, r in ranks.items()},
-                                merges=[(shown[a], shown[b]) for a, b in merges(ranks)], ignore_merges=True))
+                                merges=[(shown[a], shown[b]) for a, b in merges(ranks)], ignore_merges=True, cache_capacity=0))
     made.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(BETWEEN)
     return made
 
 
+def runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of runs of so many each, one run after the other."""
+    out = np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+    out += np.arange(len(out))
+    return out
+
+
 class Pieces:
-    """Ids of pieces.  A piece seen before is looked up, the others go to the library.
+    """Ids of pieces.  A piece seen before is looked up by its print and compared character
+    by character, the others go to the library.
 
     Only memory depends on ``MEMORY``: beyond about so many bytes it starts anew.
     """
 
     MEMORY = 64 << 20
-    #: What an entry takes beside its piece and its ids.
-    ENTRY = 200
 
     def __init__(self, path: str):
-        self.made, self.known, self.held = encoder(path), {}, 0
+        self.made = encoder(path)
         self.size = np.array([len(t) for t in decoder(path)], np.int64)
         self.shown = np.array([ord(c) for c in byte_table()[:0xFF] + [BETWEEN]], "<u4")
+        self._forget()
+
+    def _forget(self) -> None:
+        # Prints in order, and for each its piece's characters and ids: where they begin and how many there are.
+        self.prints, self.points, self.ids = np.zeros(0, np.uint64), np.zeros(0, "<u4"), np.zeros(0, np.int32)
+        self.of = np.zeros((4, 0), np.int64)
+
+    def held(self) -> int:
+        return sum(x.nbytes for x in (self.prints, self.points, self.ids, self.of))
 
     def __call__(self, pieces: list[str]) -> list[bytes]:
         """The ids of each piece as 32-bit integers."""
-        if self.held > self.MEMORY:
-            self.known, self.held = {}, 0
-        fresh = [p for p in pieces if p not in self.known]
-        to = np.cumsum([len(p) for p in fresh])
-        at = 0
-        while at < len(fresh):
+        ids, n = self._library(pieces)
+        flat, to = ids.tobytes(), (4 * np.cumsum(n)).tolist()
+        return [flat[a:b] for a, b in zip([0, *to[:-1]], to, strict=True)]
+
+    def find(self, points: np.ndarray, starts: np.ndarray, sizes: np.ndarray, prints: np.ndarray, once: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, and where in them those of each piece of ``points`` begin and how many there are.
+        The first ``once`` pieces differ in their prints and may be remembered."""
+        if self.held() > self.MEMORY:
+            self._forget()
+        slot = np.searchsorted(self.prints, prints)
+        taken = np.zeros(len(prints), bool)
+        inside = np.flatnonzero(slot < len(self.prints))
+        taken[inside] = self.prints[slot[inside]] == prints[inside]
+        hit = np.flatnonzero(taken)
+        hit = hit[self.of[1, slot[hit]] == sizes[hit]]
+        if len(hit):
+            z = sizes[hit]
+            alike = points[runs(starts[hit], z)] == self.points[runs(self.of[0, slot[hit]], z)]
+            hit = hit[np.logical_and.reduceat(alike, np.cumsum(z) - z)]
+        at, n = np.zeros(len(prints), np.int64), np.zeros(len(prints), np.int64)
+        at[hit], n[hit] = self.of[2:, slot[hit]]
+        other = np.ones(len(prints), bool)
+        other[hit] = False
+        fresh = np.flatnonzero(other)
+        if not len(fresh):
+            return self.ids, at, n
+        z = sizes[fresh]
+        new, to = points[runs(starts[fresh], z)], np.cumsum(z)
+        whole = new.tobytes().decode("utf-32-le", "surrogatepass")
+        made, n[fresh] = self._library([whole[a:b] for a, b in zip((to - z).tolist(), to.tolist(), strict=True)])
+        at[fresh] = len(self.ids) + np.cumsum(n[fresh]) - n[fresh]
+        keep = np.flatnonzero((fresh < once) & ~taken[fresh])
+        keep = keep[np.argsort(prints[fresh[keep]])]
+        row = fresh[keep]
+        self.of = np.insert(self.of, slot[row], np.stack([len(self.points) + (to - z)[keep], z[keep], at[row], n[row]]), axis=1)
+        self.prints = np.insert(self.prints, slot[row], prints[row])
+        self.points, self.ids = np.concatenate([self.points, new]), np.concatenate([self.ids, made])
+        return self.ids, at, n
+
+    def _library(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces, and how many each has."""
+        to = np.cumsum(list(map(len, pieces)))
+        found, at = [(np.zeros(0, np.int32), np.zeros(0, np.int64))], 0
+        while at < len(pieces):
             end = max(at + 1, int(np.searchsorted(to, (to[at - 1] if at else 0) + CALL_CHARS, side="right")))
-            self._learn(fresh[at:end])
+            found.append(self._learn(pieces[at:end]))
             at = end
-        return [self.known[p] for p in pieces]
+        return np.concatenate([x for x, _ in found]), np.concatenate([n for _, n in found])
 
-    def _learn(self, fresh: list[str]) -> None:
+    def _learn(self, fresh: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """One call for many pieces.  Their ids come in one row; the bytes that ids stand for say
         where each piece ends."""
         # No UTF-8 text has the byte 0xFF, so it parts the pieces.
@@ -120,9 +173,7 @@ class Pieces:
         last = np.searchsorted(reach, ends)
         if not len(reach) or reach[-1] != ends[-1] or (reach[last] != ends).any():
             raise ValueError("the vocabulary lacks a byte of the text")
-        flat, cuts = ids.tobytes(), (4 * (last + 1)).tolist()
-        self.known.update(zip(fresh, [flat[a:b] for a, b in zip([0, *cuts[:-1]], cuts, strict=True)], strict=True))
-        self.held += self.ENTRY * len(fresh) + len(raw) + len(flat)
+        return ids, np.diff(last, prepend=-1)
 
 
 @functools.lru_cache(maxsize=4)
@@ -170,7 +221,9 @@ def unequal(points: np.ndarray, starts: np.ndarray, sizes: np.ndarray, place: np
     if not len(starts):
         return np.zeros(0, np.int64)
     same = sizes == sizes[like]
-    at = np.minimum(np.repeat(starts[like], sizes) + place, len(points) - 1)
+    at = np.repeat(starts[like].astype(place.dtype), sizes)
+    at += place
+    np.minimum(at, len(points) - 1, out=at)
     return np.flatnonzero(~(same & np.logical_and.reduceat(points[at] == points, starts)))
 
 
@@ -178,22 +231,26 @@ def encode_block(texts: list[str], cut, pieces: Pieces) -> tuple[np.ndarray, np.
     """The ids of a block of texts, and where in them each text ends."""
     points, starts, owner = cut(texts)
     sizes = np.diff(starts, append=len(points))
-    place = np.arange(len(points)) - np.repeat(starts, sizes)
-    prints = np.add.reduceat((points.astype(np.uint64) + np.uint64(1)) * multipliers(int(sizes.max(initial=0)))[place], starts) \
-        if len(starts) else np.zeros(0, np.uint64)
-    _, first, which = np.unique(prints, return_index=True, return_inverse=True)
+    kind = np.int32 if len(points) < 1 << 30 else np.int64
+    place = np.arange(len(points), dtype=kind)
+    place -= np.repeat(starts.astype(kind), sizes)
+    weighed = multipliers(int(sizes.max(initial=0)))[place]
+    weighed *= points + np.uint64(1)
+    prints = np.add.reduceat(weighed, starts) if len(starts) else np.zeros(0, np.uint64)
+    del weighed
+    # One piece of each print, whichever, and the print of each piece.
+    order = np.argsort(prints)
+    new = np.ones(len(prints), bool)
+    new[1:] = np.diff(prints[order]) != 0
+    first, which = order[new], np.empty(len(prints), np.int64)
+    which[order] = np.cumsum(new) - 1
     other = unequal(points, starts, sizes, place, first[which])
     # A piece that only has the print of another stands for itself.
     which[other] = len(first) + np.arange(len(other))
-    first = np.concatenate([first, other])
-    whole = points.astype("<u4").tobytes().decode("utf-32-le", "surrogatepass")
-    found = pieces([whole[a:b] for a, b in zip(starts[first].tolist(), (starts + sizes)[first].tolist(), strict=True)])
-    flat = np.frombuffer(b"".join(found), np.int32)
-    n_of = np.array([len(x) // 4 for x in found], np.int64)
-    at = np.cumsum(n_of) - n_of
+    once, first = len(first), np.concatenate([first, other])
+    flat, at, n_of = pieces.find(points, starts[first], sizes[first], prints[first], once)
     n = n_of[which]
-    inside = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-    ids = flat[np.repeat(at[which], n) + inside]
+    ids = flat[runs(at[which], n)]
     return ids, np.cumsum(np.bincount(owner, weights=n, minlength=len(texts))).astype(np.int64)
 
 

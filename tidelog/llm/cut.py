@@ -45,7 +45,7 @@ def cut_known(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     points = points_of(texts)
     # An end mark after each text keeps runs, and what follows white space, inside it.
     at = np.cumsum(lengths)
-    marked = np.insert(points, at, 0x110000).astype(np.int64)
+    marked = np.insert(points, at, 0x110000)
     kind = classes()[marked]
     n = len(marked)
     start = np.ones(n, bool)
@@ -60,8 +60,9 @@ def cut_known(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     # Contractions: an apostrophe that begins a piece, before certain letters.
     q = np.flatnonzero((marked == 0x27) & start)
     if len(q):
-        ahead = np.append(marked, [0x110000, 0x110000])
-        one, two = ahead[q + 1], ahead[q + 1] << 21 | ahead[q + 2]
+        # A text's end mark follows at least, and it is no letter.
+        one = marked[q + 1].astype(np.int64)
+        two = one << 21 | marked[np.minimum(q + 2, n - 1)]
         short = np.isin(one, [ord(c) for c in "stmd"])
         long = ~short & np.isin(two, [_two(x) for x in ("re", "ve", "ll")])
         start[q[short | long] + 1] = False
